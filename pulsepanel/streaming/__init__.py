@@ -1,0 +1,4 @@
+"""No streaming operators: revised data arrive as newer snapshots.
+
+See ``pulsepanel.operators.vintages`` for the as-of choice of a snapshot.
+"""
