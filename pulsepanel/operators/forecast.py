@@ -16,6 +16,9 @@ from pulsepanel.functions import series
 
 HOLIDAY_CLASSES = ("holiday", "national", "regional")
 
+# A trend this close to zero says nothing about the ratio of a day to its trend.
+SMALLEST_TREND = 1e-9
+
 
 @dataclass(frozen=True)
 class ForecastOptions:
@@ -61,7 +64,7 @@ def fit_components(
     )
     if options.segment_days:
         df = _segment_trend(df, keys, options.segment_days)
-    ratio = F.when(F.col("trend") > 0, F.col("_y") / F.col("trend"))
+    ratio = F.when(F.col("trend") > SMALLEST_TREND, F.col("_y") / F.col("trend"))
     df = df.withColumn("_ratio", ratio).withColumn("_dow", F.dayofweek("date"))
     profile = [F.avg(F.when(F.col("_dow") == d, F.col("_ratio"))).over(w) for d in range(1, 8)]
     df = df.withColumn("_profile", F.array(*profile))
@@ -98,7 +101,7 @@ def _holiday_effect(df: DataFrame, w):
     if "holiday" not in df.columns:
         return F.lit(1.0)
     expected = F.col("trend") * F.col("weekly")
-    residual = F.when(expected > 0, F.col("_y") / expected)
+    residual = F.when(expected > SMALLEST_TREND, F.col("_y") / expected)
     effect = F.when(F.col("holiday").isNull(), F.lit(1.0))
     for name in HOLIDAY_CLASSES:
         of_class = F.col("holiday") == name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsepanel.operators import calendar, kernels, vintages
@@ -102,7 +103,7 @@ def w06(spark, sf):
     on_sunday = F.dayofweek("date") == 1
     reported = F.when(on_sunday, F.col("total"))
     before = F.last("_reported", ignorenulls=True).over(
-        series.forward(["region"]).rowsBetween(-1_000_000, -1)
+        series.forward(["region"]).rowsBetween(Window.unboundedPreceding, -1)
     )
     p = p.withColumn("_reported", reported).withColumn("_before", before)
     entry = F.when(on_sunday, F.struct("date", F.col("_reported").alias("t"), F.col("_before").alias("b")))
@@ -226,15 +227,15 @@ def t03(spark, sf):
 
 BACK = "2023-12-01"
 BACK_SQL = f"""back AS (
-  SELECT region, date, new_tests FROM masked UNION ALL
+  SELECT region, date, new_tests FROM dense UNION ALL
   SELECT region, CAST(unnest(generate_series(DATE '{BACK}', min(date) - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE), 0.0
-  FROM masked GROUP BY region)"""
+  FROM dense GROUP BY region)"""
 
 
 @query(
     "t04_back_extension",
     "region date new_tests:f",
-    with_sql(PE, MASKED, BACK_SQL, sql_interpolate("back", "filled", "new_tests"), "SELECT * FROM filled"),
+    with_sql(PE, MASKED, sql_dense("masked", "dense", "new_tests"), BACK_SQL, sql_interpolate("back", "filled", "new_tests"), "SELECT * FROM filled"),
 )
 def t04(spark, sf):
     return calendar.back_extend(d.masked_events(spark, sf), "new_tests", start=BACK)

@@ -186,7 +186,7 @@ def sql_fit(
             f"{out}_t AS (SELECT x.*, ic + sl * _x AS trend FROM {out}_x AS x LEFT JOIN {out}_r AS r ON x.region = r.region)"
         )
     parts += [
-        f"{out}_w AS (SELECT region, dayofweek(date) AS _d, avg(_y / trend) AS _w FROM {out}_t WHERE _y IS NOT NULL AND trend > 0 GROUP BY 1, 2)",
+        f"{out}_w AS (SELECT region, dayofweek(date) AS _d, avg(_y / trend) AS _w FROM {out}_t WHERE _y IS NOT NULL AND trend > 1e-9 GROUP BY 1, 2)",
         f"{out}_wm AS (SELECT region, avg(_w) AS _m FROM {out}_w GROUP BY region)",
         f"{out}_k AS (SELECT t.*, coalesce(_w / nullif(_m, 0), 1.0) AS weekly FROM {out}_t AS t "
         f"LEFT JOIN {out}_w AS w ON w.region = t.region AND w._d = dayofweek(t.date) "
@@ -194,7 +194,7 @@ def sql_fit(
     ]
     if holiday:
         parts += [
-            f"{out}_h AS (SELECT region, holiday AS _h, avg(_y / (trend * weekly)) AS _e FROM {out}_k WHERE _y IS NOT NULL AND trend * weekly > 0 AND holiday IS NOT NULL GROUP BY 1, 2)",
+            f"{out}_h AS (SELECT region, holiday AS _h, avg(_y / (trend * weekly)) AS _e FROM {out}_k WHERE _y IS NOT NULL AND trend * weekly > 1e-9 AND holiday IS NOT NULL GROUP BY 1, 2)",
             f"{out}_e AS (SELECT k.*, coalesce(_e, 1.0) AS holiday_effect FROM {out}_k AS k LEFT JOIN {out}_h AS h ON h.region = k.region AND h._h = k.holiday)",
         ]
     else:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsepanel.operators.calendar import densify
+from pulsepanel.plans.checked.base import sql_dense
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -131,23 +134,25 @@ delay_kernel AS (
 def log_steps(spark: SparkSession, sf_dir: str, chains: int = 2, draws: int = 4) -> DataFrame:
     """Deterministic log steps of R(t): (region, chain, draw, date, step), one path per draw.
 
-    Steps follow the day's share of cases, shifted per draw.
+    Steps follow the day's share of cases, shifted per draw; a day without events steps by zero.
     """
     k = F.explode(F.sequence(F.lit(0), F.lit(chains * draws - 1))).alias("_k")
-    panel = panel_events(spark, sf_dir)
+    panel = densify(panel_events(spark, sf_dir))
     return panel.select("region", "date", "new_cases", "new_tests", k).select(
         "region",
         F.floor(F.col("_k") / draws).cast("int").alias("chain"),
         (F.col("_k") % draws).cast("int").alias("draw"),
         "date",
-        (
-            (F.col("new_cases") / F.col("new_tests") - 0.2)
-            + (F.col("_k") - 3) / 100.0
+        F.coalesce(
+            (F.col("new_cases") / F.col("new_tests") - 0.2) + (F.col("_k") - 3) / 100.0, F.lit(0.0)
         ).alias("step"),
     )
 
 
-STEPS = """steps AS (
+STEPS = (
+    sql_dense("pe", "days", "new_cases new_tests")
+    + """, steps AS (
   SELECT region, CAST(k // 4 AS INTEGER) AS chain, CAST(k % 4 AS INTEGER) AS draw, date,
-         (new_cases / new_tests - 0.2) + (k - 3) / 100.0 AS step
-  FROM pe, (SELECT unnest(generate_series(0, 7)) AS k) AS ks)"""
+         coalesce((new_cases / new_tests - 0.2) + (k - 3) / 100.0, 0.0) AS step
+  FROM days, (SELECT unnest(generate_series(0, 7)) AS k) AS ks)"""
+)
