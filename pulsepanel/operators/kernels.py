@@ -64,36 +64,47 @@ def kernel_values(kernel: DataFrame) -> list[float]:
 def valid_delays(line_list: DataFrame, weight: str | None = None) -> DataFrame:
     """Onset-to-confirmation delays of plausible patients: (onset, delay, n).
 
-    Input dates are ``dd.MM.yyyy`` text. Patients are counted per (onset, delay) at once, so
-    whatever follows works on at most days x delays rows.
+    Input dates are ``dd.MM.yyyy`` text. Patients are counted per pair of dates at once, so
+    whatever follows works on at most days x delays rows. The dates come back as aggregates:
+    that keeps later filters above the shuffle, and every use of the counts shares it.
     """
     # Two literal date strings of the line list that are known to be wrong.
     repairs = {"01.31.2020": "31.01.2020", "31.04.2020": "01.05.2020"}
-    fixed = line_list
-    for wrong, right in repairs.items():
-        fixed = fixed.withColumns(
-            {
-                c: F.when(F.col(c) == wrong, F.lit(right)).otherwise(F.col(c))
-                for c in ("onset", "confirmed")
-            }
-        )
-    dated = (
-        fixed.na.drop(subset=["country", "onset", "confirmed"])
-        .where((F.length("onset") == 10) & (F.length("confirmed") == 10))
-        .withColumns(
-            {c: F.try_to_date(F.col(c), "dd.MM.yyyy") for c in ("onset", "confirmed")}
-        )
-        .where((F.col("confirmed") > F.col("onset")) & (F.col("country") != "Mexico"))
+
+    def parsed(c: str):
+        text = F.col(c)
+        repaired = text
+        for wrong, right in repairs.items():
+            repaired = F.when(text == wrong, F.lit(right)).otherwise(repaired)
+        return F.try_to_date(repaired, "dd.MM.yyyy").alias(c)
+
+    # NULL texts and countries fail these comparisons as well
+    usable = (
+        (F.col("country") != "Mexico") & (F.length("onset") == 10) & (F.length("confirmed") == 10)
     )
     patients = F.count("*") if weight is None else F.sum(weight)
-    return dated.groupBy("onset", F.datediff("confirmed", "onset").alias("delay")).agg(
-        patients.cast("bigint").alias("n")
+    carried = [] if weight is None else [weight]
+    pairs = (
+        line_list.where(usable)
+        .select(parsed("onset"), parsed("confirmed"), *carried)
+        .groupBy("onset", "confirmed")
+        .agg(
+            patients.cast("bigint").alias("n"),
+            F.max("onset").alias("_onset"),
+            F.max("confirmed").alias("_confirmed"),
+        )
+    )
+    return pairs.where(F.col("_confirmed") > F.col("_onset")).select(
+        F.col("_onset").alias("onset"),
+        F.datediff("_confirmed", "_onset").alias("delay"),
+        "n",
     )
 
 
 def drop_censored(delays: DataFrame, days: int = CENSORED_DAYS) -> DataFrame:
     """Without the onsets of the last ``days``, whose confirmations may be outstanding."""
-    newest = delays.agg(F.max("onset").alias("d")).scalar()
+    # the whole row is compared so that this lookup reads the same shuffle as the rows below
+    newest = delays.agg(F.max(F.struct("onset", "delay", "n")).alias("m")).select("m.onset").scalar()
     return delays.where(F.col("onset") < F.date_sub(newest, days))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsepanel.functions.values import sum_if_enough, sum_or_zero
@@ -68,42 +68,65 @@ def recent_shares(panel: DataFrame, column: str = "new_tests", days: int = 7) ->
     return sums.select("region", F.try_divide("s", national).alias("share"))
 
 
-def redistribute_unassigned(
+def redistributed_days(
     df: DataFrame,
-    column: str,
+    columns: Sequence[str],
     buckets: Sequence[str],
     *,
     group: str = "region",
     exact: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Spread the NULL-region bucket of each day over ``buckets`` by their size.
+    """Per day, an array ``entries`` of (region, columns...) with the NULL-region rows spread.
 
     The published numbers update the buckets one after another, so a later bucket sees the
-    enlarged earlier ones; ``exact`` uses the original sizes throughout.
+    enlarged earlier ones; ``exact`` uses the original sizes throughout. ``extra`` aggregates are
+    taken in the same pass.
     """
-    names = {b: f"_b{i}" for i, b in enumerate(buckets)}
+    cells = {(c, b): f"_{c}_{i}" for c in columns for i, b in enumerate(buckets)}
     wide = df.groupBy("date").agg(
         *[
-            sum_or_zero(F.when(F.col(group) == b, F.col(column))).alias(name)
-            for b, name in names.items()
+            sum_or_zero(F.when(F.col(group) == b, F.col(c))).alias(name)
+            for (c, b), name in cells.items()
         ],
-        sum_or_zero(F.when(F.col(group).isNull(), F.col(column))).alias("_free"),
+        *[sum_or_zero(F.when(F.col(group).isNull(), F.col(c))).alias(f"_{c}_free") for c in columns],
+        *extra,
     )
-    if exact:
-        wide = wide.withColumns({f"{n}_in": F.col(n) for n in names.values()})
-    for name in names.values():
-        parts = [F.col(f"{n}_in") if exact else F.col(n) for n in names.values()]
-        whole = sum(parts[1:], parts[0])
-        own = F.col(f"{name}_in") if exact else F.col(name)
-        extra = F.col("_free") * F.try_divide(own, whole)
-        wide = wide.withColumn(name, F.col(name) + F.coalesce(extra, F.lit(0.0)))
-    entries = F.array(
-        *[
-            F.struct(F.lit(b).alias("region"), F.bround(F.col(n), 0).cast("bigint").alias(column))
-            for b, n in names.items()
-        ]
+    for c in columns:
+        sizes = {b: F.col(cells[c, b]) for b in buckets}
+        for b in buckets:
+            name = cells[c, b]
+            whole = sum(list(sizes.values())[1:], list(sizes.values())[0])
+            share = F.col(f"_{c}_free") * F.try_divide(sizes[b], whole)
+            target = f"{name}_out" if exact else name
+            wide = wide.withColumn(target, F.col(name) + F.coalesce(share, F.lit(0.0)))
+    suffix = "_out" if exact else ""
+    entries = [
+        F.struct(
+            F.lit(b).alias("region"),
+            *[F.bround(F.col(cells[c, b] + suffix), 0).cast("bigint").alias(c) for c in columns],
+        )
+        for b in buckets
+    ]
+    return wide.withColumn("entries", F.array(*entries)).drop(
+        *[n for n in wide.columns if n.startswith("_")]
+    )
+
+
+def redistribute_unassigned(
+    df: DataFrame,
+    columns: str | Sequence[str],
+    buckets: Sequence[str],
+    *,
+    group: str = "region",
+    exact: bool = False,
+) -> DataFrame:
+    """Rows of ``buckets`` with the unassigned remainder of each day spread by their size."""
+    names = [columns] if isinstance(columns, str) else list(columns)
+    days = redistributed_days(df, names, buckets, group=group, exact=exact)
+    return days.select("date", F.explode("entries").alias("e")).select(
+        "e.region", "date", *[f"e.{c}" for c in names]
     )
-    return wide.select("date", F.explode(entries).alias("e")).select("e.region", "date", f"e.{column}")
 
 
 def trainable_regions(panel: DataFrame, column: str = "new_tests", more_than: int = 10) -> DataFrame:

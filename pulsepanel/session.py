@@ -21,6 +21,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pulsepanel")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsepanel.functions.text import iso_date, number
 from pulsepanel.operators.clean import map_codes, negatives_to_null
-from pulsepanel.operators.combine import outer_merge, union_regions
-from pulsepanel.operators.totals import national_total, redistribute_unassigned, sum_by
+from pulsepanel.operators.totals import redistributed_days, sum_by
 from pulsepanel.sources import fixed_values
 from pulsepanel.sources.files import read_text_csv
 
@@ -48,14 +47,25 @@ def belgium_panel(
     exact: bool = False,
 ) -> DataFrame:
     """National, regional (with the unassigned tests spread) and provincial rows."""
-    rows = test_rows(raw)
     # the raw rows are read once; everything below works on their daily sums
-    daily = rows.groupBy("region", "province", "date").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    regional = [redistribute_unassigned(daily, c, buckets, exact=exact) for c in COUNTS]
-    by_region = outer_merge(*regional).select(
-        "region", "date", *[F.col(c).cast("double").alias(c) for c in COUNTS]
+    daily = sum_by(test_rows(raw), ["date", "region", "province"], COUNTS)
+    in_province = (
+        (F.col("region").isNull() | (F.col("region") != outside)) & F.col("province").isNotNull()
+    )
+    national = F.struct(F.lit("all").alias("region"), *[F.sum(c).alias(c) for c in COUNTS])
+    # a day has one entry per region and province
+    provinces = F.collect_list(
+        F.when(in_province, F.struct(F.col("province").alias("region"), *COUNTS))
+    )
+    days = redistributed_days(
+        daily, COUNTS, buckets, exact=exact,
+        extra=[national.alias("national"), provinces.alias("provinces")],
     )
-    merged = union_regions(
-        national_total(daily, COUNTS), by_region, province_sums(daily, outside=outside)
+    regional = F.transform(
+        "entries", lambda e: F.struct(e.region.alias("region"), *[e[c].cast("double").alias(c) for c in COUNTS])
     )
+    rows = days.select(
+        "date", F.explode(F.concat(F.array("national"), regional, "provinces")).alias("e")
+    ).select("e.region", "date", *[f"e.{c}" for c in COUNTS])
+    merged = sum_by(rows, ["region", "date"], COUNTS)
     return negatives_to_null(map_codes(merged, codes, "region", keep_unmapped=False))
