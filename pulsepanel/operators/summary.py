@@ -28,7 +28,8 @@ def _cell(value: Column) -> Column:
     """Order-preserving cell of a value: logarithmic in its size, mirrored for negatives."""
     tiny = 1e-12
     size = F.floor((F.ln(F.abs(value) + tiny) - math.log(tiny)) / CELL_WIDTH)
-    return (F.signum(value) * size).cast("bigint")
+    # never NULL: a nullable join key would give the two uses of the counts different filters
+    return F.coalesce((F.signum(value) * size).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def value_ranks(samples: DataFrame, value: str, keys: Sequence[str] = REGION_DATE) -> DataFrame:
@@ -186,7 +187,7 @@ def summarize_median_and_hdi(
         hdi = ranked_hdi(ranks, p, keys).select(
             *keys, F.col("lower").alias(lower), F.col("upper").alias(upper)
         )
-        result = result.join(hdi, list(keys), "left")
+        result = result.join(hdi, list(keys))
     return result
 
 
