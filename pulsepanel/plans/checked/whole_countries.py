@@ -10,6 +10,8 @@ from pulsepanel import dimensions
 from pulsepanel.api import CountrySupport, Registry, get_data, process_testcounts
 from pulsepanel.operators.forecast import ForecastOptions
 from pulsepanel.operators.kernels import generation_time
+from pulsepanel.operators.patches import patch_table
+from pulsepanel.operators.vintages import choose_file
 from pulsepanel.plans import countries, rt
 from pulsepanel.plans.checked import derived as d
 from pulsepanel.plans.checked.base import (
@@ -47,7 +49,6 @@ from pulsepanel.plans.checked.loading import (
     test_text,
 )
 from pulsepanel.plans.checked.summing import REDISTRIBUTED
-from pulsepanel.operators.patches import patch_table
 from pulsepanel.sources import belgium, france, germany, italy, owid, united_states
 
 RUN = datetime.date(2001, 7, 20)
@@ -87,7 +88,7 @@ def q_de_tests(spark, sf):
     raw = test_text(spark, sf).withColumn(
         "region", F.when(F.col("region") == "MIDDLE EAST", F.lit("nicht zugeordnet")).otherwise(F.col("region"))
     )
-    return germany.test_counts_panel(raw, codes(spark), totals, before="2001-07-20")
+    return germany.test_counts_panel(choose_file(raw, "2001-07-20"), codes(spark), totals)
 
 
 @query(

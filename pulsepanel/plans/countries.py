@@ -107,8 +107,12 @@ def _process_one_series(plan: SeriesPlan):
     return process
 
 
-def default_registry(landing: str) -> Registry:
-    """All supported countries, reading files landed below ``landing``."""
+def default_registry(landing: str, *, take_latest_tests: bool = True) -> Registry:
+    """All supported countries, reading files landed below ``landing``.
+
+    ``take_latest_tests=False`` uses the last German test-count file before the run date, to see
+    what was known then.
+    """
     registry = Registry()
     zone = {a2: z for a2, _, z in fv.COUNTRIES}
     named: dict[str, list[tuple]] = {}
@@ -137,7 +141,9 @@ def default_registry(landing: str) -> Registry:
     def load_de(spark: SparkSession, run_date: datetime.date) -> DataFrame:
         return germany.germany_panel(
             germany.case_lines(germany.read_case_lines(spark, f"{landing}/de/cases")),
-            germany.read_test_counts(spark, f"{landing}/de/tests"),
+            germany.read_test_counts(
+                spark, f"{landing}/de/tests", None if take_latest_tests else run_date
+            ),
             owid.summarized_totals(world(spark), "DE"),
             dimensions.german_codes(spark),
             run_date=run_date,

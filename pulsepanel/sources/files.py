@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsepanel.operators.vintages import file_date
+
 
 def read_text_csv(
     spark: SparkSession,
@@ -34,6 +36,29 @@ def read_text_csv(
     return df.select(picked)
 
 
+def vintage_file(
+    spark: SparkSession,
+    folder: str,
+    pattern: str,
+    before: datetime.date | str | None = None,
+) -> str:
+    """Path of the newest file whose name starts with a date, or the newest before ``before``.
+
+    Lists the folder without reading any file.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    )
+    dated = listing.withColumn("day", file_date(F.substring_index("path", "/", -1)))
+    allowed = dated.where("day is not null")
+    if before is not None:
+        allowed = allowed.where(F.col("day") < F.lit(str(before)).cast("date"))
+    newest = allowed.agg(F.max_by("path", F.struct("day", "path")).alias("path")).first().path
+    if newest is None:
+        raise FileNotFoundError(f"No file like {pattern} in {folder} for {before or 'any day'}.")
+    return newest
+
+
 def archive_snapshot(df: DataFrame, path: str, snapshot: datetime.date | str) -> None:
     """Keep the raw table of one day: Parquet, partitioned by ``snapshot_date``.
 

@@ -13,9 +13,8 @@ from pulsepanel.operators.calendar import all_combinations, fixed_calendar
 from pulsepanel.operators.clean import map_codes
 from pulsepanel.operators.combine import long_comparison, outer_merge
 from pulsepanel.operators.totals import sum_by, with_national_total
-from pulsepanel.operators.vintages import choose_file
 from pulsepanel.sources import fixed_values
-from pulsepanel.sources.files import read_text_csv
+from pulsepanel.sources.files import read_text_csv, vintage_file
 
 CASE_COLUMNS = ("Bundesland", "Meldedatum", "Datenstand", "AnzahlFall", "AnzahlTodesfall")
 FIRST_DAY = "2020-03-01"
@@ -61,10 +60,13 @@ def positives_panel(
     return fixed_calendar(merged, grid, FIRST_DAY, last_day, counts)
 
 
-def read_test_counts(spark: SparkSession, path: str) -> DataFrame:
-    """All test-count files of a folder; semicolons, Latin-1 text, one vintage per file."""
-    raw = read_text_csv(spark, path, sep=";", encoding="ISO-8859-1", with_file_name=True)
-    return raw.toDF("region", "date", "new_tests", "positive_fraction", "file_name")
+def read_test_counts(
+    spark: SparkSession, folder: str, before: datetime.date | str | None = None
+) -> DataFrame:
+    """The newest test-count file of a folder, or the newest dated before a run date."""
+    path = vintage_file(spark, folder, "*tests_daily_BL.[cC][sS][vV]", before)
+    raw = read_text_csv(spark, path, sep=";", encoding="ISO-8859-1")
+    return raw.toDF("region", "date", "new_tests", "positive_fraction")
 
 
 def test_counts(raw: DataFrame) -> DataFrame:
@@ -77,18 +79,12 @@ def test_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def test_counts_panel(
-    raw: DataFrame,
-    codes: DataFrame,
-    owid_totals: DataFrame,
-    *,
-    before: datetime.date | str | None = None,
-) -> DataFrame:
-    """Test counts of the chosen file vintage, their total, and the reported totals.
+def test_counts_panel(raw: DataFrame, codes: DataFrame, owid_totals: DataFrame) -> DataFrame:
+    """Test counts of one file vintage, their total, and the reported totals.
 
     Unassigned tests count in the total and then disappear. The positive fraction has no total.
     """
-    counts = map_codes(test_counts(choose_file(raw, before)), codes, "region", keep_unmapped=True)
+    counts = map_codes(test_counts(raw), codes, "region", keep_unmapped=True)
     merged = with_national_total(counts, ["new_tests", "positive_fraction"])
     merged = merged.withColumn(
         "positive_fraction", F.when(F.col("region") != "all", F.col("positive_fraction"))
@@ -104,15 +100,11 @@ def germany_panel(
     *,
     run_date: datetime.date,
     regions: Sequence[str],
-    take_latest: bool = True,
 ) -> DataFrame:
     """Cases, deaths and tests of all regions, as known on the run date."""
     last_day = str(run_date - datetime.timedelta(days=2))
     positives = positives_panel(lines, codes, last_day, regions)
-    tests = test_counts_panel(
-        raw_tests, codes, owid_totals, before=None if take_latest else run_date
-    )
-    return outer_merge(positives, tests)
+    return outer_merge(positives, test_counts_panel(raw_tests, codes, owid_totals))
 
 
 def nowcast_table(raw: DataFrame, headers: dict[str, Sequence[str]] | None = None) -> DataFrame:
