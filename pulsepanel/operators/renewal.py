@@ -110,7 +110,10 @@ def exposure(tests: Column, window) -> Column:
 def with_exposure(
     panel: DataFrame, tests: str = "daily_tests", keys: Sequence[str] = ("region",)
 ) -> DataFrame:
-    return panel.withColumn("exposure", exposure(F.col(tests).cast("double"), series.whole(keys)))
+    """Panel with ``exposure`` and its share of the series' maximum, ``exposure_profile``."""
+    w = series.whole(keys)
+    exposed = panel.withColumn("exposure", exposure(F.col(tests).cast("double"), w))
+    return exposed.withColumn("exposure_profile", F.col("exposure") / F.max("exposure").over(w))
 
 
 def expected_positives(paths: DataFrame, observed: DataFrame) -> DataFrame:
@@ -146,16 +149,51 @@ def log_likelihood(
     )
 
 
-def estimate_r_t(
-    panel: DataFrame,
+def gamma_posterior(
+    axis: DataFrame,
     kernel: Sequence[float],
     *,
-    tests: str = "daily_tests",
     window_days: int = 7,
     prior_shape: float = 1.0,
     prior_scale: float = 5.0,
     min_cases: float = 1.0,
     keys: Sequence[str] = ("region",),
+) -> DataFrame:
+    """Axis (see ``with_exposure``) plus ``shape`` and ``rate`` of R(t), NULL without an estimate.
+
+    All windows are on the series key, so the axis is shuffled once at most.
+    """
+    cases = F.col("new_cases").cast("double")
+    df = axis.withColumn("_adjusted", F.try_divide(cases, F.col("exposure_profile")))
+    # history for the infection pressure needs every day; unobserved ones are interpolated
+    history = interpolate(df.withColumn("_history", F.col("_adjusted")), "_history", keys)
+    history = convolve(history, "_history", kernel, "_pressure", keys)
+    trailing = series.forward(keys).rowsBetween(-(window_days - 1), 0)
+    usable = F.col("_adjusted").isNotNull() & (F.col("_pressure") > 0)
+    summed = history.withColumns(
+        {
+            "_cases": F.sum(F.when(usable, F.col("_adjusted"))).over(trailing),
+            "_force": F.sum(F.when(usable, F.col("_pressure"))).over(trailing),
+            "_rows": F.count("*").over(trailing),
+        }
+    )
+    known = (
+        (F.col("_rows") == window_days) & (F.col("_cases") >= min_cases) & (F.col("_force") > 0)
+    )
+    return summed.select(
+        *axis.columns,
+        F.when(known, F.lit(prior_shape) + F.col("_cases")).alias("shape"),
+        F.when(known, F.lit(1.0 / prior_scale) + F.col("_force")).alias("rate"),
+    )
+
+
+def estimate_r_t(
+    panel: DataFrame,
+    kernel: Sequence[float],
+    *,
+    tests: str = "daily_tests",
+    keys: Sequence[str] = ("region",),
+    **options,
 ) -> DataFrame:
     """Conjugate window estimate of R(t) (Cori et al., Am J Epidemiol 2013).
 
@@ -164,30 +202,11 @@ def estimate_r_t(
     1/b + sum(Lambda); only days with cases and tests count, and only full windows are emitted.
     The panel must be gap-free (see ``model_axis``). Replaces the sampler: the intervals are not
     those of a hierarchical fit. Lambda is too small while the kernel still lacks history.
+    ``options`` are those of ``gamma_posterior``.
     """
-    w = series.forward(keys)
-    df = with_exposure(panel, tests, keys)
-    profile = F.col("exposure") / F.max("exposure").over(series.whole(keys))
-    df = df.withColumn("adjusted_cases", F.try_divide(F.col("new_cases").cast("double"), profile))
-    # history for Lambda needs every day; unobserved ones are interpolated
-    history = interpolate(df.withColumn("_history", F.col("adjusted_cases")), "_history", keys)
-    history = convolve(history, "_history", kernel, "infectiousness", keys)
-    trailing = w.rowsBetween(-(window_days - 1), 0)
-    usable = F.col("adjusted_cases").isNotNull() & (F.col("infectiousness") > 0)
-    summed = history.withColumns(
-        {
-            "_cases": F.sum(F.when(usable, F.col("adjusted_cases"))).over(trailing),
-            "_force": F.sum(F.when(usable, F.col("infectiousness"))).over(trailing),
-            "_rows": F.count("*").over(trailing),
-        }
-    ).where(
-        (F.col("_rows") == window_days)
-        & (F.col("_cases") >= min_cases)
-        & (F.col("_force") > 0)
-    )
-    shape = F.lit(prior_shape) + F.col("_cases")
-    rate = F.lit(1.0 / prior_scale) + F.col("_force")
-    return summed.withColumns({"shape": shape, "rate": rate}).select(
+    axis = with_exposure(panel, tests, keys)
+    posterior = gamma_posterior(axis, kernel, keys=keys, **options).where("shape is not null")
+    return posterior.select(
         *keys,
         "date",
         "shape",
@@ -211,9 +230,17 @@ def normal_scores(n: int) -> list[float]:
 
 
 def posterior_draws(
-    estimate: DataFrame, *, chains: int = 4, draws: int = 200, keys: Sequence[str] = ("region",)
+    estimate: DataFrame,
+    *,
+    chains: int = 4,
+    draws: int = 200,
+    keys: Sequence[str] = ("region",),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Deterministic draws of R(t): every gamma posterior at evenly spaced probabilities."""
+    """Deterministic draws of R(t): every gamma posterior at evenly spaced probabilities.
+
+    ``carry`` columns of the day go along with each draw, which spares a join later.
+    """
     scores = F.array(*[F.lit(z) for z in normal_scores(chains * draws)])
     spread = estimate.select("*", F.posexplode(scores).alias("_k", "_z"))
     return spread.select(
@@ -222,14 +249,17 @@ def posterior_draws(
         (F.col("_k") % draws).cast("int").alias("draw"),
         "date",
         gamma_quantile(F.col("shape"), F.col("rate"), F.col("_z")).alias("r_t"),
+        *carry,
     )
 
 
-def draws_on_axis(draws: DataFrame, axis: DataFrame, keys: Sequence[str] = PATH) -> DataFrame:
-    """Draws on every day of the model axis; R is constant outside the estimated days."""
-    days = axis.groupBy("region").agg(F.sort_array(F.collect_set("date")).alias("_axis"))
-    paths = draws.select(*keys).distinct().join(days, "region").select(*keys, F.explode("_axis").alias("date"))
-    return carry_both_ways(paths.join(draws, [*keys, "date"], "left"), "r_t", keys)
+def posterior_on_axis(posterior: DataFrame, keys: Sequence[str] = ("region",)) -> DataFrame:
+    """Posterior for every day of the axis: constant before the first and after the last estimate.
+
+    Series without any estimate are left out.
+    """
+    carried = carry_both_ways(carry_both_ways(posterior, "shape", keys), "rate", keys)
+    return carried.where("shape is not null")
 
 
 def scale_factor(
@@ -244,12 +274,8 @@ def scale_factor(
     on days that have case and test counts, divided by the probability of being observed. It is a
     lower bound: nobody who is never tested is counted.
     """
-    w = series.whole(["region"])
-    profile = F.col("exposure") / F.max("exposure").over(w)
-    days = (
-        observed.withColumn("_profile", profile)
-        .where("new_cases is not null and exposure is not null")
-        .select("region", "date", F.col("new_cases").alias("_cases"), "_profile")
+    days = observed.where("new_cases is not null and exposure is not null").select(
+        "region", "date", F.col("new_cases").alias("_cases"), F.col("exposure_profile").alias("_profile")
     )
     sums = paths.join(days, ["region", "date"]).groupBy(*keys).agg(
         F.sum("_cases").alias("_observed"),
@@ -262,16 +288,35 @@ def scale_factor(
     )
 
 
+def with_scale_factor(
+    paths: DataFrame, p_delay: Sequence[float], keys: Sequence[str] = PATH
+) -> DataFrame:
+    """``scale_factor`` as a column, for paths that carry ``new_cases`` and ``exposure_profile``.
+
+    Windows on the path instead of a join with the paths themselves.
+    """
+    w = series.whole(keys)
+    both = F.col("new_cases").isNotNull() & F.col("exposure_profile").isNotNull()
+    seen = F.sum(F.when(both, F.col("new_cases"))).over(w)
+    inferred = F.sum(F.when(both, F.col("test_adjusted_positive") * F.col("exposure_profile"))).over(w)
+    observe = float(sum(p_delay))
+    return paths.withColumn(
+        "scale_factor", F.try_divide(F.try_divide(seen, inferred), F.lit(observe))
+    )
+
+
 def case_curves(
     paths: DataFrame,
-    factors: DataFrame,
+    factors: DataFrame | None,
     generation_kernel: Sequence[float],
     keys: Sequence[str] = PATH,
 ) -> DataFrame:
-    """Daily new, cumulative and active cases of every path."""
-    scaled = paths.join(factors, list(keys)).withColumn(
-        "new_cases", F.col("infections") * F.col("scale_factor")
-    )
+    """Daily new, cumulative and active cases of every path.
+
+    ``factors`` is a table of scale factors, or None for paths that have the column already.
+    """
+    joined = paths if factors is None else paths.join(factors, list(keys))
+    scaled = joined.withColumn("new_cases", F.col("infections") * F.col("scale_factor"))
     w = series.so_far(series.forward(keys))
     totals = scaled.withColumn("total_cases", F.sum("new_cases").over(w))
     active = convolve(totals, "new_cases", still_active(generation_kernel), "active_cases", keys)

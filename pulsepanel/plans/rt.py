@@ -13,13 +13,12 @@ from pulsepanel.operators.kernels import delay_kernel, drop_censored, generation
 from pulsepanel.operators.renewal import (
     case_curves,
     delayed_positives,
-    draws_on_axis,
-    estimate_r_t,
-    expected_positives,
+    gamma_posterior,
     posterior_draws,
+    posterior_on_axis,
     renewal_infections,
-    scale_factor,
     with_exposure,
+    with_scale_factor,
 )
 from pulsepanel.operators.summary import summarize_infections, summarize_r_t
 
@@ -32,7 +31,6 @@ class RtResult:
     estimate: DataFrame
     draws: DataFrame
     paths: DataFrame
-    factors: DataFrame
     curves: DataFrame
     per_group: int
 
@@ -64,22 +62,31 @@ def estimate(
     kernel = list(p_generation_time or generation_time())
     observed = panel.select("region", "date", "new_cases", F.col(tests).alias("daily_tests"))
     axis = with_exposure(model_axis(observed, buffer_days))
-    posterior = estimate_r_t(axis, kernel, window_days=window_days)
-    drawn = posterior_draws(posterior, chains=chains, draws=draws)
-    paths = renewal_infections(draws_on_axis(drawn, axis), kernel)
-    paths = delayed_positives(paths, p_delay)
-    factors = scale_factor(paths, axis, p_delay)
+    posterior = gamma_posterior(axis, kernel, window_days=window_days)
+    estimated = posterior.where("shape is not null").select(
+        "region", "date", "shape", "rate", (F.col("shape") / F.col("rate")).alias("r_t_mean")
+    )
+    # draws take the day's counts along, so nothing of their size is joined afterwards
+    drawn = posterior_draws(
+        posterior_on_axis(posterior),
+        chains=chains,
+        draws=draws,
+        carry=["new_cases", "exposure", "exposure_profile"],
+    )
+    paths = delayed_positives(renewal_infections(drawn, kernel), p_delay)
+    scaled = with_scale_factor(paths, p_delay)
     return RtResult(
         axis=axis,
-        estimate=posterior,
-        draws=drawn,
-        paths=paths,
-        factors=factors,
-        curves=case_curves(paths, factors, kernel),
+        estimate=estimated,
+        draws=posterior_draws(estimated, chains=chains, draws=draws),
+        paths=scaled,
+        curves=case_curves(scaled, None, kernel),
         per_group=chains * draws,
     )
 
 
-def expected_tests(result: RtResult) -> DataFrame:
-    """Expected positive tests of every path."""
-    return expected_positives(result.paths, result.axis)
+def expected_positives(result: RtResult) -> DataFrame:
+    """Expected positive tests of every path, on days with test counts."""
+    return result.paths.where("exposure is not null").withColumn(
+        "positive", F.col("exposure") * F.col("test_adjusted_positive")
+    )
