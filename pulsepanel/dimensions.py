@@ -7,10 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsepanel.functions.text import iso_date
 from pulsepanel.sources import fixed_values as fv
+from pulsepanel.sources.files import read_text_csv
 
 REGION_SCHEMA = "alpha2 string, region string, name string, short_name string, population bigint"
-HOLIDAY_SCHEMA = "alpha2 string, region string, date date, name string"
 
 
 def zones(spark: SparkSession) -> DataFrame:
@@ -64,3 +65,9 @@ def german_codes(spark: SparkSession) -> DataFrame:
 
 def belgian_codes(spark: SparkSession) -> DataFrame:
     return code_table(spark, [(source, code) for code, _, source, _ in fv.BE_REGIONS])
+
+
+def read_holidays(spark: SparkSession, path: str) -> DataFrame:
+    """Holiday table (alpha2, region, date, name); national holidays have no region."""
+    raw = read_text_csv(spark, path, ["alpha2", "region", "date", "name"])
+    return raw.withColumn("date", iso_date(F.col("date")))

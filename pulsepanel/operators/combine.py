@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsepanel.functions import series
+from pulsepanel.functions.text import shorten
 
 KEYS = ("region", "date")
 
@@ -38,14 +39,15 @@ def next_report_interval(panel: DataFrame, reported: str, keys: Sequence[str] =
     return panel.withColumn("report_date", series.next_known(report_day, keys))
 
 
-def events_in_range(panel: DataFrame, events: DataFrame) -> DataFrame:
-    """Events of a region that fall between the first and last day of its series."""
+def events_in_range(panel: DataFrame, events: DataFrame, label_width: int = 20) -> DataFrame:
+    """Events of a region between the first and last day of its series, labels shortened."""
     spans = panel.groupBy("region").agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
-    return (
+    inside = (
         events.join(spans, "region")
         .where(F.col("date").between(F.col("_lo"), F.col("_hi")))
         .select(events.columns)
     )
+    return inside.withColumn("label", shorten(F.col("label"), label_width))
 
 
 def holiday_calendar(
@@ -72,6 +74,26 @@ def holiday_calendar(
     )
 
 
+def forecast_holidays(
+    holidays: DataFrame,
+    alpha2: str,
+    regions: Sequence[str] | str | None = None,
+    *,
+    regional_holidays: bool = False,
+) -> DataFrame:
+    """Holiday classes for a forecast.
+
+    National holidays only, as one class, unless ``regional_holidays`` asks for a national and a
+    regional class, which takes "all" or several regions.
+    """
+    if not regional_holidays:
+        national = holiday_calendar(holidays, alpha2)
+        return national.withColumn("holiday", F.lit("holiday"))
+    if regions != "all" and (regions is None or isinstance(regions, str) or len(regions) <= 1):
+        raise ValueError("Regional holidays need several regions; set regional_holidays to False.")
+    return holiday_calendar(holidays, alpha2, regions)
+
+
 def with_holidays(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     """Panel with a ``holiday`` class column, NULL on ordinary days."""
     return panel.join(calendar.select("date", "holiday"), "date", "left")
@@ -108,9 +130,3 @@ def union_regions(*panels: DataFrame) -> DataFrame:
 def assign_on_date(panel: DataFrame, factors: DataFrame, column: str) -> DataFrame:
     """Give every region the national value of ``column`` for its date."""
     return panel.drop(column).join(factors.select("date", F.col(column)), "date", "left")
-
-
-def label_for(column: Column, width: int = 20) -> Column:
-    from pulsepanel.functions.text import shorten
-
-    return shorten(column, width)

@@ -452,7 +452,7 @@ def j08(spark, sf):
     "region date label n:i",
     with_sql(
         PO,
-        """SELECT r_name AS region, CAST(l_shipdate AS DATE) AS date, 'shipments of ' || r_name AS label, count(*) AS n
+        """SELECT r_name AS region, CAST(l_shipdate AS DATE) AS date, CASE WHEN r_name = 'MIDDLE EAST' THEN 'shipments of...' ELSE 'shipments of ' || r_name END AS label, count(*) AS n
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
            JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
            JOIN (SELECT region, min(date) AS lo, max(date) AS hi FROM po GROUP BY region) AS b ON b.region = r_name
@@ -515,7 +515,7 @@ def holidays(spark):
     ),
 )
 def j10(spark, sf):
-    days = combine.holiday_calendar(holidays(spark), "XX", "all")
+    days = combine.forecast_holidays(holidays(spark), "XX", "all", regional_holidays=True)
     return combine.with_holidays(d.panel_events(spark, sf), days)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pulsepanel import dimensions
 from pulsepanel.api import CountrySupport, Registry
 from pulsepanel.operators.calendar import back_extend, daily_from_totals, ramp_from_anchor
-from pulsepanel.operators.combine import assign_on_date
+from pulsepanel.operators.combine import assign_on_date, forecast_holidays, with_holidays
 from pulsepanel.operators.forecast import (
     ForecastOptions,
     daily_scaling_factors,
@@ -107,11 +107,13 @@ def _process_one_series(plan: SeriesPlan):
     return process
 
 
-def default_registry(landing: str, *, take_latest_tests: bool = True) -> Registry:
+def default_registry(
+    landing: str, *, take_latest_tests: bool = True, holidays: str | None = None
+) -> Registry:
     """All supported countries, reading files landed below ``landing``.
 
     ``take_latest_tests=False`` uses the last German test-count file before the run date, to see
-    what was known then.
+    what was known then. ``holidays`` is the path of a holiday table for the forecasts.
     """
     registry = Registry()
     zone = {a2: z for a2, _, z in fv.COUNTRIES}
@@ -129,10 +131,17 @@ def default_registry(landing: str, *, take_latest_tests: bool = True) -> Registr
                 region_short_name={r: s for r, _, s, _ in rows},
                 region_population={r: p for r, _, _, p in rows},
                 load=load,
-                process=process,
+                process=process if holidays is None else with_national_holidays(alpha2, process),
             )
         )
 
+    def with_national_holidays(alpha2: str, process):
+        def run(panel: DataFrame) -> DataFrame:
+            table = dimensions.read_holidays(panel.sparkSession, holidays)
+            return process(with_holidays(panel, forecast_holidays(table, alpha2))).drop("holiday")
+
+        return run
+
     def world(spark: SparkSession) -> DataFrame:
         return owid.owid_panel(
             owid.read_owid(spark, f"{landing}/owid"), dimensions.iso_dimension(spark)

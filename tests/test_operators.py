@@ -250,6 +250,12 @@ def test_holiday_calendar(spark):
     assert names(None) == {("2020-01-01", "national")}
     assert names(["BY"]) == {("2020-01-01", "national"), ("2020-01-06", "regional")}
     assert len(names("all")) == 3
+    one = combine.forecast_holidays(hol, "DE", "BY").collect()
+    assert [(r.date.isoformat(), r.holiday) for r in one] == [("2020-01-01", "holiday")]
+    assert combine.forecast_holidays(hol, "DE", ["BY", "BW"], regional_holidays=True).count() == 3
+    for regions in (None, "BY", ["BY"]):
+        with pytest.raises(ValueError, match="several regions"):
+            combine.forecast_holidays(hol, "DE", regions, regional_holidays=True)
 
 
 def test_forecast_keeps_reports_and_skips_short_series(panel):

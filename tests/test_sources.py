@@ -176,6 +176,23 @@ def test_one_series_countries(spark, landing, country, start):
         assert out["all", "2020-01-01"][1] == 0.0
 
 
+def test_holiday_table_enters_the_forecast(spark, landing, tmp_path):
+    write(tmp_path / "holidays.csv", "alpha2,region,date,name\nPT,,2020-04-10,Good Friday\nPT,,2020-04-28,Made up\n")
+    reg = default_registry(landing, holidays=str(tmp_path / "holidays.csv"))
+    df = get_data(reg, spark, "PT", RUN)
+    day = F.col("date")
+    df = df.withColumn(
+        "new_tests",
+        F.when(day == F.lit("2020-04-10").cast("date"), F.lit(100.0))
+        .when(day == F.lit("2020-04-28").cast("date"), F.lit(None))
+        .otherwise(F.col("new_tests")),
+    )
+    processed = process_testcounts(reg, "PT", df)
+    assert "holiday" not in processed.columns
+    out = by_key(processed, "predicted_new_tests")
+    assert out["all", "2020-04-28"][0] < 200
+
+
 def test_registry_errors_and_zones(spark, landing):
     reg = Registry(iso_codes=["AQ"])
     support = CountrySupport(
