@@ -299,15 +299,16 @@ def a11(spark, sf):
 
 @query(
     "a12_density_intervals",
-    "region date r_t:f r_t_lower_0.5:f r_t_upper_0.5:f r_t_lower_0.9:f r_t_upper_0.9:f",
+    "region date r_t:f lower_50:f upper_50:f lower_90:f upper_90:f",
     with_sql(
         PE, *POSTERIOR, sql_hdi("post", "r_t", "region date", 0.5, "h5"), sql_hdi("post", "r_t", "region date", 0.9, "h9"),
-        'SELECT region, date, r_t, h5.lower AS "r_t_lower_0.5", h5.upper AS "r_t_upper_0.5", h9.lower AS "r_t_lower_0.9", h9.upper AS "r_t_upper_0.9" '
+        'SELECT region, date, r_t, h5.lower AS lower_50, h5.upper AS upper_50, h9.lower AS lower_90, h9.upper AS upper_90 '
         "FROM (SELECT region, date, median(r_t) AS r_t FROM post GROUP BY 1, 2) AS m JOIN h5 USING (region, date) JOIN h9 USING (region, date)",
     ),
 )
 def a12(spark, sf):
-    return summarize_median_and_hdi(posterior(spark, sf), "r_t", "r_t", [0.5, 0.9], per_group=100)
+    summary = summarize_median_and_hdi(posterior(spark, sf), "r_t", "r_t", [0.5, 0.9], per_group=100)
+    return summary.toDF("region", "date", "r_t", "lower_50", "upper_50", "lower_90", "upper_90")
 
 
 @query(
@@ -418,11 +419,11 @@ def q_rt(spark, sf):
 
 @query(
     "q_rt_summary_lists",
-    "region dates values",
+    "region dates percents",
     with_sql(
         PE, *POSTERIOR,
         "SELECT region, string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS dates, "
-        "string_agg(CAST(CAST(round(p * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY date) AS \"values\" FROM "
+        "string_agg(CAST(CAST(round(p * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY date) AS percents FROM "
         "(SELECT region, date, avg(CASE WHEN r_t > 1 THEN 1.0 ELSE 0.0 END) AS p FROM post GROUP BY 1, 2) AS m GROUP BY region",
     ),
 )
@@ -431,5 +432,5 @@ def q_rt_lists(spark, sf):
     percent = F.transform("r_t_threshold_probability", lambda p: F.round(p * 100).cast("bigint").cast("string"))
     days = F.transform("date", lambda x: F.date_format(x, "yyyy-MM-dd"))
     return lists.select(
-        "region", F.array_join(days, ",").alias("dates"), F.array_join(percent, ",").alias("values")
+        "region", F.array_join(days, ",").alias("dates"), F.array_join(percent, ",").alias("percents")
     )

@@ -1,11 +1,11 @@
-"""Session settings the library expects, and the shared folder for cut lineage."""
+"""Session settings the library expects, and the shared folder for tables that outlive a job."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,9 +51,3 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()

@@ -393,3 +393,9 @@ def test_kernel_length_is_checked(spark):
     long = spark.range(2000).select(F.col("id").cast("int").alias("lag"), F.lit(0.1).alias("p"))
     with pytest.raises(ValueError, match="at most"):
         kernels.kernel_values(long)
+
+
+def test_survival_table_equals_list(spark):
+    g = kernels.generation_time(20)
+    table = kernels.survival(kernels.kernel_table(spark, "generation", g)).orderBy("lag").collect()
+    np.testing.assert_allclose([r.p_active for r in table], kernels.still_active(g), atol=1e-12)

@@ -216,6 +216,9 @@ def test_registry_errors_and_zones(spark, landing):
 
 
 def test_dimensions(spark):
+    countries = dimensions.country_dimension(spark)
+    iso = dimensions.iso_dimension(spark)
+    assert countries.join(iso, "alpha2").count() == countries.count() == 12
     regions = dimensions.region_dimension(spark)
     counts = {r.alpha2: r["count"] for r in regions.groupBy("alpha2").count().collect()}
     assert counts == {"AT": 1, "CH": 1, "CZ": 1, "DK": 1, "LU": 1, "NL": 1, "PT": 1,
