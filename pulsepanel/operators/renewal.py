@@ -113,7 +113,10 @@ def with_exposure(
     """Panel with ``exposure`` and its share of the series' maximum, ``exposure_profile``."""
     w = series.whole(keys)
     exposed = panel.withColumn("exposure", exposure(F.col(tests).cast("double"), w))
-    return exposed.withColumn("exposure_profile", F.col("exposure") / F.max("exposure").over(w))
+    # a series that never tests has no profile
+    return exposed.withColumn(
+        "exposure_profile", F.try_divide("exposure", F.max("exposure").over(w))
+    )
 
 
 def expected_positives(paths: DataFrame, observed: DataFrame) -> DataFrame:

@@ -231,7 +231,7 @@ def summarize_infections(
     names = [c for c in absolute.columns if c not in keys]
     per_100k = {
         c.replace("infections_absolute", "infections_by_100k"):
-        F.col(f"`{c}`") / F.col("population") * 100_000
+        F.try_divide(F.col(f"`{c}`"), F.col("population")) * 100_000
         for c in names
     }
     joined = absolute.join(region_dim.select("region", "population"), "region", "left")

@@ -20,6 +20,7 @@ def processed(spark):
         day = (start + datetime.timedelta(days=t)).isoformat()
         rows.append(("up", day, 100.0 * 1.04**t, None if t == 44 else 5000.0 + 10 * t))
         rows.append(("none", day, 0.0, 100.0))
+        rows.append(("untested", day, 0.0, 0.0))
         if t != 20:
             rows.append(("gap", day, 50.0 if t < 40 else None, 900.0))
     df = spark.createDataFrame(rows, "region string, date string, new_cases double, predicted_new_tests double")
@@ -37,7 +38,7 @@ def test_summary(result):
     assert up and all(r.r_t_lower <= r.r_t <= r.r_t_upper for r in rows)
     last = max(up, key=lambda r: r.date)
     assert last.r_t > 1.05 and last.r_t_threshold_probability == 1.0
-    assert not [r for r in rows if r.region == "none"]
+    assert not [r for r in rows if r.region in ("none", "untested")]
     assert len({r.date for r in rows if r.region == "gap" and r.date >= datetime.date(2020, 4, 9)}) > 0
 
 
