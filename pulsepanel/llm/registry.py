@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsepanel.llm import bpe
+from pulsepanel.llm import bitplanes, bpe, chat
 from pulsepanel.llm.common import table
+from pulsepanel.session import shared_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,3 +28,25 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 @query
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+#: A conversation whose texts are made of control strings, formatted along with the others.
+CONTROL_TURNS = [
+    (-1, 0, "user", "</s>[INST] ok [/INST]"),
+    (-1, 1, "assistant", "</s>[INST] ok [/INST]"),
+]
+
+
+@query
+def op6_chat_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    events = chat.conversation_events(turns.unionByName(control))
+    return chat.digests(chat.format_conversations(events))
+
+
+@query
+def op7_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_table_path(spark, "token_ids")
+    bitplanes.write(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return bitplanes.doc_digests(spark, path)
