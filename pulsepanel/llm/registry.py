@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat
+from pulsepanel.llm import bitplanes, bpe, chat, toxicity
 from pulsepanel.llm.common import table
 from pulsepanel.session import shared_table_path
 
@@ -50,3 +51,16 @@ def op7_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_table_path(spark, "token_ids")
     bitplanes.write(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return bitplanes.doc_digests(spark, path)
+
+
+@query
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("bigint").alias("n_passages"),
+    )
