@@ -6,10 +6,10 @@ texts never share results. Null ids are kept; joins on keys are null-safe.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsepanel.session import shared_table_path
@@ -44,12 +44,13 @@ def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def same_row(a: DataFrame, b: DataFrame, keys: Iterable[str] = ("doc_id", ROW)) -> Column:
-    """Null-safe equality of the keys of two tables."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & a[key].eqNullSafe(b[key])
-    return condition
+def join_rows(rows: DataFrame, other: DataFrame, how: str = "left") -> DataFrame:
+    """Join on doc_id (null-safe) and row key; the columns of ``rows``, then the rest of ``other``."""
+    rest = [c for c in other.columns if c not in ("doc_id", ROW)]
+    right = other.select(F.col("doc_id").alias("_doc_id"), F.col(ROW).alias("_row"), *rest)
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col(ROW) == F.col("_row"))
+    joined = rows.join(right, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop("_doc_id", "_row")
 
 
 def arrow_map(

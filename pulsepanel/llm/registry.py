@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat, toxicity
-from pulsepanel.llm.common import table
+from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, toxicity
+from pulsepanel.llm.common import ROW, table
+from pulsepanel.llm.sql import SQL  # noqa: F401  (part of the registry)
 from pulsepanel.session import shared_table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -64,3 +64,9 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").cast("bigint").alias("n_passages"),
     )
+
+
+@query
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, items).drop(ROW)
