@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, toxicity
+from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, line_quality, toxicity
 from pulsepanel.llm.common import ROW, table
 from pulsepanel.llm.sql import SQL  # noqa: F401  (part of the registry)
 from pulsepanel.session import shared_table_path
@@ -70,3 +70,8 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(docs, items).drop(ROW)
+
+
+@query
+def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(table(spark, sf_dir, "documents")).drop(ROW)

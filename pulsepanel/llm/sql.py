@@ -23,3 +23,37 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+# lines are hashed in the query and compared whole here
+SQL["op9_line_frequency"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS host FROM documents),
+w AS (SELECT doc_id, text, host, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, string_split(text, chr(10)) AS l FROM d),
+b AS (
+  SELECT doc_id, text, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols
+  FROM w),
+r AS (
+  SELECT doc_id, text, count(DISTINCT p + k) AS n_repeat_words
+  FROM (SELECT doc_id, text, p, count(*) OVER (PARTITION BY doc_id, text, g) AS uses
+        FROM (SELECT doc_id, text, p, array_to_string(w[p:p + 2], ' ') AS g
+              FROM (SELECT DISTINCT doc_id, text, w, unnest(range(1, greatest(len(w) - 1, 1))) AS p FROM w))), range(3) AS t(k)
+  WHERE uses > 1 GROUP BY 1, 2),
+l AS (SELECT doc_id, text, host, line FROM (SELECT doc_id, text, host, unnest(l) AS line FROM w)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, text, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n_dup_lines FROM l GROUP BY 1, 2),
+nl AS (SELECT doc_id, text, host, line, CAST(length(line) - length(replace(line, ' ', '')) + 1 AS BIGINT) AS n
+       FROM (SELECT DISTINCT doc_id, text, host, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS line FROM l)),
+f AS (SELECT host, line FROM nl GROUP BY 1, 2 HAVING count(DISTINCT text) > 20),
+x AS (SELECT doc_id, text, CAST(sum(n) AS BIGINT) AS line_words,
+             CAST(sum(CASE WHEN f.line IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS frequent_words
+      FROM nl LEFT JOIN f USING (host, line) GROUP BY 1, 2),
+a AS (
+  SELECT b.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(line_words, 0) AS line_words, coalesce(frequent_words, 0) AS n_frequent_words
+  FROM b LEFT JOIN r USING (doc_id, text) LEFT JOIN dup USING (doc_id, text) LEFT JOIN x USING (doc_id, text))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_frequent_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND 100 * (line_words - n_frequent_words) >= 30 * line_words AS kept
+FROM a
+"""
