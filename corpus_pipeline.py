@@ -1,20 +1,52 @@
-"""Documents through the training-data operators, one stage after the other."""
+"""Documents through the training-data operators, one stage after the other.
+
+Each stage takes what the one before it kept. Toxic, repeated and contaminated documents go, personal
+data and what reveals it is replaced, and the last stage gives the token ids of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsepanel.llm import bpe
+from pulsepanel.llm import bpe, decontaminate, jaccard_join, sanitise, toxicity
 from pulsepanel.llm.common import table, written
 from pulsepanel.llm.registry import tokenizer_path
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 5-word shingles at 0.8, the document with the least id."""
+    return jaccard_join.keep_one(docs, k=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no ten words in a row with a benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced in their texts and n_chars as it is then."""
+    clean = sanitise.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and ids of every document that is left."""
+    """doc_id and token ids of every document that is left."""
     return bpe.encode(docs, tokenizer_path())
 
 
-STAGES = [("bpe_ids", token_ids)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_copies", without_near_copies),
+    ("benchmark", without_benchmark),
+    ("personal_data", without_personal_data),
+    ("token_ids", token_ids),
+]
 
 #: Classifier, components and merges have no SQL form; tests hold them against brute force.
 ORACLE_SQL = None

@@ -249,7 +249,8 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def class_components(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with their classes (doc_id, row key, class, n), and class -> least doc_id of its component."""
+    """Rows with their classes (doc_id, row key, class, n), and the label of each class with its
+    component's least doc_id."""
     found = written(_sets(rows, k), "shingle_sets")
     classes = written(
         found.where("class is not null")
@@ -320,7 +321,7 @@ def class_components(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame,
         labels = components(links.unionByName(more))
     joined = _labelled(classes.select("class", "least"), labels)
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    return found, joined.join(least, "label").select("class", "component_id")
+    return found, joined.join(least, "label").select("class", "label", "component_id")
 
 
 def near_duplicates(
@@ -342,13 +343,26 @@ def near_duplicates(
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component: that with the least doc_id, of equals the one with the least key.
 
-    All columns of the table are kept. Rows without words are no copies of anything and stay, but of
+    All columns of the table are kept. Texts without words are no copies of anything and stay, but of
     repeated rows with one id and text one stays.
     """
-    rows = docs.withColumn("_row", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    near = near_duplicates(docs, k, percent)
-    alone = F.when(F.col("n_shingles") == 0, F.struct("doc_id", ROW))
-    first = near.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("doc_id", ROW)).alias("one"))
-    keys = first.select(F.col("one.doc_id").alias("_id"), F.col(f"one.{ROW}").alias("_key")).distinct()
-    kept = rows.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_row"]).drop("_row")
+    found, of_class = class_components(keyed(docs, "doc_id", "text"), k, percent)
+    near = (
+        found.join(of_class, "class", "left")
+        .groupBy("doc_id", ROW)
+        .agg(F.count("*").alias("rows"), F.min("label").alias("label"))
+    )
+    one = F.struct("doc_id", ROW)
+    near = near.withColumn("alone", F.when(F.col("label").isNull(), one))
+    first = near.groupBy("label", "alone").agg(F.min(one).alias("one"))
+    kept = first.select(F.col("one.doc_id").alias("doc_id"), F.col(f"one.{ROW}").alias(ROW))
+    near = written(join_rows(near, kept.withColumn("kept", F.lit(True))), "near_duplicate_rows")
+    table = docs.withColumn(ROW, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    # most rows stay: those that go, or stay once of several, are the smaller side
+    special = near.where("kept is null or rows > 1").select("doc_id", ROW)
+    out = join_rows(table, small_or_shuffled(special), "left_anti").drop(ROW)
+    several = near.where("kept and rows > 1").select("doc_id", ROW)
+    if several.limit(1).count():
+        once = join_rows(table, small_or_shuffled(several), "left_semi").dropDuplicates(["doc_id", ROW])
+        out = out.unionByName(once.drop(ROW))
+    return out

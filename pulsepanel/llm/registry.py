@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, jaccard_join, line_quality, toxicity
+from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, jaccard_join, line_quality, sanitise, toxicity
 from pulsepanel.llm.common import ROW, table
 from pulsepanel.llm.sql import SQL  # noqa: F401  (part of the registry)
 from pulsepanel.session import shared_table_path
@@ -81,3 +81,8 @@ def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_universe_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_join.near_duplicates(docs, k=3, percent=90).drop(ROW)
+
+
+@query
+def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(table(spark, sf_dir, "documents")).drop(ROW)
