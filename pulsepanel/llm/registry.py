@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, html_extract, jaccard_join, line_quality, sanitise, toxicity
+from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, html_extract, jaccard_join, line_quality, masked_lm, sanitise, toxicity
 from pulsepanel.llm.common import ROW, table
 from pulsepanel.llm.sql import SQL  # noqa: F401  (part of the registry)
 from pulsepanel.session import shared_table_path
@@ -92,3 +92,9 @@ def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.main_text(pages, html_extract.fit(pages))
+
+
+@query
+def op2_masked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.fit(docs))
