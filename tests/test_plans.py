@@ -9,9 +9,9 @@ from __spark_entry__ import queries
 from pulsepanel.operators.calendar import insert_future, interpolate
 from pulsepanel.operators.forecast import ForecastOptions, predict_testcounts
 from pulsepanel.operators.vintages import as_of
-from pulsepanel.plans.checked import derived
+from pulsepanel.plans.checked import REGISTRY, derived
 
-QUERIES = queries()
+QUERIES = {name: build for name, build in queries().items() if name in REGISTRY}
 WRITES = {"s14_archived_snapshot", "s15_stored_delay_kernel", "s16_stored_draws"}
 
 
