@@ -53,6 +53,30 @@ def join_rows(rows: DataFrame, other: DataFrame, how: str = "left") -> DataFrame
     return joined if how in ("left_semi", "left_anti") else joined.drop("_doc_id", "_row")
 
 
+def join_table(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Join a table with doc_id and text, whatever else it holds, to results known by id and row key.
+
+    Gives the table's columns; for a left join those of ``other`` follow under names the table hasn't.
+    """
+
+    def fresh(name: str) -> str:
+        while name in docs.columns:
+            name += "_"
+        return name
+
+    key, right_id, right_key = fresh("_key"), fresh("_right_id"), fresh("_right_key")
+    extra = {c: fresh(f"_{c}") for c in other.columns if c not in ("doc_id", ROW)}
+    right = other.select(
+        F.col("doc_id").alias(right_id),
+        F.col(ROW).alias(right_key),
+        *(F.col(c).alias(name) for c, name in extra.items()),
+    )
+    left = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col(right_id)) & (F.col(key) == F.col(right_key))
+    names = [*docs.columns, *(extra.values() if how == "left" else ())]
+    return left.join(right, same, how).select([F.col(f"`{c}`") for c in names])
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str
 ) -> DataFrame:

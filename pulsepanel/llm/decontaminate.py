@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import ROW, arrow_map, join_rows, keyed, small_or_shuffled, written
+from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
 from pulsepanel.llm.words import alnum_words, gram_hashes, mixed, word_hashes
 
 WINDOW = 10
@@ -238,5 +238,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of a table that share no window with an item, with all their columns."""
     _, found = hits(docs, items, **options)
     hit = written(found.select("doc_id", ROW).distinct(), "contaminated_rows")
-    table = docs.withColumn(ROW, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return join_rows(table, small_or_shuffled(hit), "left_anti").drop(ROW)
+    return join_table(docs, small_or_shuffled(hit), "left_anti")

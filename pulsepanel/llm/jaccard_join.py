@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import ROW, arrow_map, join_rows, keyed, small_or_shuffled, written
+from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
 from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
 from pulsepanel.llm.words import gram_hashes, mixed, spaced_words, word_hashes
 
@@ -357,12 +357,11 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     first = near.groupBy("label", "alone").agg(F.min(one).alias("one"))
     kept = first.select(F.col("one.doc_id").alias("doc_id"), F.col(f"one.{ROW}").alias(ROW))
     near = written(join_rows(near, kept.withColumn("kept", F.lit(True))), "near_duplicate_rows")
-    table = docs.withColumn(ROW, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     # most rows stay: those that go, or stay once of several, are the smaller side
     special = near.where("kept is null or rows > 1").select("doc_id", ROW)
-    out = join_rows(table, small_or_shuffled(special), "left_anti").drop(ROW)
+    out = join_table(docs, small_or_shuffled(special), "left_anti")
     several = near.where("kept and rows > 1").select("doc_id", ROW)
     if several.limit(1).count():
-        once = join_rows(table, small_or_shuffled(several), "left_semi").dropDuplicates(["doc_id", ROW])
-        out = out.unionByName(once.drop(ROW))
+        once = join_table(docs, small_or_shuffled(several), "left_semi")
+        out = out.unionByName(once.dropDuplicates(["doc_id", "text"]))
     return out

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import ROW, arrow_map, join_rows, keyed, small_or_shuffled, written
+from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
 from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
 from pulsepanel.llm.words import alnum_words, word_hashes
 
@@ -293,8 +293,7 @@ def sanitise(docs: DataFrame, policy: Policy = Policy()) -> DataFrame:
     found = written(_found(rows, policy), "personal_data")
     terms = written(revealing_terms(rows, found, policy), "revealing_terms")
     places = written(_places(rows, terms), "revealing_places")
-    table = docs.withColumn(ROW, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    marked = join_rows(table, small_or_shuffled(places)).drop(ROW)
+    marked = join_table(docs, small_or_shuffled(places), "left")
     at = docs.columns.index("text")
     remove = policy.remove
 

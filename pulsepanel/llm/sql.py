@@ -57,3 +57,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_fr
          AND 100 * (line_words - n_frequent_words) >= 30 * line_words AS kept
 FROM a
 """
+
+# 11: the characters of the template around role and text
+SQL["op6_chat_event_log"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(11 + length(regexp_replace(role || text, '([\\<\[\]])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""

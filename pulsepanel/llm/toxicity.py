@@ -231,21 +231,18 @@ def _token_counts(labelled: DataFrame, lexicon: dict[bytes, float] | None = None
     )
 
 
-def _terms(counts: DataFrame, prior_share: float, min_z: float, min_odds: float, most: int) -> list[Row]:
-    """token, odds, uses of the significant tokens, at most ``most``."""
-    whole = counts.where(F.col("token") == b"").select(
-        F.col("toxic").alias("n_toxic"), F.col("clean").alias("n_clean")
-    )
-    n = F.col("n_toxic") + F.col("n_clean")
-    share, prior = (F.col("toxic") + F.col("clean")) / n, n * prior_share
+def _terms(
+    counts: DataFrame, texts: tuple[int, int], prior_share: float, min_z: float, min_odds: float, most: int
+) -> list[Row]:
+    """token, odds, uses of the significant tokens, at most ``most``; texts: toxic and clean ones."""
+    n_toxic, n_clean = (float(n) for n in texts)
+    prior = prior_share * (n_toxic + n_clean)
+    share = (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
     a, b = F.col("toxic") + share * prior, F.col("clean") + share * prior
-    odds = F.log(a / (F.col("n_toxic") + prior - a + 0.5)) - F.log(
-        b / (F.col("n_clean") + prior - b + 0.5)
-    )
+    odds = F.log(a / (n_toxic + prior - a + 0.5)) - F.log(b / (n_clean + prior - b + 0.5))
     error = F.sqrt(1 / a + 1 / b)
     return (
         counts.where((F.col("token") != b"") & (F.col("toxic") >= 3))
-        .join(F.broadcast(whole))  # one row
         .select("token", "uses", odds.alias("odds"), (odds / error).alias("z"))
         .where((F.col("z") >= min_z) & (F.col("odds") >= min_odds))
         .orderBy(F.col("z").desc(), "token")
@@ -269,11 +266,11 @@ def fit(
     totals = counts.where(F.col("token") == b"").collect()
     if not totals or not totals[0].toxic or not totals[0].clean:
         return Model()
-    n_uses = max(1, totals[0].uses)
-    terms = _terms(counts, prior_share, min_z, min_odds, max_terms // 2)
+    texts, n_uses = (totals[0].toxic, totals[0].clean), max(1, totals[0].uses)
+    terms = _terms(counts, texts, prior_share, min_z, min_odds, max_terms // 2)
     scores = {bytes(t.token): float(t.odds) for t in terms}
     begun = written(_token_counts(labelled, scores), "toxicity_prefixes")
-    terms += _terms(begun, prior_share, min_z, min_odds, max_terms // 2)
+    terms += _terms(begun, texts, prior_share, min_z, min_odds, max_terms // 2)
     scores |= {bytes(t.token): float(t.odds) for t in terms if bytes(t.token) not in scores}
     if not scores:
         return Model()
