@@ -66,7 +66,7 @@ def test_query_has_the_base_spans(spark, sf_dir, documents):
 
 def corpus(spark):
     rows = [(i, f"note {i} says Zorblax writes from z@x.org about lunch today") for i in range(6)]
-    rows += [(10 + i, f"filler {i} about lunch today and other things") for i in range(200)]
+    rows += [(10 + i, f"note {i} says she writes from home about lunch today") for i in range(200)]
     rows += [(300, "nobody but zorblax knows"), (301, "lunch was fine"), (302, None)]
     return spark.createDataFrame(rows, "doc_id long, text string")
 
@@ -74,10 +74,9 @@ def corpus(spark):
 def test_terms_that_reveal_an_address(spark):
     docs = corpus(spark)
     rows = {r.doc_id: r.spans for r in sanitise.report(docs).collect()}
-    assert "term:12:19" not in rows[0]  # 'says' is as telling only where it stands: see below
     marked = {d: [s for s in spans.split(",") if s.startswith("term")] for d, spans in rows.items()}
     # the name stands in the six notes and once alone: it gives the address away wherever it is
-    assert marked[300] == ["term:11:18"]
+    assert marked[300] == ["term:11:18"] and marked[0] == ["term:12:19"]
     assert marked[301] == [] and not any(marked[10 + i] for i in range(200))
     texts = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
     assert "orblax" not in texts[300].lower() and texts[301] == "lunch was fine" and texts[302] is None
