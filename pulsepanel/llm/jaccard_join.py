@@ -11,11 +11,13 @@ its one-deletion signatures (the hash of all, and of all but one).
 How many segments are of which kind is chosen for each band by cost: signatures written for each set, plus
 unrelated sets that meet by chance in (nearly) empty segments, which grow with the number of sets in the band.
 
-Equal sets are one class before anything is compared. Work on a group that shares a signature is linear at
-first: every member is compared with the group's least and greatest class. Links that hold give components;
-only pairs of a group that are still in different components are compared after that, so large groups of
-near copies are never paired off. Every comparison is exact over the shingle hashes. Signatures
-that occur in one class only (nearly all) are dropped in the aggregation that finds them.
+Equal sets are one class before anything is compared. The least class of those that share a signature is
+their hub. Each class is compared with its hubs first, which is linear, and components are formed of the links
+that hold. Two linked classes share a signature, so they share a hub: what is left are classes of one hub in
+different components. These are compared in blocks by parity sketches, whose bits differ in at most as many places
+as the sets do, so no linked pair is lost; only pairs that pass are given out and compared in full. Groups of
+near copies are thus never paired off. Every link is exact over the shingle hashes. Signatures that occur in
+one class only (nearly all) are dropped in the aggregation that finds them.
 
 Shingles and classes are known by 64-bit hashes. A text of fewer words than a shingle is one shingle; a text
 without words is empty, and linked with nothing. Null texts are empty. Rows with equal text are one class;
@@ -25,7 +27,9 @@ repeated rows each get a result. Components are named by their least doc_id, nul
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,10 @@ from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
 from pulsepanel.llm.words import gram_hashes, mixed, spaced_words, word_hashes
 
 
+#: Classes of one hub that are compared in one place with as many others.
+BLOCK = 1024
+
+
 @dataclass(frozen=True)
 class Band:
     """Sizes low to high - 1 of the larger set; ``single`` one-deletion and ``whole`` exact segments."""
@@ -188,6 +196,50 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def parity_sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` buckets whether it holds an odd number of shingles.
+
+    A shingle in one of two sets only flips one bit, so sketches differ in at most as many bits as the sets
+    differ in shingles.
+    """
+    buckets = (mixed(shingles) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(buckets, minlength=bits) & 1)
+
+
+def sketch_bits(size: int, percent: int) -> int:
+    """Bits enough to tell sets of about this size that differ in more than linked ones."""
+    return max(512, 1 << (8 * most_different(2 * size, percent)).bit_length())
+
+
+def _stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (class, hub) with whether they are linked, and the class's size and sketch beside this hub.
+
+    The length of a sketch depends on the hub alone, so the sketches of its classes can be compared.
+    """
+    left = sets.select("class", F.col("shingles").alias("mine"))
+    right = sets.select(F.col("class").alias("hub"), F.col("shingles").alias("its"))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        names = batch.schema.names
+        mine, its = (
+            [np.frombuffer(x, np.uint64) for x in batch.column(names.index(c)).to_pylist()]
+            for c in ("mine", "its")
+        )
+        return {c: batch.column(names.index(c)) for c in ("class", "hub")} | {
+            "linked": [linked(x, y, percent) for x, y in zip(mine, its)],
+            "n": [len(x) for x in mine],
+            "sketch": [
+                parity_sketch(x, sketch_bits(len(y), percent)).tobytes() for x, y in zip(mine, its)
+            ],
+        }
+
+    return arrow_map(
+        pairs.join(left, "class").join(right, "hub"),
+        run,
+        "class bigint, hub bigint, linked boolean, n int, sketch binary",
+    )
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("in_a"))
@@ -206,6 +258,83 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b"), run, "a bigint, b bigint")
 
 
+def close_pairs(
+    classes: np.ndarray,
+    labels: np.ndarray,
+    sizes: np.ndarray,
+    sketches: np.ndarray,
+    first: np.ndarray,
+    second: np.ndarray,
+    percent: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, one of each side, of different labels that their sketches allow to be linked."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    words = sketches.view(np.uint64)
+    rows = max(1, (1 << 21) // max(1, len(second) * words.shape[1]))
+    for at in range(0, len(first), rows):
+        some = first[at : at + rows]
+        differ = np.bitwise_count(words[some][:, None, :] ^ words[second][None, :, :]).sum(axis=2, dtype=np.int64)
+        total = sizes[some][:, None] + sizes[second][None, :]
+        good = (100 + percent) * differ <= (100 - percent) * total
+        good &= labels[some][:, None] != labels[second][None, :]
+        x, y = np.nonzero(good)
+        found.append((classes[some[x]], classes[second[y]]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b = (np.concatenate(side) for side in zip(*found))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _apart(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of classes of a hub in different components that may be linked.
+
+    ``members``: hub, class, label, n, sketch. The classes of a hub are dealt to blocks; each two blocks meet
+    in one place, two blocks at a time, where sketches are compared and only what passes is given out.
+    """
+    several = members.groupBy("hub").agg(
+        F.count("*").alias("all"), F.min("label").alias("l0"), F.max("label").alias("l1")
+    )
+    several = several.where("l0 <> l1").select("hub", F.ceil(F.col("all") / block).alias("blocks"))
+    mine = members.join(several, "hub").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    dealt = (
+        mine.select("hub", "class", "label", "n", "sketch", "block", other)
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .repartition("hub", "low", "high")
+        .sortWithinPartitions("hub", "low", "high")
+        .select("hub", "low", "high", "class", "label", "n", "sketch", "block")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for (_, low, high), group in groupby(rows, key=lambda row: row[:3]):
+            _, _, _, classes, labels, sizes, sketches, blocks = zip(*group)
+            if len(set(labels)) == 1:
+                continue
+            blocks = np.array(blocks)
+            held.append(
+                close_pairs(
+                    np.array(classes, np.int64), np.array(labels, np.int64), np.array(sizes, np.int64),
+                    np.frombuffer(b"".join(sketches), np.uint8).reshape(len(classes), -1),
+                    np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), percent,
+                )
+            )
+            if sum(len(a) for a, _ in held) >= 1 << 16:
+                yield _pair_batch(held)
+                held = []
+        if held:
+            yield _pair_batch(held)
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").where("a < b").distinct()
+
+
+def _pair_batch(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (pa.array(np.concatenate(side)) for side in zip(*held))
+    return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """class, label: the least class reachable by links (a, b), for all linked classes.
 
@@ -273,49 +402,26 @@ def class_components(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame,
         .groupBy("signature")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .where("low <> high")
+        .select("signature", "low")
     )
     shared = written(shared, "shared_signatures")
     passing = bloom_bits(shared, "signature")
-    size = classes.select("class", F.col("n").alias("size"))
     members = written(
         _signature_rows(rows, k, percent, edges, bands, passing)
-        .distinct()
         .join(shared, "signature")
-        .join(size, "class"),
+        .select("class", "low")
+        .distinct(),
         "signature_members",
     )
     wanted = classes.join(members.select("class").distinct(), "class", "left_semi")
     sets = written(_class_sets(rows, wanted, k), "class_shingles")
 
-    def pair(x: str, y: str):
-        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
-
-    stars = (
-        members.select(*pair("class", "low"))
-        .unionByName(members.select(*pair("class", "high")))
-        .where("a <> b")
-        .distinct()
-    )
-    links = written(_links(stars, sets, percent), "star_links")
+    hubs = members.withColumnRenamed("low", "hub")
+    stars = written(_stars(hubs, sets, percent), "stars_of_hubs")
+    links = stars.where("linked and class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
     labels = components(links)
-    # what is still apart within a group that shares a signature
-    apart = _labelled(members.select("signature", "class", "size"), labels)
-    several = apart.groupBy("signature").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-    apart = written(
-        apart.join(several.where("l0 <> l1").select("signature"), "signature", "left_semi"), "apart"
-    )
-    other = apart.select(
-        "signature", F.col("class").alias("b"), F.col("label").alias("label_b"), F.col("size").alias("size_b")
-    )
-    pairs = (
-        apart.withColumnRenamed("class", "a")
-        .join(other, "signature")
-        .where("a < b and label <> label_b")
-        .where(100 * F.least("size", "size_b") >= percent * F.greatest("size", "size_b"))
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    # what is still apart around a hub
+    pairs = _apart(_labelled(stars.drop("linked"), labels), percent)
     more = written(_links(pairs, sets, percent), "further_links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))

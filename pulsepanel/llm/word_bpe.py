@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries of a memo before it starts again; bounds a worker's memory.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 500_000
 #: Code points above this are split by the library itself, whose Unicode version then holds.
 PLAIN_LIMIT = 0x0370
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")

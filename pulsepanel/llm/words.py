@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Entries of a worker's memo from word to hash before it starts again.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 400_000
 _ALNUM = bytes(
     b | 0x20 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256)
