@@ -16,7 +16,6 @@ sorts first.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from pulsepanel.llm.common import arrow_map
 from pulsepanel.llm.word_bpe import ChunkMemo, vocabulary
@@ -133,9 +134,6 @@ def write(
     text_col: str = "text",
 ) -> None:
     """Write the ids of all documents, each with ``end_id`` behind it, in ascending doc_id order."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
     schema = to_arrow_schema(_parse_datatype_string(BLOCK_SCHEMA))
     rows = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
@@ -171,25 +169,26 @@ def shard_starts(spark: SparkSession, path: str) -> DataFrame:
 def read_pieces(spark: SparkSession, path: str) -> DataFrame:
     """The ids of every document piece by piece: shard, doc_id, doc_start, doc_tokens, at, ids."""
 
-    def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {c: [] for c in ("doc_id", "doc_start", "doc_tokens", "at", "shard")}
-        out["ids"] = []
-        for b in batch.to_pylist():
-            ids = from_planes(b["planes"], b["plane_sizes"], b["n_ids"], b["kind"])
-            done = 0
-            for doc, start, tokens, at in zip(b["doc_id"], b["doc_start"], b["doc_tokens"], b["at"]):
-                n = min(tokens - at, len(ids) - done)
-                for name, value in zip(out, (doc, start, tokens, at, b["shard"])):
-                    out[name].append(value)
-                out["ids"].append(ids[done : done + n].tobytes())
-                done += n
-        return out
-
-    return arrow_map(
-        spark.read.schema(BLOCK_SCHEMA).parquet(path),
-        run,
-        "shard int, doc_id bigint, doc_start bigint, doc_tokens bigint, at bigint, ids binary",
-    )
+    columns = "shard int, doc_id bigint, doc_start bigint, doc_tokens bigint, at bigint, ids binary"
+    schema = to_arrow_schema(_parse_datatype_string(columns))
+
+    def pieces(b: dict) -> Iterator[tuple]:
+        ids = from_planes(b["planes"], b["plane_sizes"], b["n_ids"], b["kind"])
+        done = 0
+        for doc, start, tokens, at in zip(b["doc_id"], b["doc_start"], b["doc_tokens"], b["at"]):
+            n = min(tokens - at, len(ids) - done)
+            yield b["shard"], doc, start, tokens, at, ids[done : done + n].tobytes()
+            done += n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # one block unpacked at a time
+                rows = zip(*pieces(batch.slice(i, 1).to_pylist()[0]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema
+                )
+
+    return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(run, columns)
 
 
 def _times(a: int, b: int) -> int:
@@ -241,7 +240,3 @@ def doc_digests(spark: SparkSession, path: str) -> DataFrame:
     return joined.join(shard_starts(spark, path), "shard").select(
         "doc_id", (F.col("first") + F.col("doc_start")).alias("start"), "n_tokens", "ids_crc32"
     )
-
-
-def crc32_of(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

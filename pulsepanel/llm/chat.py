@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -105,22 +106,28 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _in_batches(rows: Iterator[tuple], schema: pa.Schema, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _in_batches(
+    rows: Iterator[tuple], schema: pa.Schema, chars: int = 1 << 22
+) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about so many characters."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += 100 + sum(len(x) for x in row if isinstance(x, str))
         if size >= chars:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            yield _batch(held, schema)
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+        yield _batch(held, schema)
 
 
 def _by_conversation(rows: Iterator[tuple]) -> Iterator[tuple]:
     """(conv_id, rows of it) for rows in conversation order; nothing is held."""
-    from itertools import groupby
-
     return groupby(rows, key=lambda row: row[0])
 
 
@@ -140,7 +147,10 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     )
     # repeated turns stay messages of their own: the message is the row, not the turn
     message = F.concat_ws("\0", F.col("turn").cast("string"), F.monotonically_increasing_id())
-    return turns.withColumn("message", message).select("conv_id", "turn", "role", "text", "message", event).select(
+    each = turns.withColumn("message", message).select(
+        "conv_id", "turn", "role", "text", "message", event
+    )
+    return each.select(
         "conv_id",
         F.struct("turn", "role", "text", "message", "step").alias("seq"),
         "kind",

@@ -16,12 +16,14 @@ from collections import Counter
 import numpy as np
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"<!--.*?(?:-->|\Z)"  # comments
+    r"|<[!?][^>]*>?"  # declarations
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"  # tags
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",  # tags with an open quote
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORDS_OF_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_SPACE = re.compile(r"\s+")
 
 BLOCKS = (
     "html body div section article main header footer nav aside p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table "

@@ -37,8 +37,6 @@ from pyspark.sql import functions as F
 from pulsepanel.llm.common import arrow_map, written
 from pulsepanel.llm.words import MEMO_ENTRIES, spaced_words
 
-MASK = 0
-
 
 @dataclass(frozen=True)
 class Options:

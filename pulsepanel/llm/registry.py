@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsepanel.llm import bitplanes, bpe, chat, decontaminate, html_extract, jaccard_join, line_quality, masked_lm, sanitise, toxicity
+from pulsepanel.llm import (
+    bitplanes,
+    bpe,
+    chat,
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    line_quality,
+    masked_lm,
+    sanitise,
+    toxicity,
+)
 from pulsepanel.llm.common import ROW, table
 from pulsepanel.llm.sql import SQL  # noqa: F401  (part of the registry)
 from pulsepanel.session import shared_table_path

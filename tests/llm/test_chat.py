@@ -50,8 +50,8 @@ def test_unknown_kind_is_refused():
 
 def test_log_out_of_order(spark):
     log = spark.createDataFrame(
-        [(1, 3, "delta", "b", "assistant", "!"), (1, 1, "message", "a", "user", "q"), (1, 2, "start", "b", "assistant", None),
-         (None, 1, "message", None, None, None)],
+        [(1, 3, "delta", "b", "assistant", "!"), (1, 1, "message", "a", "user", "q"),
+         (1, 2, "start", "b", "assistant", None), (None, 1, "message", None, None, None)],
         "conv_id long, seq long, kind string, message string, role string, text string",
     )
     pieces = chat.format_conversations(log).collect()
@@ -66,7 +66,8 @@ def test_query_equals_sql(spark, sf_dir):
 
 
 def test_odd_turns(spark):
-    rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (None, 0, "assistant", "y" * 9), (2, 5, "assistant", "")]
+    rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, None, "x"), (2, 5, "assistant", "")]
+    rows += [(None, 0, "assistant", "y" * 9)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     events = chat.conversation_events(turns.selectExpr("*", "'k' AS kind", "1 AS seq", "2 AS message"))
     got = {r.conv_id: r for r in chat.digests(chat.format_conversations(events)).collect()}

@@ -34,7 +34,8 @@ def test_short_items_and_edges(spark):
         "doc_id long, text string",
     )
     items = spark.createDataFrame(
-        [(10, " ".join(["q", *words[10:22], "r"])), (11, "w3 w4 w5"), (12, None), (13, ""), (None, "w3"), (2, "w3 w4 w5")],
+        [(10, " ".join(["q", *words[10:22], "r"])), (11, "w3 w4 w5"), (12, None), (13, ""), (None, "w3"),
+         (2, "w3 w4 w5")],
         "item_id long, text string",
     )
     got = {r.doc_id: r for r in decontaminate.contamination(docs, items).collect()}

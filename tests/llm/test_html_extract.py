@@ -14,6 +14,12 @@ from pulsepanel.llm.boosting import boost
 from pulsepanel.llm.dom import Page
 
 
+PIECES = (
+    "<p> </p> <div/class='x'> </div> <a> </a> <li> <ul> </ul> <br> text &amp; < > <!-- --> <script> </script> "
+    "\" <td> <table é"
+).split()
+
+
 def article(source):
     """The blocks of the article element, by text patterns alone."""
     inner = source[source.index("<article>") + 9 : source.index("</article>")]
@@ -48,17 +54,20 @@ def test_other_templates(model):
     words = "the river of and stone to light in that was on for with as at by from house".split()
     text = lambda n: (" ".join(r.choice(words) for _ in range(n)) + ".").capitalize()
     a, b, c = text(70), text(45), text(30)
-    page = (
-        f'<body><div class="navbar"><ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul></div><div class="cookie-notice">'
-        f'<p>{text(20)}</p></div><div class="content"><h2>A short title</h2><p>{a}</p><p>{b}</p></div><aside><h3>Related</h3><p>{text(20)}</p>'
-        f'</aside><form class="newsletter"><p>{text(9)}</p><input name=q></form><div id="comments"><h3>Comments</h3><div class="comment">'
-        f"<p>{c}</p></div></div><footer><p>{text(12)}</p></footer></body>"
-    )
+    page = "".join((
+        '<body><div class="navbar"><ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul></div>',
+        f'<div class="cookie-notice"><p>{text(20)}</p></div>',
+        f'<div class="content"><h2>A short title</h2><p>{a}</p><p>{b}</p></div>',
+        f"<aside><h3>Related</h3><p>{text(20)}</p></aside>",
+        f'<form class="newsletter"><p>{text(9)}</p><input name=q></form>',
+        f'<div id="comments"><h3>Comments</h3><div class="comment"><p>{c}</p></div></div>',
+        f"<footer><p>{text(12)}</p></footer></body>",
+    ))
     assert html_extract.extract([page], model)[0].split("\n")[-2:] == [a, b]
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='x'>", "</div>", "<a>", "</a>", "<li>", "<ul>", "</ul>", "<br>", "text ", "&amp;", "<", ">", "<!--", "-->", "<script>", "</script>", "\"", "<td>", "<table", "é"]), max_size=30))
+@given(st.lists(st.sampled_from(PIECES), max_size=30))
 def test_any_input_gives_a_tree_and_consistent_labels(pieces):
     page = Page("".join(pieces))
     assert all(p < i for i, p in enumerate(page.parent))
@@ -89,8 +98,10 @@ def test_blocks_and_references():
 
 
 def test_odd_pages(spark, model):
-    rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>"), (4, "u", "\x00<<>><p"), (4, "u", "<p>" * 3000 + "x")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'c' AS text", "1 AS n_chars")
+    rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>"), (4, "u", "\x00<<>><p")]
+    rows += [(4, "u", "<p>" * 3000 + "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = pages.selectExpr("*", "'c' AS text", "1 AS n_chars")
     out = html_extract.main_text(pages, model).collect()
     assert len(out) == 5 and [r.text for r in out][:3] == ["", "", ""]
     assert html_extract.main_text(pages.where("false"), html_extract.fit(pages.where("false"))).count() == 0

@@ -80,9 +80,11 @@ def test_passages_are_where_the_words_are():
 
 def test_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame(
-        [(1, 1, 1), (1, 1, 0), (None, 0, 1), (5, None, None), (9, 1, 0), (10, 0, 7)], "doc_id long, quality int, toxic int"
+        [(1, 1, 1), (1, 1, 0), (None, 0, 1), (5, None, None), (9, 1, 0), (10, 0, 7)],
+        "doc_id long, quality int, toxic int",
     )
-    for model in (toxicity.fit(odd_documents, labels), toxicity.fit(no_documents, labels), toxicity.fit(odd_documents, labels.where("false"))):
+    for docs, known in ((odd_documents, labels), (no_documents, labels), (odd_documents, labels.where("false"))):
+        model = toxicity.fit(docs, known)
         rows = toxicity.score(odd_documents, model).collect()
         assert len(rows) == odd_documents.count() and all(0 <= r.score <= 1 for r in rows)
         assert toxicity.score(no_documents, model).count() == 0
