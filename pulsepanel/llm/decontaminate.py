@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
-from pulsepanel.llm.words import alnum_words, gram_hashes, mixed, word_hashes
+from pulsepanel.llm.words import alnum_hashes, alnum_words, gram_hashes, mixed, word_hashes
 
 WINDOW = 10
 GRAM = 5
@@ -45,9 +45,11 @@ def winnow(hashes: np.ndarray, k: int, window: int) -> np.ndarray:
     return np.unique(last)
 
 
-def prints(words: list[bytes], k: int, window: int, short: tuple[int, ...]) -> list[tuple]:
-    """(position, length of the run, hash) of the kept runs, and of all runs of the short lengths."""
-    hashes = word_hashes(words)
+def prints(hashes: np.ndarray, k: int, window: int, short: tuple[int, ...]) -> list[tuple]:
+    """(position, length of the run, hash) of the kept runs, and of all runs of the short lengths.
+
+    ``hashes``: of the words of a text.
+    """
     out = []
     grams = gram_hashes(hashes, k)
     at = winnow(hashes, k, window)
@@ -73,7 +75,7 @@ def _item_prints(items: DataFrame, k: int, window: int) -> DataFrame:
         for item, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = alnum_words(blob or b"")
             short = (len(words),) if 0 < len(words) < window else ()
-            for at, length, value in prints(words, k, window, short):
+            for at, length, value in prints(word_hashes(words), k, window, short):
                 for a, n, v in zip(at.tolist(), length.tolist(), value.view(np.int64).tolist()):
                     left, around = _around(words, a, n, k, window)
                     for name, x in zip(out, (item, v, n, left, around)):
@@ -114,11 +116,12 @@ def _document_prints(
     def run(batch: pa.RecordBatch) -> dict:
         counts, kept = [], []
         for blob in batch.column(2).to_pylist():
-            words = alnum_words(blob)
-            counts.append(len(words))
-            mine = []
-            for at, length, value in prints(words, k, window, short):
+            hashes = alnum_hashes(blob)
+            counts.append(len(hashes))
+            mine, words = [], []
+            for at, length, value in prints(hashes, k, window, short):
                 good = np.flatnonzero(in_bloom(value, shared.value))
+                words = words or (alnum_words(blob) if len(good) else [])
                 for i in good.tolist():
                     a, n = int(at[i]), int(length[i])
                     left, around = _around(words, a, n, k, window)

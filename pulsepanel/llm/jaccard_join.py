@@ -12,11 +12,11 @@ How many segments are of which kind is chosen for each band by cost: signatures
 unrelated sets that meet by chance in (nearly) empty segments, which grow with the number of sets in the band.
 
 Equal sets are one class before anything is compared. The least class of those that share a signature is
-their hub. Each class is compared with its hubs first, which is linear, and components are formed of the links
-that hold. Two linked classes share a signature, so they share a hub: what is left are classes of one hub in
-different components. These are compared in blocks by parity sketches, whose bits differ in at most as many places
-as the sets do, so no linked pair is lost; only pairs that pass are given out and compared in full. Groups of
-near copies are thus never paired off. Every link is exact over the shingle hashes. Signatures that occur in
+their hub. Each class is compared with its nearest hub first, which is linear, and components are formed of the
+links that hold. Two linked classes share a signature, so they share a hub: what is left are classes of one hub
+in different components. These are compared in blocks by parity sketches, whose bits differ in at most as many
+places as the sets do, so no linked pair is lost; only pairs that pass are given out and compared in full. Groups
+of near copies are thus never paired off. Every link is exact over the shingle hashes. Signatures that occur in
 one class only (nearly all) are dropped in the aggregation that finds them.
 
 Shingles and classes are known by 64-bit hashes. A text of fewer words than a shingle is one shingle; a text
@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
 from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
-from pulsepanel.llm.words import gram_hashes, mixed, spaced_words, word_hashes
+from pulsepanel.llm.words import gram_hashes, mixed, spaced_hashes
 
 
 #: Classes of one hub that are compared in one place with as many others.
@@ -99,7 +100,7 @@ def allocate(low: int, high: int, percent: int, sets: int) -> Band:
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
     """Hashes of the distinct shingles of a text, ascending."""
-    hashes = word_hashes(spaced_words(text))
+    hashes = spaced_hashes(text)
     if not len(hashes):
         return np.empty(0, np.uint64)
     return np.unique(gram_hashes(hashes, min(k, len(hashes))))
@@ -109,25 +110,32 @@ def class_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+@lru_cache(maxsize=256)
+def _names(number: int, segments: int) -> tuple[np.uint64, np.ndarray]:
+    """The salt of a band, and a name for each of its segments."""
+    salt = mixed(np.array([number], np.uint64))[0]
+    return salt, mixed(np.arange(segments, dtype=np.uint64) * np.uint64(2) + (salt << np.uint64(1)))
+
+
 def signatures(shingles: np.ndarray, number: int, band: Band) -> np.ndarray:
     """The signatures of a set in one band."""
     m = band.segments
-    salt = mixed(np.array([number], np.uint64))[0]
-    segment = (mixed(shingles ^ salt) % np.uint64(m)).astype(np.int64)
+    salt, names = _names(number, m)
+    segment = mixed(shingles ^ salt) % np.uint64(m)
+    segment = segment.astype(np.uint16 if m <= 1 << 16 else np.int64)
     values = mixed(shingles + salt)
-    order = np.argsort(segment, kind="stable")
+    order = np.argsort(segment, kind="stable")  # linear for 16 bits
     segment, values = segment[order], values[order]
     sums = np.zeros(m, np.uint64)
     if len(values):
         starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
         sums[segment[starts]] = np.add.reduceat(values, starts)
-    names = mixed(np.arange(m, dtype=np.uint64) * np.uint64(2) + (salt << np.uint64(1)))
     out = mixed(sums + names)
     if band.single:
         near = segment < band.single
         less = mixed(sums[segment[near]] - values[near] + names[segment[near]])
         out = np.concatenate([out, less])
-    return np.unique(out)
+    return out
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:
@@ -161,13 +169,14 @@ def _signature_rows(
             shingles = shingle_set(blob, k)
             if not len(shingles):
                 continue
+            mine_id = class_id(shingles)
             for b in bands_of(len(shingles), edges, percent):
                 mine = signatures(shingles, b, bands[b])
                 if shared is not None:
                     mine = mine[in_bloom(mine, shared.value)]
                 if len(mine):
                     found.append(mine)
-                    classes.append(np.full(len(mine), class_id(shingles), np.int64))
+                    classes.append(np.full(len(mine), mine_id, np.int64))
         return {
             "signature": pa.array(np.concatenate(found).view(np.int64)),
             "class": pa.array(np.concatenate(classes)),
@@ -176,16 +185,26 @@ def _signature_rows(
     return arrow_map(rows.select(F.col("text").cast("binary")), run, "signature bigint, class bigint")
 
 
-def _class_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """class and shingles of the wanted classes, each from its one row."""
-    one = join_rows(rows, small_or_shuffled(wanted.select("doc_id", ROW)), "left_semi")
+def _of_classes(rows: DataFrame, wanted: DataFrame, schema: str, function) -> DataFrame:
+    """An Arrow pass over the texts of wanted rows: doc_id, row key and more columns; one row for each."""
+    keys = small_or_shuffled(wanted)
+    return arrow_map(join_rows(keys, rows, "inner"), function, schema)
+
+
+def _sketches(rows: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
+    """class, n and parity sketch of the wanted classes (doc_id, row key, class)."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(blob, k) for blob in batch.column(0).to_pylist()]
-        return {"class": [class_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
+        at = batch.schema.names.index
+        sets = [shingle_set(t.encode(), k) for t in batch.column(at("text")).to_pylist()]
+        return {
+            "class": batch.column(at("class")),
+            "n": [len(s) for s in sets],
+            "sketch": [parity_sketch(s, sketch_bits(len(s), percent)).tobytes() for s in sets],
+        }
 
-    found = arrow_map(one.select(F.col("text").cast("binary")), run, "class bigint, shingles binary")
-    return found.dropDuplicates(["class"])
+    found = _of_classes(rows, wanted, "class bigint, n int, sketch binary", run)
+    return found.groupBy("class").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -207,55 +226,64 @@ def parity_sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
 
 
 def sketch_bits(size: int, percent: int) -> int:
-    """Bits enough to tell sets of about this size that differ in more than linked ones."""
-    return max(512, 1 << (8 * most_different(2 * size, percent)).bit_length())
+    """A power of two, enough to tell sets of this size that differ in more than linked ones."""
+    return max(512, 1 << (8 * most_different(size, percent)).bit_length())
 
 
-def _stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (class, hub) with whether they are linked, and the class's size and sketch beside this hub.
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch with fewer bits: buckets that coincide then, combined."""
+    out = np.frombuffer(sketch, np.uint8)
+    while len(out) > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
 
-    The length of a sketch depends on the hub alone, so the sketches of its classes can be compared.
-    """
-    left = sets.select("class", F.col("shingles").alias("mine"))
-    right = sets.select(F.col("class").alias("hub"), F.col("shingles").alias("its"))
 
-    def run(batch: pa.RecordBatch) -> dict:
-        names = batch.schema.names
-        mine, its = (
-            [np.frombuffer(x, np.uint64) for x in batch.column(names.index(c)).to_pylist()]
-            for c in ("mine", "its")
-        )
-        return {c: batch.column(names.index(c)) for c in ("class", "hub")} | {
-            "linked": [linked(x, y, percent) for x, y in zip(mine, its)],
-            "n": [len(x) for x in mine],
-            "sketch": [
-                parity_sketch(x, sketch_bits(len(y), percent)).tobytes() for x, y in zip(mine, its)
-            ],
-        }
+def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are linked.
 
-    return arrow_map(
-        pairs.join(left, "class").join(right, "hub"),
-        run,
-        "class bigint, hub bigint, linked boolean, n int, sketch binary",
+    The set of each ``a`` is made from its text and sent to ``b``, whose set is sent once for each share of
+    its pairs. A task reads b's set, then one other at a time.
+    """
+    shares = F.ceil(F.count("*") / BLOCK).alias("shares")
+    hubs = pairs.groupBy("b").agg(shares)
+    share = F.pmod(F.xxhash64("a"), F.col("shares"))
+    sent = pairs.join(hubs, "b").select(
+        F.col("a").alias("class"), F.col("b").alias("hub"), share.alias("share")
     )
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share")
+    sent = sent.unionByName(hubs.select(F.col("b").alias("class"), F.col("b").alias("hub"), each))
+    wanted = written(sent.join(classes.select("class", "doc_id", ROW), "class"), "sets_to_send")
+
+    def make(batch: pa.RecordBatch) -> dict:
+        at = batch.schema.names.index
+        texts = batch.column(at("text")).to_pylist()
+        return {c: batch.column(at(c)) for c in ("hub", "share", "class")} | {
+            "shingles": [shingle_set(t.encode(), k).tobytes() for t in texts]
+        }
 
+    schema = "hub bigint, share bigint, class bigint, shingles binary"
+    sets = _of_classes(rows, wanted, schema, make)
+    ordered = (
+        sets.withColumn("other", F.col("class") != F.col("hub"))
+        .repartition("hub", "share")
+        .sortWithinPartitions("hub", "share", "other")
+        .select("hub", "share", "class", "shingles")
+    )
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("in_a"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("in_b"))
-
-    def run(batch: pa.RecordBatch) -> dict:
-        names = batch.schema.names
-        sides = (batch.column(names.index(c)).to_pylist() for c in ("in_a", "in_b"))
-        keep = [
-            linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-            for x, y in zip(*sides)
-        ]
-        mask = pa.array(keep, pa.bool_())
-        return {c: batch.column(names.index(c)).filter(mask) for c in ("a", "b")}
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = its = None
+        for batch in batches:
+            found = []
+            for of, share, one, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                if one == of:
+                    hub, its = (of, share), np.frombuffer(shingles, np.uint64)
+                elif hub == (of, share) and linked(np.frombuffer(shingles, np.uint64), its, percent):
+                    found.append((one, of))
+            if found:
+                sides = [pa.array(side, pa.int64()) for side in zip(*found)]
+                yield pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
-    return arrow_map(pairs.join(left, "a").join(right, "b"), run, "a bigint, b bigint")
+    return ordered.mapInArrow(compare, "a bigint, b bigint")
 
 
 def close_pairs(
@@ -273,7 +301,8 @@ def close_pairs(
     rows = max(1, (1 << 21) // max(1, len(second) * words.shape[1]))
     for at in range(0, len(first), rows):
         some = first[at : at + rows]
-        differ = np.bitwise_count(words[some][:, None, :] ^ words[second][None, :, :]).sum(axis=2, dtype=np.int64)
+        changed = words[some][:, None, :] ^ words[second][None, :, :]
+        differ = np.bitwise_count(changed).sum(axis=2, dtype=np.int64)
         total = sizes[some][:, None] + sizes[second][None, :]
         good = (100 + percent) * differ <= (100 - percent) * total
         good &= labels[some][:, None] != labels[second][None, :]
@@ -285,6 +314,27 @@ def close_pairs(
     return np.minimum(a, b), np.maximum(a, b)
 
 
+def _nearest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class with that of its hubs whose sketch is nearest, if it may be linked."""
+    its = sketches.select(
+        F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch")
+    )
+    sides = members.where("class <> hub").join(its, "hub")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        at = batch.schema.names.index
+        column = lambda c: batch.column(at(c)).to_pylist()
+        far = []
+        for x, y, n, m in zip(column("sketch"), column("hub_sketch"), column("n"), column("hub_n")):
+            size = min(len(x), len(y))
+            differ = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
+            far.append(differ if (100 + percent) * differ <= (100 - percent) * (n + m) else None)
+        return {"a": batch.column(at("class")), "b": batch.column(at("hub")), "far": far}
+
+    near = arrow_map(sides, run, "a bigint, b bigint, far int").where("far is not null")
+    return near.groupBy("a").agg(F.min(F.struct("far", "b"))["b"].alias("b"))
+
+
 def _apart(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of classes of a hub in different components that may be linked.
 
@@ -314,10 +364,11 @@ def _apart(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             if len(set(labels)) == 1:
                 continue
             blocks = np.array(blocks)
+            size = min(map(len, sketches))
             held.append(
                 close_pairs(
                     np.array(classes, np.int64), np.array(labels, np.int64), np.array(sizes, np.int64),
-                    np.frombuffer(b"".join(sketches), np.uint8).reshape(len(classes), -1),
+                    np.stack([folded(x, size) for x in sketches]),
                     np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), percent,
                 )
             )
@@ -413,16 +464,15 @@ def class_components(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame,
         .distinct(),
         "signature_members",
     )
-    wanted = classes.join(members.select("class").distinct(), "class", "left_semi")
-    sets = written(_class_sets(rows, wanted, k), "class_shingles")
-
-    hubs = members.withColumnRenamed("low", "hub")
-    stars = written(_stars(hubs, sets, percent), "stars_of_hubs")
-    links = stars.where("linked and class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
+    wanted = classes.select("class", "doc_id", ROW).join(members.select("class").distinct(), "class")
+    sketches = written(_sketches(rows, wanted, k, percent), "class_sketches")
+    members = written(members.withColumnRenamed("low", "hub").join(sketches, "class"), "hub_members")
+    nearest = _nearest(members, sketches, percent)
+    links = written(_links(rows, classes, nearest, k, percent), "hub_links")
     labels = components(links)
     # what is still apart around a hub
-    pairs = _apart(_labelled(stars.drop("linked"), labels), percent)
-    more = written(_links(pairs, sets, percent), "further_links")
+    pairs = written(_apart(_labelled(members, labels), percent), "close_pairs")
+    more = written(_links(rows, classes, pairs, k, percent), "further_links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
     joined = _labelled(classes.select("class", "least"), labels)

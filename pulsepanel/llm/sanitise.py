@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
 from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
-from pulsepanel.llm.words import alnum_words, word_hashes
+from pulsepanel.llm.words import alnum_hashes, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -165,7 +165,7 @@ def _term_counts(rows: DataFrame, passing: np.ndarray) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         mine = [np.empty(0, np.uint64)]
         for blob in batch.column(0).to_pylist():
-            hashes = np.unique(word_hashes(alnum_words(blob)))
+            hashes = np.unique(alnum_hashes(blob))
             mine.append(hashes[in_bloom(hashes, shared.value)])
         terms, counts = np.unique(np.concatenate(mine), return_counts=True)
         return {"term": pa.array(terms.view(np.int64)), "n": pa.array(counts)}
@@ -206,7 +206,7 @@ def _places(rows: DataFrame, terms: DataFrame) -> DataFrame:
         out: dict[str, list] = {c: [] for c in ("row", "term", "start", "end")}
         if shared.value.any():
             for i, text in enumerate(batch.column(2).to_pylist()):
-                if not in_bloom(word_hashes(alnum_words(text.encode("utf-8", "replace"))), shared.value).any():
+                if not in_bloom(alnum_hashes(text.encode("utf-8", "replace")), shared.value).any():
                     continue
                 words = _terms(text)
                 hashes = word_hashes([w for *_, w in words])

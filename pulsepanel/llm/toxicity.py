@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import arrow_map, written
-from pulsepanel.llm.words import MEMO_ENTRIES, alnum_words, gram_hashes, word_hashes
+from pulsepanel.llm.words import MEMO_ENTRIES, alnum_hashes, alnum_words, gram_hashes
 
 #: Labelled rows that a model is learned from at most.
 MAX_LABELLED = 20_000
@@ -183,7 +183,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFram
     def sketch(batch: pa.RecordBatch) -> dict:
         least = []
         for blob in batch.column(0).to_pylist():
-            grams = gram_hashes(word_hashes(alnum_words(blob or b"")), 3)
+            grams = gram_hashes(alnum_hashes(blob or b""), 3)
             least.append(int(grams.min() >> np.uint64(1)) if len(grams) else -len(blob or b""))
         return {"least": least, "text": batch.column(0), "toxic": batch.column(1)}
 
