@@ -43,6 +43,8 @@ from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
 from pulsepanel.llm.words import gram_hashes, mixed, spaced_hashes
 
 
+#: What it costs to tell two unrelated sets apart by their sketches, in signatures written.
+CHANCE_COST = 0.01
 #: Classes of one hub that are compared in one place with as many others.
 BLOCK = 1024
 
@@ -92,7 +94,7 @@ def allocate(low: int, high: int, percent: int, sets: int) -> Band:
         signatures = whole + single * (1 + each)
         empty = math.exp(-each)
         by_chance = whole * empty**2 + single * (empty * (1 + each)) ** 2
-        cost = signatures + sets * by_chance
+        cost = signatures + CHANCE_COST * sets * by_chance
         if best is None or cost < best[0]:
             best = cost, Band(low, high, single, whole)
     return best[1]
@@ -294,9 +296,13 @@ def close_pairs(
     first: np.ndarray,
     second: np.ndarray,
     percent: int,
+    forest: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows, one of each side, of different labels that their sketches allow to be linked."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    """Pairs of rows, one of each side, of different labels that their sketches allow to be linked.
+
+    With ``forest`` only as many, nearest first, as connect the labels that all of them connect.
+    """
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     words = sketches.view(np.uint64)
     rows = max(1, (1 << 21) // max(1, len(second) * words.shape[1]))
     for at in range(0, len(first), rows):
@@ -307,11 +313,38 @@ def close_pairs(
         good = (100 + percent) * differ <= (100 - percent) * total
         good &= labels[some][:, None] != labels[second][None, :]
         x, y = np.nonzero(good)
-        found.append((classes[some[x]], classes[second[y]]))
+        found.append((some[x], second[y], differ[x, y]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = (np.concatenate(side) for side in zip(*found))
-    return np.minimum(a, b), np.maximum(a, b)
+    x, y, far = (np.concatenate(side) for side in zip(*found))
+    if forest:
+        kept = _forest(labels, x, y, far)
+        x, y = x[kept], y[kept]
+    return np.minimum(classes[x], classes[y]), np.maximum(classes[x], classes[y])
+
+
+def _forest(labels: np.ndarray, x: np.ndarray, y: np.ndarray, far: np.ndarray) -> list[int]:
+    """Places of the pairs (x, y) that join two labels not joined by nearer ones."""
+    parent = {label: label for label in labels.tolist()}
+    of = labels.tolist()
+
+    def root(label: int) -> int:
+        while parent[label] != label:
+            parent[label] = parent[parent[label]]
+            label = parent[label]
+        return label
+
+    kept, left = [], len(parent) - 1
+    order = np.argsort(far, kind="stable")
+    for i, p, q in zip(order.tolist(), x[order].tolist(), y[order].tolist()):
+        a, b = root(of[p]), root(of[q])
+        if a != b:
+            parent[a] = b
+            kept.append(i)
+            left -= 1
+            if not left:
+                break
+    return kept
 
 
 def _nearest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -335,7 +368,7 @@ def _nearest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return near.groupBy("a").agg(F.min(F.struct("far", "b"))["b"].alias("b"))
 
 
-def _apart(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def _apart(members: DataFrame, percent: int, forest: bool, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of classes of a hub in different components that may be linked.
 
     ``members``: hub, class, label, n, sketch. The classes of a hub are dealt to blocks; each two blocks meet
@@ -369,7 +402,7 @@ def _apart(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                 close_pairs(
                     np.array(classes, np.int64), np.array(labels, np.int64), np.array(sizes, np.int64),
                     np.stack([folded(x, size) for x in sketches]),
-                    np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), percent,
+                    np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), percent, forest,
                 )
             )
             if sum(len(a) for a, _ in held) >= 1 << 16:
@@ -470,11 +503,13 @@ def class_components(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame,
     nearest = _nearest(members, sketches, percent)
     links = written(_links(rows, classes, nearest, k, percent), "hub_links")
     labels = components(links)
-    # what is still apart around a hub
-    pairs = written(_apart(_labelled(members, labels), percent), "close_pairs")
-    more = written(_links(rows, classes, pairs, k, percent), "further_links")
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    # what is still apart around a hub: first what would connect it, then whatever is left
+    for forest in (True, False):
+        pairs = written(_apart(_labelled(members, labels), percent, forest), "close_pairs")
+        more = written(_links(rows, classes, pairs, k, percent), "further_links")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            labels = components(links)
     joined = _labelled(classes.select("class", "least"), labels)
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
     return found, joined.join(least, "label").select("class", "label", "component_id")
