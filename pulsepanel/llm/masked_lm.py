@@ -13,10 +13,11 @@ Network: each neighbour adds a vector of its token and place; the sum passes tan
 classes; the second factor blends the token's corpus share in its class with its score by the same hidden
 layer, normalised over the class, so every token is predicted from both sides at a cost of classes + class size.
 
-Training: one pass over all documents, each task an epoch of minibatch gradient steps on every ``stride``-th
-word of its documents from the same start, then the mean of the tasks' weights, weighted by their words. The
-mean is a grouped sum over parameters, so nothing but the final weights, of fixed size, reaches the driver.
-More rounds repeat this from the mean.
+Training: one pass over all documents, each task an epoch of minibatch gradient steps on every word of its
+documents (a ``stride`` above 1 takes every so-manieth, from another offset in each round) from the same
+start, then the mean of the tasks' weights, weighted by their words. The mean is a grouped sum over
+parameters, so nothing but the final weights, of fixed size, reaches the driver. More rounds repeat this
+from the mean.
 
 Null, empty and wordless texts have no words and score 0, with a null mean. Words are runs between ASCII white
 space, A-Z in lower case. Repeated rows are scored each. An empty table gives the untrained network.
@@ -45,7 +46,7 @@ class Options:
     classes: int = 64
     window: int = 3
     hidden: int = 24
-    stride: int = 10
+    stride: int = 1
     batch: int = 2048
     rate: float = 0.1
     rounds: int = 1
@@ -261,10 +262,8 @@ def _round(rows: DataFrame, model: Model, number: int, chunk: int = 64) -> np.nd
         memo, trained = _memo(m), 0
 
         def learn(texts: list[np.ndarray]) -> int:
-            # another offset in each round; every document has words in each
-            taken = [
-                np.arange(len(t)) % o.stride == (number * 2) % min(o.stride, len(t)) for t in texts
-            ]
+            # another offset in each round, all of them in ``stride`` rounds; every document has words in each
+            taken = [np.arange(len(t)) % o.stride == number % min(o.stride, len(t)) for t in texts]
             mine = np.flatnonzero(np.concatenate(taken))
             tokens = np.concatenate(texts)[mine].astype(np.int64)
             around = contexts(texts, o.window)[mine]

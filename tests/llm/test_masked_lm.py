@@ -63,6 +63,16 @@ def test_order_matters(spark):
     assert all(g > b for g, b in zip(good, bad))
 
 
+def test_every_word_is_trained_by_default(spark):
+    rows = [(i, "go on p then q" if i % 2 else "go on r then s") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.fit(docs, lm.Options(words=30, rare=5, classes=8, batch=128))
+    texts = [b"go on p then q", b"go on r then s", b"go on p then s", b"go on r then q"]
+    a, b, c, d = lm.text_scores(model, texts, lm.Tokens(model))[1]
+    # the third and fifth word tell each other, though none of them stands first in a text
+    assert a + b > c + d + 2
+
+
 def test_a_text_scores_the_same_in_any_company():
     model = small_model()
     texts = [b"w1 w2 w3 odd", b"", b"w4", None, b"w5 w5 w5 w6 strange words"]
