@@ -1,11 +1,13 @@
 """LM scoring by masked pseudo-likelihood.
 
-A network sees a window of words on both sides of a masked word and predicts it. A document's score is the
-sum over its words of log p(word | both sides).
+A network sees a window of tokens on both sides of a masked token and predicts it. A document's score is the
+sum over its tokens of log p(token | both sides).
 
-Vocabulary: words are counted over all documents. The ``words`` most frequent have a token each; other words
-are one of ``rare`` tokens by hash, and within it cost the log-share of their letters, counted over the rare
-words of all documents. Tokens are dealt to ``classes`` by frequency, round robin, and
+Vocabulary: words are counted over all documents. The ``words`` most frequent have a token each. Any other
+word, with a space before it, is cut into pieces, longest first from the left: one of the ``rare`` runs of 2 to
+``piece`` bytes that save most tokens in the rare words of all documents, or a single byte. So no word shares
+its tokens with another, and each piece is predicted from both sides, within its word and beyond it. Tokens
+are dealt to ``classes`` round robin, and
 
     p(token | context) = p(class | context) p(token | class, context)
 
@@ -25,10 +27,10 @@ space, A-Z in lower case. Repeated rows are scored each. An empty table gives th
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from pulsepanel.llm.words import MEMO_ENTRIES, spaced_words
 @dataclass(frozen=True)
 class Options:
     words: int = 1920
-    rare: int = 127
+    rare: int = 1919
     classes: int = 64
     window: int = 3
     hidden: int = 24
@@ -50,10 +52,12 @@ class Options:
     batch: int = 2048
     rate: float = 0.1
     rounds: int = 1
+    piece: int = 6
 
     @property
     def tokens(self) -> int:
-        return 1 + self.words + self.rare  # and the mask, which also stands beyond the ends
+        # the mask, which also stands beyond the ends, words, runs of bytes, and single bytes
+        return 1 + self.words + self.rare + 256
 
 
 @dataclass
@@ -61,34 +65,46 @@ class Model:
     options: Options
     index: dict[bytes, int]
     log_share: np.ndarray  # of each token within its class
-    letter_cost: np.ndarray  # log-share of each byte in rare words
+    letter_cost: np.ndarray  # log-share of each byte in rare words; no score depends on it
     weights: dict[str, np.ndarray] = field(default_factory=dict)
+    runs: dict[bytes, int] = field(default_factory=dict)  # tokens of runs of bytes
 
     @property
     def class_size(self) -> int:
         return -(-self.options.tokens // self.options.classes)
 
-    def token(self, word: bytes) -> int:
+    def pieces(self, word: bytes) -> tuple[int, ...]:
+        """The tokens of a word: its own, or those of its runs of bytes."""
         known = self.index.get(word)
         if known is not None:
-            return known
-        return 1 + self.options.words + zlib.crc32(word) % self.options.rare
+            return (known,)
+        return _cut(b" " + word, self.runs, self.options)
+
+
+def _cut(word: bytes, runs: dict[bytes, int], options: Options) -> tuple[int, ...]:
+    """Longest runs first from the left, single bytes where none fits."""
+    out, at, bytes_from = [], 0, 1 + options.words + options.rare
+    while at < len(word):
+        for size in range(min(options.piece, len(word) - at), 1, -1):
+            token = runs.get(word[at : at + size])
+            if token is not None:
+                break
+        else:
+            size, token = 1, bytes_from + word[at]
+        out.append(token)
+        at += size
+    return tuple(out)
 
 
 class Tokens(dict):
-    """word -> (token, log-share of its letters), a bounded memo."""
+    """word -> its tokens, a bounded memo."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: bytes) -> tuple[int, float]:
-        token = self.model.token(word)
-        cost = 0.0
-        if token > self.model.options.words:
-            letters = np.frombuffer(word, np.uint8)
-            cost = float(self.model.letter_cost[letters].sum() + self.model.letter_cost[256])
-        value = (token, cost)
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        value = self.model.pieces(word)
         if len(word) <= 64:
             if len(self) >= MEMO_ENTRIES // 2:
                 self.clear()
@@ -145,7 +161,7 @@ def _within_scores(model: Model, weights: dict, hidden: np.ndarray, which: np.nd
 
 
 def log_likelihood(model: Model, weights: dict, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """log p(token | context) of each word."""
+    """log p(token | context) of each token."""
     o = model.options
     hidden = _hidden(weights, around)
     which, place = tokens % o.classes, tokens // o.classes
@@ -204,36 +220,56 @@ def _vocabulary(rows: DataFrame, options: Options) -> Model:
     index = {bytes(r.word): i + 1 for i, r in enumerate(top)}
     n = np.zeros(options.tokens, float)
     n[1 : 1 + len(top)] = [r.n for r in top]
-    shared = rows.sparkSession.sparkContext.broadcast(frozenset(index))
-    first = 1 + options.words
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(frozenset(index))
 
-    def letters(batch: pa.RecordBatch) -> dict:
-        tokens = np.zeros(options.rare, np.int64)
-        bytes_used = np.zeros(257, np.int64)
+    def substrings(batch: pa.RecordBatch) -> dict:
+        found: Counter = Counter()
         for word, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if word not in shared.value:
-                tokens[zlib.crc32(word) % options.rare] += k
+                spaced = b" " + word
+                for size in range(2, options.piece + 1):
+                    for at in range(len(spaced) - size + 1):
+                        found[spaced[at : at + size]] += k
+        return {"run": list(found.keys()), "n": list(found.values())}
+
+    # options.rare rows at most: those that save most tokens
+    best = (
+        arrow_map(counts, substrings, "run binary, n bigint")
+        .groupBy("run")
+        .agg(F.sum("n").alias("n"))
+        .orderBy((F.col("n") * (F.length("run") - 1)).desc(), "run")
+        .limit(options.rare)
+        .collect()
+    )
+    first = 1 + options.words
+    runs = {bytes(r.run): first + i for i, r in enumerate(best)}
+    known = context.broadcast((frozenset(index), runs))
+
+    def uses(batch: pa.RecordBatch) -> dict:
+        mine, bytes_used = np.zeros(options.rare + 256, np.int64), np.zeros(257, np.int64)
+        for word, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if word not in known.value[0]:
+                np.add.at(mine, np.array(_cut(b" " + word, known.value[1], options)) - first, k)
                 bytes_used[:256] += k * np.bincount(np.frombuffer(word, np.uint8), minlength=256)
                 bytes_used[256] += k
-        return {
-            "what": np.arange(options.rare + 257),
-            "n": np.concatenate([tokens, bytes_used]),
-        }
+        n_uses = np.concatenate([mine, bytes_used])
+        return {"what": np.arange(len(n_uses)), "n": n_uses}
 
-    # options.rare + 257 sums
-    sums = arrow_map(counts, letters, "what int, n bigint").groupBy("what").agg(F.sum("n").alias("n"))
-    used = np.zeros(options.rare + 257)
+    # options.rare + 513 sums
+    sums = arrow_map(counts, uses, "what int, n bigint").groupBy("what").agg(F.sum("n").alias("n"))
+    used = np.zeros(options.rare + 513)
     for row in sums.collect():
         used[row.what] = row.n
-    n[first:] = used[: options.rare]
-    bytes_used = used[options.rare :] + 0.5
+    n[first:] = used[: options.rare + 256]
+    bytes_used = used[options.rare + 256 :] + 0.5
     size = -(-options.tokens // options.classes)
     share = np.full(size * options.classes, 1e-9)
     share[: len(n)] = n + 0.5
     share = share.reshape(size, options.classes)
     log_share = np.log(share / share.sum(axis=0)).ravel().astype(np.float32)
     model = Model(options, index, log_share, np.log(bytes_used / bytes_used.sum()))
-    model.weights = start(model)
+    model.weights, model.runs = start(model), runs
     by_class = share.sum(axis=0)
     model.weights["bias"] = np.log(by_class / by_class.sum()).astype(np.float32)
     return model
@@ -312,13 +348,13 @@ def fit(docs: DataFrame, options: Options = Options(), text_col: str = "text") -
 
 
 def _in_lots(texts: list[bytes | None], memo: Tokens, words: int) -> Iterator[list[tuple]]:
-    """(tokens, summed log-shares of letters) of texts, in lists of at least so many words."""
+    """(tokens, words) of texts, in lists of at least so many tokens."""
     lot, size = [], 0
     for blob in texts:
-        pairs = list(map(memo.__getitem__, spaced_words(blob or b"")))
-        tokens = np.fromiter((t for t, _ in pairs), np.int32, len(pairs))
-        lot.append((tokens, sum(c for _, c in pairs)))
-        size += len(pairs)
+        held = spaced_words(blob or b"")
+        tokens = np.fromiter(chain.from_iterable(map(memo.__getitem__, held)), np.int32)
+        lot.append((tokens, len(held)))
+        size += len(tokens)
         if size >= words:
             yield lot
             lot, size = [], 0
@@ -343,8 +379,8 @@ def text_scores(model: Model, texts: list[bytes | None], memo: Tokens) -> tuple[
             values = np.concatenate(pieces).astype(float)
         ends = np.cumsum([0, *(len(t) for t, _ in lot)])
         sums = np.concatenate([[0.0], np.cumsum(values)])[ends]
-        counts += np.diff(ends).tolist()
-        scores += (np.diff(sums) + [c for _, c in lot]).tolist()
+        counts += [n for _, n in lot]
+        scores += np.diff(sums).tolist()
     return counts, scores
 
 

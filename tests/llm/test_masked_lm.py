@@ -73,6 +73,17 @@ def test_every_word_is_trained_by_default(spark):
     assert a + b > c + d + 2
 
 
+def test_rare_words_are_predicted_from_both_sides(spark):
+    # 'stone' and 'notes' are beyond the vocabulary, have the same letters, and share the only rare run
+    rows = [(i, "aa bb stone bb aa" if i % 2 else "cc bb notes bb cc") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm.fit(docs, lm.Options(words=3, rare=1, classes=8, batch=128, rounds=2, stride=1))
+    texts = [b"aa bb stone bb aa", b"cc bb notes bb cc", b"cc bb stone bb cc", b"aa bb notes bb aa"]
+    counts, (a, b, c, d) = lm.text_scores(model, texts, lm.Tokens(model))
+    assert counts == [5] * 4 and a + b > c + d + 2
+    assert lm.Tokens(model)[b"stone"] != lm.Tokens(model)[b"notes"]
+
+
 def test_a_text_scores_the_same_in_any_company():
     model = small_model()
     texts = [b"w1 w2 w3 odd", b"", b"w4", None, b"w5 w5 w5 w6 strange words"]
