@@ -5,9 +5,10 @@ entity as far as seeing the term makes the entity likely. With shares of documen
 
     IC(c) = -log p(c),   PMI(c; t) = log p(c, t) / (p(c) p(t)) = IC(c) - (-log p(c | t))
 
-so PMI / IC is 1 when the term gives the entity away, 0 when it says nothing. Co-occurrence is counted
-over the corpus, of terms within ``reach`` words of the entity, and a pair needs ``min_texts`` different
-texts: a word seen once beside a number is no evidence. Terms whose share is at least ``generalise`` are
+so PMI / IC is 1 when the term gives the entity away, 0 when it says nothing. p(c | t) is a lower bound:
+Wilson's, ``z`` deviations below the share of the term's texts that hold the entity. So every pair is scored,
+and few texts count for less: one of one gives the share 0.27, which is enough beside a rare entity of a large
+corpus. Co-occurrence is counted over the corpus, of terms within ``reach`` words of the entity. Terms whose share is at least ``generalise`` are
 replaced by a mark, at least ``remove`` by nothing, wherever in the corpus they stand.
 
 Pairs exist only beside entities, and are summed in each task. The document counts of the terms in pairs
@@ -16,7 +17,7 @@ words out. A further scan gives the places of revealing terms, again behind a fi
 
 Null and empty texts have no spans. Terms that overlap a base span are part of it. Terms are runs of ASCII
 letters, digits and non-ASCII characters, A-Z in lower case, known by 64-bit hashes. Rows with one id and equal
-text share their result, each row gets one. Documents are counted by row.
+text share their result, each row gets one. Documents are distinct texts: copies count once, in every count.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ class Policy:
     """What counts as disclosure."""
 
     reach: int = 8
-    min_texts: int = 3
+    z: float = 1.645
     generalise: float = 0.8
     remove: float = 0.95
 
@@ -159,35 +160,49 @@ def _found(rows: DataFrame, policy: Policy) -> DataFrame:
 
 
 def _term_counts(rows: DataFrame, passing: np.ndarray) -> DataFrame:
-    """term, documents that hold it; of the terms that pass the filter, summed in each batch."""
+    """term, texts that hold it; of the terms that pass the filter, summed in each batch."""
     shared = rows.sparkSession.sparkContext.broadcast(passing)
 
     def run(batch: pa.RecordBatch) -> dict:
-        mine = [np.empty(0, np.uint64)]
-        for blob in batch.column(0).to_pylist():
+        mine, shares = [np.empty(0, np.uint64)], [np.empty(0)]
+        for blob, share in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             hashes = np.unique(alnum_hashes(blob))
             mine.append(hashes[in_bloom(hashes, shared.value)])
-        terms, counts = np.unique(np.concatenate(mine), return_counts=True)
-        return {"term": pa.array(terms.view(np.int64)), "n": pa.array(counts)}
+            shares.append(np.full(len(mine[-1]), share))
+        terms, places = np.unique(np.concatenate(mine), return_inverse=True)
+        sums = np.bincount(places, np.concatenate(shares), len(terms))
+        return {"term": pa.array(terms.view(np.int64)), "n": pa.array(sums)}
+
+    # each of n copies of a text is 1 / n of it; the texts themselves are not shuffled
+    copies = rows.groupBy(ROW).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    each = rows.select(ROW, F.col("text").cast("binary").alias("text")).join(
+        small_or_shuffled(written(copies, "copied_texts")), ROW, "left"
+    )
+    share = 1 / F.coalesce(F.col("copies"), F.lit(1)).cast("double")
+    parts = arrow_map(each.select("text", share.alias("share")), run, "term bigint, n double")
+    return parts.groupBy("term").agg(F.round(F.sum("n")).cast("bigint").alias("n_term"))
+
 
-    parts = arrow_map(rows.select(F.col("text").cast("binary")), run, "term bigint, n bigint")
-    return parts.groupBy("term").agg(F.sum("n").alias("n_term"))
+def _at_least(part: Column, whole: Column, z: float) -> Column:
+    """Wilson's lower bound of a share that was seen as ``part`` of ``whole``."""
+    p = F.least(part / whole, F.lit(1.0))
+    spread = F.sqrt(p * (1 - p) / whole + z * z / (4 * whole * whole))
+    return (p + z * z / (2 * whole) - z * spread) / (1 + z * z / whole)
 
 
 def revealing_terms(rows: DataFrame, found: DataFrame, policy: Policy) -> DataFrame:
     """term, share: the largest PMI / IC over the entities it stands beside, at least ``generalise``."""
-    n_docs = rows.count()
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").count()
-    each = found.select(ROW, F.inline("pairs"))
+    n_docs = rows.select(ROW).distinct().count()
+    entities = found.select(ROW, F.explode("entities").alias("entity")).distinct().groupBy("entity").count()
+    each = found.select(ROW, F.inline("pairs")).distinct()
     pairs = written(
         each.groupBy("entity", "term")
-        .agg(F.count("*").alias("n_both"), F.count_distinct(ROW).alias("texts"))
-        .where(F.col("texts") >= policy.min_texts)
+        .agg(F.count("*").alias("n_both"))
         .join(entities.withColumnRenamed("count", "n_entity"), "entity"),
         "entity_terms",
     )
     counts = _term_counts(rows, bloom_bits(pairs, "term"))
-    given = F.log(F.col("n_both") / F.col("n_term"))  # log p(c | t)
+    given = F.log(_at_least(F.col("n_both"), F.col("n_term"), policy.z))  # log p(c | t), at least
     content = F.log(F.lit(float(max(1, n_docs))) / F.col("n_entity"))  # IC(c)
     share = F.when(content > 0, 1 + given / content).otherwise(0.0)
     return (

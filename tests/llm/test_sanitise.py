@@ -91,6 +91,28 @@ def test_one_text_is_no_evidence(spark):
     assert not any("term" in r.spans for r in sanitise.report(docs).collect())
 
 
+def marked_words(spark, rows):
+    """The words marked as terms, by row."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    out = {}
+    for r in sanitise.report(docs).collect():
+        places = [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term")]
+        out.setdefault(r.doc_id, []).extend(texts[r.doc_id][int(a) : int(b)].lower() for a, b in places)
+    return out
+
+
+def test_few_texts_of_a_large_corpus_are_enough(spark):
+    others = [(100 + i, f"she writes from home about lunch number {i % 40} of {i}") for i in range(3000)]
+    rows = [(1, "Zorblax writes from z@x.org"), (2, "lunch with Quibbly of q@x.org"), (3, "Quibbly writes home, q@x.org")]
+    rows += [(10 + i, "number of Wimbrel is w@x.org") for i in range(50)]
+    got = marked_words(spark, rows + others)
+    assert got[1] == ["zorblax"] and "quibbly" in got[2] and got[3] == ["quibbly"]
+    # copies count once: neither more evidence, nor less
+    assert all(got[10 + i] == ["wimbrel", "is"] for i in range(50))
+    assert not any(got[100 + i] for i in range(3000))
+
+
 def test_odd_rows(odd_documents, no_documents):
     rows = sanitise.report(odd_documents).collect()
     assert len(rows) == odd_documents.count()
