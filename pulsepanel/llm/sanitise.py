@@ -8,12 +8,13 @@ entity as far as seeing the term makes the entity likely. With shares of documen
 so PMI / IC is 1 when the term gives the entity away, 0 when it says nothing. p(c | t) is a lower bound:
 Wilson's, ``z`` deviations below the share of the term's texts that hold the entity. So every pair is scored,
 and few texts count for less: one of one gives the share 0.27, which is enough beside a rare entity of a large
-corpus. Co-occurrence is counted over the corpus, of terms within ``reach`` words of the entity. Terms whose share is at least ``generalise`` are
+corpus. Co-occurrence is counted over whole texts, wherever in them entity and term stand. Terms whose share is at least ``generalise`` are
 replaced by a mark, at least ``remove`` by nothing, wherever in the corpus they stand.
 
-Pairs exist only beside entities, and are summed in each task. The document counts of the terms in pairs
-come from one scan, in which each task sums its own terms; a Bloom filter of fixed size keeps other
-words out. A further scan gives the places of revealing terms, again behind a filter and a join.
+The counts of the terms in texts with entities come from one scan, in which each task sums its own terms; a
+Bloom filter of fixed size keeps other words out. A term in more than N^(1 - g) n^g texts cannot reach the
+share g for an entity in n of N texts, so such pairs are never made: entities and the remaining terms of a text
+are joined by its key. A further scan gives the places of revealing terms, again behind a filter and a join.
 
 Null and empty texts have no spans. Terms that overlap a base span are part of it. Terms are runs of ASCII
 letters, digits and non-ASCII characters, A-Z in lower case, known by 64-bit hashes. Rows with one id and equal
@@ -23,7 +24,6 @@ text share their result, each row gets one. Documents are distinct texts: copies
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,7 +53,6 @@ _SPAN = "array<struct<start: int, kind: int, end: int>>"
 class Policy:
     """What counts as disclosure."""
 
-    reach: int = 8
     z: float = 1.645
     generalise: float = 0.8
     remove: float = 0.95
@@ -116,38 +115,27 @@ def _signed(words: list[bytes]) -> list[int]:
     return word_hashes(words).view(np.int64).tolist()
 
 
-def beside(text: str, spans: list[tuple[int, int, int]], reach: int) -> set[tuple[int, int]]:
-    """(entity, term) pairs of the terms within ``reach`` words of each span."""
-    out: set[tuple[int, int]] = set()
+def free_terms(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """The distinct terms of a text that do not overlap a span."""
     covered = np.zeros(len(text) + 1, bool)
     for start, _, end in spans:
         covered[start:end] = True
-    words = _terms(text)
-    starts = [a for a, *_ in words]
-    free = [not covered[a:b].any() for a, b, _ in words]
-    for span in spans:
-        left = bisect_left(starts, span[0])
-        right = bisect_left(starts, span[2])
-        near = [w for w in range(max(0, left - reach), min(len(words), right + reach)) if free[w]]
-        entity = _entity(text, span)
-        out.update((entity, t) for t in _signed([words[w][2] for w in near]))
-    return out
+    return sorted(set(_signed([w for a, b, w in _terms(text) if not covered[a:b].any()])))
 
 
-def _found(rows: DataFrame, policy: Policy) -> DataFrame:
-    """doc_id, row key, base spans, entities and (entity, term) pairs of every row."""
+def _found(rows: DataFrame) -> DataFrame:
+    """doc_id, row key, base spans and entities of every row; its terms if it has entities."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        spans, entities, pairs = [], [], []
+        spans, entities, terms = [], [], []
         for text in batch.column(2).to_pylist():
             base = base_spans(text)
             spans.append([{"start": a, "kind": k, "end": b} for a, k, b in base])
             entities.append(sorted({_entity(text, s) for s in base}))
-            near = beside(text, base, policy.reach) if base else ()
-            pairs.append([{"entity": e, "term": t} for e, t in sorted(near)])
+            terms.append(free_terms(text, base) if base else [])
         return {
             "doc_id": batch.column(0), ROW: batch.column(1),
-            "base": spans, "entities": entities, "pairs": pairs,
+            "base": spans, "entities": entities, "terms": terms,
         }
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -155,7 +143,7 @@ def _found(rows: DataFrame, policy: Policy) -> DataFrame:
         rows.select("doc_id", ROW, "text"),
         run,
         f"doc_id {kind}, {ROW} bigint, base {_SPAN}, entities array<bigint>, "
-        "pairs array<struct<entity: bigint, term: bigint>>",
+        "terms array<bigint>",
     )
 
 
@@ -193,21 +181,49 @@ def _at_least(part: Column, whole: Column, z: float) -> Column:
 def revealing_terms(rows: DataFrame, found: DataFrame, policy: Policy) -> DataFrame:
     """term, share: the largest PMI / IC over the entities it stands beside, at least ``generalise``."""
     n_docs = rows.select(ROW).distinct().count()
-    entities = found.select(ROW, F.explode("entities").alias("entity")).distinct().groupBy("entity").count()
-    each = found.select(ROW, F.inline("pairs")).distinct()
-    pairs = written(
-        each.groupBy("entity", "term")
+    beside = written(
+        found.where(F.size("entities") > 0).select(ROW, "entities", "terms").dropDuplicates([ROW]),
+        "texts_with_entities",
+    )
+    each = beside.select(ROW, F.explode("entities").alias("entity"))
+    entities = written(each.groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+    g = policy.generalise
+
+    def limit(n_entity: Column) -> Column:
+        # a little more, against rounding
+        return F.pow(F.lit(float(max(1, n_docs))), 1 - g) * F.pow(n_entity, g) * 1.000001
+
+    candidates = beside.select(F.explode("terms").alias("term"))
+    counts = written(
+        _term_counts(rows, bloom_bits(candidates, "term")).where(
+            F.col("n_term") <= limit(F.lit(float(most)))
+        ),
+        "term_counts",
+    )
+    passing = rows.sparkSession.sparkContext.broadcast(bloom_bits(counts, "term"))
+
+    def rare(batch: pa.RecordBatch) -> dict:
+        lists = batch.column(1)
+        at = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        terms = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        kept = in_bloom(terms.view(np.uint64), passing.value)
+        return {ROW: batch.column(0).take(pa.array(at[kept])), "term": terms[kept]}
+
+    terms = arrow_map(beside.select(ROW, "terms"), rare, f"{ROW} bigint, term bigint")
+    terms = terms.join(small_or_shuffled(counts), "term")
+    pairs = (
+        each.join(small_or_shuffled(entities), "entity")
+        .join(terms, ROW)
+        .where(F.col("n_term") <= limit(F.col("n_entity")))
+        .groupBy("entity", "term", "n_entity", "n_term")
         .agg(F.count("*").alias("n_both"))
-        .join(entities.withColumnRenamed("count", "n_entity"), "entity"),
-        "entity_terms",
     )
-    counts = _term_counts(rows, bloom_bits(pairs, "term"))
     given = F.log(_at_least(F.col("n_both"), F.col("n_term"), policy.z))  # log p(c | t), at least
     content = F.log(F.lit(float(max(1, n_docs))) / F.col("n_entity"))  # IC(c)
     share = F.when(content > 0, 1 + given / content).otherwise(0.0)
     return (
-        pairs.join(counts, "term")
-        .groupBy("term")
+        pairs.groupBy("term")
         .agg(F.max(share).alias("share"))
         .where(F.col("share") >= policy.generalise)
     )
@@ -255,7 +271,7 @@ def spans(
 ) -> DataFrame:
     """doc_id, row key, base spans (start, kind, end), and revealing terms (start, end, share)."""
     rows = keyed(docs, id_col, text_col)
-    found = written(_found(rows, policy), "personal_data")
+    found = written(_found(rows), "personal_data")
     terms = written(revealing_terms(rows, found, policy), "revealing_terms")
     none = F.array().cast("array<struct<start: int, end: int, share: double>>")
     out = join_rows(found.select("doc_id", ROW, "base"), _places(rows, terms))
@@ -305,7 +321,7 @@ def replaced(text: str, terms: list[tuple[int, int, float]], remove: float) -> s
 def sanitise(docs: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """All rows and columns of a table with doc_id and text; texts without what reveals persons."""
     rows = keyed(docs, "doc_id", "text")
-    found = written(_found(rows, policy), "personal_data")
+    found = written(_found(rows), "personal_data")
     terms = written(revealing_terms(rows, found, policy), "revealing_terms")
     places = written(_places(rows, terms), "revealing_places")
     marked = join_table(docs, small_or_shuffled(places), "left")

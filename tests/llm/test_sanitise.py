@@ -113,6 +113,14 @@ def test_few_texts_of_a_large_corpus_are_enough(spark):
     assert not any(got[100 + i] for i in range(3000))
 
 
+def test_terms_far_from_the_address(spark):
+    far = " ".join(f"word{i}" for i in range(60))
+    near = [(i, f"Zorblax {far} z@x.org" if i % 2 else f"z@x.org asks Zorblax {far}") for i in range(12)]
+    rows = near + [(100 + i, f"{far} she writes {i}") for i in range(500)]
+    got = marked_words(spark, rows)
+    assert all("zorblax" in got[i] for i in range(12)) and not any(got[100 + i] for i in range(500))
+
+
 def test_odd_rows(odd_documents, no_documents):
     rows = sanitise.report(odd_documents).collect()
     assert len(rows) == odd_documents.count()
