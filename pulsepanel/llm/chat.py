@@ -6,13 +6,13 @@ An event is ``conv_id, seq, kind, message, role, text``. Kinds:
 * ``edit``: replaces the text; ``regenerate``: forgets it, deltas follow; ``delete``: drops the message
 
 ``message`` names the message within its conversation; its place is that of its first event. An event of a
-message that is not open counts as its start. Events are sorted by ``seq``, ties by place of message, kind,
-role and text. Messages must not interleave with more than ``open_messages`` others that still change; then
-the oldest is final. Nulls: role '', text '', message = seq.
+message that has none yet counts as its start. Events are sorted by ``seq``, ties by message, kind, role and
+text, and may come however late. Nulls: role '', text '', message = seq.
 
-A conversation lies in one partition and is streamed in order, so a task holds the open messages and
-nothing else, however long a conversation is. Output is one row for each message with its piece of the
-rendered text; the pieces of a conversation in order are its text.
+The events of a message lie in one partition and are folded and rendered there, so a task holds one message,
+and a long conversation is spread over tasks. The messages are then dealt by conversation and streamed in the
+order of their first events. Output is one row for each message with its piece of the rendered text; the
+pieces of a conversation in order are its text.
 
 Template: ``<s>[role]\\n`` text ``</s>\\n`` for each turn. Texts and roles are escaped: ``\\`` becomes
 ``\\\\`` and ``<``, ``[``, ``]`` get a ``\\`` before them, so no control string can come from a text,
@@ -25,15 +25,14 @@ import hashlib
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby, repeat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-OPEN_MESSAGES = 64
 PIECES = "conv_id bigint, place bigint, piece string, loss_from bigint, loss_to bigint"
 DIGESTS = (
     "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
@@ -53,13 +52,18 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def fold(events: Iterator[tuple], open_messages: int = OPEN_MESSAGES) -> Iterator[tuple[int, str, str]]:
-    """(place, role, text) of the final messages of one conversation, from its events in order."""
+def fold(
+    events: Iterator[tuple], open_messages: int | None = None
+) -> Iterator[tuple[int, str, str]]:
+    """(place, role, text) of the final messages, from their events in order.
+
+    ``open_messages``: for logs known to change so many messages at a time at most; older ones are final.
+    """
     live: OrderedDict = OrderedDict()  # message -> [role, parts or None when deleted]
     place = 0
     for kind, message, role, text in events:
         if message not in live:
-            if len(live) >= open_messages:
+            if open_messages and len(live) >= open_messages:
                 _, (old_role, parts) = live.popitem(last=False)
                 if parts is not None:
                     yield place, old_role, "".join(parts)
@@ -101,6 +105,13 @@ def parse(piece: str) -> tuple[str, str]:
     return unescape(found[1]), unescape(found[2])
 
 
+def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """conv_id, message, kind, role, text, and where seq is: its column and place."""
+    for batch in batches:
+        *columns, seq = batch.columns
+        yield from zip(*(c.to_pylist() for c in columns), zip(repeat(seq), range(len(seq))))
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*(c.to_pylist() for c in batch.columns))
@@ -160,9 +171,8 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     )
 
 
-def format_conversations(events: DataFrame, open_messages: int = OPEN_MESSAGES) -> DataFrame:
+def format_conversations(events: DataFrame) -> DataFrame:
     """conv_id, place, piece, loss_from, loss_to: the rendered messages, each conversation in order."""
-    schema = to_arrow_schema(_parse_datatype_string(PIECES))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     log = events.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
@@ -172,21 +182,36 @@ def format_conversations(events: DataFrame, open_messages: int = OPEN_MESSAGES)
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
         text.alias("text"),
     )
-    ordered = (
-        log.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "seq", "message", "kind", "role", "text")
-        .select("conv_id", "kind", "message", "role", "text")
+    by_message = (
+        log.repartition("conv_id", "message")
+        .sortWithinPartitions("conv_id", "message", "seq", "kind", "role", "text")
+        .select("conv_id", "message", "kind", "role", "text", "seq")
     )
+    kinds = {f.name: f.dataType for f in log.schema.fields}
+    folded = StructType([StructField(c, kinds[c]) for c in ("conv_id", "seq", "message")])
+    for field in _parse_datatype_string(PIECES).fields[2:]:
+        folded.add(field)
+    schema = to_arrow_schema(folded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces() -> Iterator[tuple]:
-            for conv_id, rows in _by_conversation(_rows(batches)):
-                for place, role, body in fold((row[1:] for row in rows), open_messages):
-                    yield conv_id, place, *render(role, body)
+            for (conv_id, message), rows in groupby(_events(batches), key=lambda row: row[:2]):
+                first = next(rows)
+                column, at = first[5]
+                each = ((row[2], message, row[3], row[4]) for row in chain([first], rows))
+                for _, role, body in fold(each):
+                    yield conv_id, column[at].as_py(), message, *render(role, body)
 
         yield from _in_batches(pieces(), schema)
 
-    return ordered.mapInArrow(run, PIECES)
+    in_order = Window.partitionBy("conv_id").orderBy("seq", "message")
+    return by_message.mapInArrow(run, folded).select(
+        "conv_id",
+        (F.row_number().over(in_order) - 1).cast("bigint").alias("place"),
+        "piece",
+        "loss_from",
+        "loss_to",
+    )
 
 
 def digests(pieces: DataFrame) -> DataFrame:

@@ -59,6 +59,19 @@ def test_log_out_of_order(spark):
     assert [chat.parse(p.piece) for p in pieces if p.conv_id is None] == [("", "")]
 
 
+def test_late_events_reach_their_message(spark):
+    rows = [(1, i, "message", f"m{i}", "user", f"t{i}") for i in range(150)]
+    rows += [(1, 1000, "edit", "m0", None, "late"), (1, 1001, "delete", "m1", None, None)]
+    rows += [(1, 1002, "delta", "m2", None, " more"), (1, 1003, "regenerate", "m3", "assistant", None)]
+    rows += [(1, 1004, "delta", "m3", None, "again")]
+    schema = "conv_id long, seq long, kind string, message string, role string, text string"
+    pieces = chat.format_conversations(spark.createDataFrame(rows, schema)).orderBy("place").collect()
+    assert [p.place for p in pieces] == list(range(149))
+    start = [("user", "late"), ("user", "t2 more"), ("assistant", "again"), ("user", "t4")]
+    assert [chat.parse(p.piece) for p in pieces][:4] == start
+    assert chat.parse(pieces[-1].piece) == ("user", "t149")
+
+
 def test_query_equals_sql(spark, sf_dir):
     name = "op6_chat_event_log"
     duck = compare.connect(sf_dir)
