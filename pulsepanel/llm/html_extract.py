@@ -229,15 +229,15 @@ def _labels(page: Page, marked: bool) -> np.ndarray:
 
 
 def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, variants: int = 4) -> Model:
-    """Learn from at most ``max_pages`` pages with an article or main element, chosen by a hash."""
+    """Learn from at most ``max_pages`` unlike pages with an article or main element, chosen by a hash."""
     source = F.col(f"`{html_col}`").cast("string")
     fit_for_use = F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= MAX_PAGE_CHARS)
     hashed = (
         pages.select(source.alias("html")).where(fit_for_use).withColumn("hash", F.xxhash64("html"))
     )
     # the hashes alone are ordered, so tasks send numbers; then the few pages up to the last hash
-    last = hashed.select("hash").orderBy("hash").limit(max_pages).agg(F.max("hash")).first()[0]
-    few = hashed.where(F.col("hash") <= F.lit(last)).orderBy("hash", "html").limit(max_pages)
+    last = hashed.select("hash").distinct().orderBy("hash").limit(max_pages).agg(F.max("hash")).first()[0]
+    few = hashed.where(F.col("hash") <= F.lit(last)).distinct().orderBy("hash", "html").limit(max_pages)
     return learn([row.html for row in few.collect()], variants)
 
 

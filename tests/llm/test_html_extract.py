@@ -49,6 +49,15 @@ def test_pages_of_other_tables(spark, model):
     assert len(wrong) <= len(rows) // 100
 
 
+def test_copies_of_a_page_fill_no_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(html_extract, "learn", lambda sources, variants: taken.append(sources))
+    pages = [f"<article><p>text {i}</p></article>" for i in range(12)]
+    rows = [(p,) for p in pages for _ in range(20)]
+    html_extract.fit(spark.createDataFrame(rows, "html string"), max_pages=10)
+    assert len(taken[0]) == len(set(taken[0])) == 10
+
+
 def test_other_templates(model):
     r = random.Random(2)
     words = "the river of and stone to light in that was on for with as at by from house".split()
