@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments over token log-odds.
 
 Learning, from labelled rows outside the held-out fifth (at most ``max_labelled`` of them, chosen by a hash
-of the id; of near copies with one label, known by their least 3-word hash, one counts):
+of the id; of equal texts with one label one counts):
 
 1. For each token the number of toxic and of clean texts that hold it. Log-odds with an informative
    Dirichlet prior: each class gets pseudo-texts that follow the token's overall share, so rare tokens
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import arrow_map, written
-from pulsepanel.llm.words import MEMO_ENTRIES, alnum_hashes, alnum_words, gram_hashes
+from pulsepanel.llm.words import MEMO_ENTRIES, alnum_words
 
 #: Labelled rows that a model is learned from at most.
 MAX_LABELLED = 20_000
@@ -180,18 +180,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_labelled: int) -> DataFram
     text = F.col("text").cast("string").cast("binary").alias("text")
     found = docs.select("doc_id", text).join(F.broadcast(rows), "doc_id").select("text", "toxic")
 
-    def sketch(batch: pa.RecordBatch) -> dict:
-        least = []
-        for blob in batch.column(0).to_pylist():
-            grams = gram_hashes(alnum_hashes(blob or b""), 3)
-            least.append(int(grams.min() >> np.uint64(1)) if len(grams) else -len(blob or b""))
-        return {"least": least, "text": batch.column(0), "toxic": batch.column(1)}
-
-    near = arrow_map(found, sketch, "least bigint, text binary, toxic int")
-    return written(
-        near.groupBy("least", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"),
-        "toxicity_labelled",
-    )
+    # equal texts with one label count once
+    return written(found.distinct(), "toxicity_labelled")
 
 
 def _token_counts(labelled: DataFrame, lexicon: dict[bytes, float] | None = None) -> DataFrame:

@@ -42,6 +42,18 @@ def learned(spark):
     return docs, labels, toxicity.fit(docs, labels)
 
 
+def test_only_equal_texts_count_once(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    # unlike texts with a passage in common, short ones of equal length, and one text under two ids
+    passage = "the same three words and more of them stand here in all"
+    rows = [(i, f"{passage} {' '.join(f'w{i}x{j}' for j in range(4))}" if i % 2 else f"ab {i:04}") for i in ids]
+    rows += [(100 + i, rows[0][1]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i, _ in rows], "doc_id long, toxic int")
+    kept = toxicity._labelled(docs, labels, 1000).collect()
+    assert sorted(bytes(r.text).decode() for r in kept) == sorted({t for _, t in rows})
+
+
 def test_held_out_accuracy(learned):
     docs, labels, model = learned
     rows = (
