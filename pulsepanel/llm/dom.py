@@ -166,6 +166,9 @@ class Page:
         return [" ".join("".join(t).split()) if t else "" for t in self.text]
 
 
+_ASCII_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def _names(attributes: str) -> tuple[tuple[str, ...], str]:
     """Words of class, id, role and itemprop, lower-cased; the training mark."""
     if not attributes or "=" not in attributes:
@@ -181,6 +184,12 @@ def _names(attributes: str) -> tuple[tuple[str, ...], str]:
     return tuple(dict.fromkeys(words)), mark
 
 
+def _capitals(text: str) -> int:
+    if text.isascii():
+        return len(text) - len(text.encode().translate(None, _ASCII_CAPITALS))
+    return sum(map(str.isupper, text))
+
+
 def features(page: Page, vocabulary: dict[str, int]) -> np.ndarray:
     """One row for each node: figures, own tag, own names, names and tags of its ancestors.
 
@@ -191,7 +200,7 @@ def features(page: Page, vocabulary: dict[str, int]) -> np.ndarray:
     own = np.array([len(t) for t in texts], float)
     words = np.array([t.count(" ") + 1 if t else 0 for t in texts], float)
     stops = np.array([t.count(".") + t.count(",") + t.count("!") + t.count("?") for t in texts], float)
-    capitals = np.array([sum(map(str.isupper, t[:200])) / max(1, min(len(t), 200)) for t in texts])
+    capitals = np.array([_capitals(t) / max(1, len(t)) for t in texts])
     out = np.zeros((n, len(FIGURES) + 2 * v), np.float32)
     chars, total_words, total_stops = own.copy(), words.copy(), stops.copy()
     link = np.array(page.link_chars, float)

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from pulsepanel.llm import html_extract, registry
 from pulsepanel.llm.boosting import boost
-from pulsepanel.llm.dom import Page
+from pulsepanel.llm.dom import FIGURES, Page, features
 
 
 PIECES = (
@@ -58,6 +58,13 @@ def test_copies_of_a_page_fill_no_sample(spark, monkeypatch):
     assert len(taken[0]) == len(set(taken[0])) == 10
 
 
+@pytest.mark.parametrize("letter, capital", [("a", "A"), ("é", "É")])
+def test_capitals_of_long_blocks(letter, capital):
+    page = Page(f"<p>{letter * 300}{capital * 100}</p>")
+    shares = features(page, {})[:, list(FIGURES).index("capital_share")]
+    assert shares.max() == pytest.approx(0.25)
+
+
 def test_other_templates(model):
     r = random.Random(2)
     words = "the river of and stone to light in that was on for with as at by from house".split()
