@@ -14,9 +14,9 @@ and a long conversation is spread over tasks. The messages are then dealt by con
 order of their first events. Output is one row for each message with its piece of the rendered text; the
 pieces of a conversation in order are its text.
 
-Template: ``<s>[role]\\n`` text ``</s>\\n`` for each turn. Texts and roles are escaped: ``\\`` becomes
-``\\\\`` and ``<``, ``[``, ``]`` get a ``\\`` before them, so no control string can come from a text,
-and ``unescape`` gives the text back. The loss mask covers the text of assistant turns.
+Template: ``<s>[role]\\n`` text ``</s>\\n`` for each turn. In texts and roles ``\\``, ``<``, ``[`` and ``]``
+become ``\\\\``, ``\\l``, ``\\o`` and ``\\c``, so none of the characters that begin or end a control string is
+left, and ``unescape`` gives the text back. The loss mask covers the text of assistant turns.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, groupby, repeat
 
 import pyarrow as pa
@@ -39,35 +39,26 @@ DIGESTS = (
     "formatted_chars bigint"
 )
 _BEGIN, _AFTER_ROLE, _END = "<s>[", "]\n", "</s>\n"
+_LETTERS = {"\\": "\\", "<": "l", "[": "o", "]": "c"}
 _CONTROL = re.compile(r"[\\<\[\]]")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-_PIECE = re.compile(r"<s>\[((?:[^\\\]]|\\.)*)\]\n(.*)</s>\n", re.DOTALL)
+_PLAIN = {letter: control for control, letter in _LETTERS.items()}
 
 
 def escape(text: str) -> str:
-    return _CONTROL.sub(r"\\\g<0>", text)
+    """The text without any ``<``, ``[`` or ``]``."""
+    return _CONTROL.sub(lambda found: "\\" + _LETTERS[found[0]], text)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    return _ESCAPED.sub(lambda found: _PLAIN[found[1]], text)
 
 
-def fold(
-    events: Iterator[tuple], open_messages: int | None = None
-) -> Iterator[tuple[int, str, str]]:
-    """(place, role, text) of the final messages, from their events in order.
-
-    ``open_messages``: for logs known to change so many messages at a time at most; older ones are final.
-    """
+def fold(events: Iterator[tuple]) -> Iterator[tuple[int, str, str]]:
+    """(place, role, text) of the final messages, from their events in order."""
     live: OrderedDict = OrderedDict()  # message -> [role, parts or None when deleted]
-    place = 0
     for kind, message, role, text in events:
         if message not in live:
-            if open_messages and len(live) >= open_messages:
-                _, (old_role, parts) = live.popitem(last=False)
-                if parts is not None:
-                    yield place, old_role, "".join(parts)
-                    place += 1
             live[message] = [role, []]
         state = live[message]
         if kind in ("message", "edit"):
@@ -83,10 +74,9 @@ def fold(
                 state[1].append(text)
         else:
             raise ValueError(f"Unknown kind of event: {kind!r}")
-    for role, parts in live.values():
-        if parts is not None:
-            yield place, role, "".join(parts)
-            place += 1
+    kept = ((role, parts) for role, parts in live.values() if parts is not None)
+    for place, (role, parts) in enumerate(kept):
+        yield place, role, "".join(parts)
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
@@ -97,12 +87,35 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     return head + body + _END, len(head), to
 
 
+def read_turns(parts: Iterable[str]) -> Iterator[tuple[str, str]]:
+    """(role, text) of each turn of a formatted conversation, given in parts cut anywhere.
+
+    Only control strings tell turns apart; no more than one turn and one part are held.
+    """
+    held = ""
+    for part in parts:
+        searched = max(0, len(held) - len(_END))
+        held += part
+        begin = 0
+        while (end := held.find(_END, max(begin, searched))) >= 0:
+            yield _turn(held[begin:end])
+            begin = end + len(_END)
+        held = held[begin:]
+    if held:
+        raise ValueError("The text ends within a turn.")
+
+
+def _turn(turn: str) -> tuple[str, str]:
+    after_role = turn.find(_AFTER_ROLE)
+    if not turn.startswith(_BEGIN) or after_role < 0:
+        raise ValueError("No turn of this template.")
+    return unescape(turn[len(_BEGIN) : after_role]), unescape(turn[after_role + len(_AFTER_ROLE) :])
+
+
 def parse(piece: str) -> tuple[str, str]:
     """(role, text) of a piece."""
-    found = _PIECE.fullmatch(piece)
-    if not found:
-        raise ValueError("No piece of this template.")
-    return unescape(found[1]), unescape(found[2])
+    (turn,) = read_turns([piece])
+    return turn
 
 
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -214,10 +227,18 @@ def format_conversations(events: DataFrame) -> DataFrame:
     )
 
 
+def _in_place(conv_id: int | None, rows: Iterator[tuple]) -> Iterator[tuple]:
+    for expected, row in enumerate(rows):
+        if row[1] != expected:
+            raise ValueError(f"Conversation {conv_id}: piece {row[1]} where {expected} should be.")
+        yield row
+
+
 def digests(pieces: DataFrame) -> DataFrame:
     """What can be read back from the formatted text, for each conversation.
 
-    Reads the pieces in the order in which ``format_conversations`` makes them: no shuffle.
+    Turns are parsed from the conversation's pieces joined, the loss mask is laid over the same text. Reads the
+    pieces in the order in which ``format_conversations`` makes them, without a shuffle; another order is an error.
     """
     schema = to_arrow_schema(_parse_datatype_string(DIGESTS))
 
@@ -226,12 +247,18 @@ def digests(pieces: DataFrame) -> DataFrame:
             for conv_id, rows in _by_conversation(_rows(batches)):
                 turns, loss = hashlib.sha256(), hashlib.sha256()
                 n = loss_chars = chars = 0
-                for _, _, piece, loss_from, loss_to in rows:
-                    role, body = parse(piece)
+
+                def text() -> Iterator[str]:
+                    nonlocal loss_chars, chars
+                    for _, _, piece, loss_from, loss_to in _in_place(conv_id, rows):
+                        masked = unescape(piece[loss_from:loss_to])
+                        loss.update(masked.encode("utf-8", "replace"))
+                        loss_chars, chars = loss_chars + len(masked), chars + len(piece)
+                        yield piece
+
+                for role, body in read_turns(text()):
                     turns.update(f"{role}\n{body}\n".encode("utf-8", "replace"))
-                    masked = unescape(piece[loss_from:loss_to])
-                    loss.update(masked.encode("utf-8", "replace"))
-                    n, loss_chars, chars = n + 1, loss_chars + len(masked), chars + len(piece)
+                    n += 1
                 yield conv_id, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars
 
         yield from _in_batches(found(), schema)

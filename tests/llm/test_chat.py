@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 
 from pulsepanel.llm import chat, registry
 
-TEXTS = st.text(st.sampled_from("a<>[]/\\s\né INST"), max_size=30)
+PARTS = ["a", "<", ">", "[", "]", "/", "\\", "s", "\n", "é", " ", "l", "o", "c", "</s>\n", "<s>[", "[INST]", "[/INST]"]
+TEXTS = st.lists(st.sampled_from(PARTS), max_size=20).map("".join)
 
 
 @settings(max_examples=300, deadline=None)
@@ -22,6 +23,29 @@ def test_rendering_is_reversible(role, text):
     assert piece.count("</s>") == 1 and piece.count("<s>[") == 1
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(TEXTS, TEXTS), max_size=6), st.integers(1, 40))
+def test_conversations_are_read_from_their_whole_text(turns, step):
+    whole = "".join(chat.render(*turn)[0] for turn in turns)
+    cut = [whole[i : i + step] for i in range(0, len(whole), step)]
+    assert list(chat.read_turns(cut)) == turns
+    assert whole.count("</s>") == whole.count("<s>[") == len(turns)
+    # control strings of other templates cannot stand in a text either
+    assert not any(mark in chat.escape(text) for _, text in turns for mark in ("[INST]", "</s>", "<"))
+
+
+def test_order_of_pieces_is_checked(spark):
+    row = (1, 1, chat.render("user", "x")[0], 0, 0)
+    with pytest.raises(Exception, match="piece 1 where 0 should be"):
+        chat.digests(spark.createDataFrame([row], chat.PIECES)).collect()
+
+
+def test_what_is_no_conversation_is_refused():
+    for text in ("x", "<s>[user]\nopen", "[user]\nx</s>\n", "<s>[user x</s>\n"):
+        with pytest.raises(ValueError):
+            list(chat.read_turns([text]))
+
+
 def test_fold_of_deltas_edits_and_regenerations():
     events = [
         ("start", "1", "user", ""),
@@ -38,11 +62,6 @@ def test_fold_of_deltas_edits_and_regenerations():
     assert list(chat.fold(iter(events))) == [(0, "user", "Hello?"), (1, "assistant", "right")]
 
 
-def test_only_so_many_messages_stay_open():
-    events = [("message", str(i), "user", str(i)) for i in range(10)]
-    assert [t for *_, t in chat.fold(iter(events), open_messages=2)] == [str(i) for i in range(10)]
-
-
 def test_unknown_kind_is_refused():
     with pytest.raises(ValueError):
         list(chat.fold(iter([("say", "1", "user", "x")])))
