@@ -11,6 +11,7 @@ from pulsepanel.llm import (
     bitplanes,
     bpe,
     chat,
+    collocations,
     decontaminate,
     html_extract,
     jaccard_join,
@@ -109,3 +110,8 @@ def op1_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_masked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return masked_lm.score(docs, masked_lm.fit(docs))
+
+
+@query
+def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

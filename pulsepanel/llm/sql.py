@@ -70,3 +70,33 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(11 + length(regexp_replace(role || text, '([\\<\[\]])', '\\\1', 'g'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+# phrases as lists of words; products in 128 bits
+SQL["op13_phrase_index"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (
+  SELECT lang, w[p:p + k - 1] AS g, k, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k))
+  GROUP BY ALL HAVING count(*) >= 100 OR k = 1),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, g, k, f FROM g WHERE k > 1),
+inside AS (
+  SELECT DISTINCT c.lang, s.g FROM c, (SELECT unnest([2, 3, 4]) AS size) AS z, LATERAL (
+    SELECT unnest([c.g[p:p + size - 1] FOR p IN range(1, c.k - size + 2)]) AS g) AS s
+  JOIN c AS short ON short.lang = c.lang AND short.g = s.g
+  WHERE size < c.k AND 100 * c.f >= 100 * short.f),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, cut, c.g[:cut] AS x, c.g[cut + 1:] AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS c ANTI JOIN inside USING (lang, g)),
+scored AS (
+  SELECT q.lang, array_to_string(q.g, ' ') AS phrase, a, l.f AS l, r.f AS r, n, cut,
+         CAST((1000 * CAST(a AS HUGEINT) * n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts AS q JOIN g AS l ON l.lang = q.lang AND l.g = x JOIN g AS r ON r.lang = q.lang AND r.g = y JOIN n ON n.lang = q.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
