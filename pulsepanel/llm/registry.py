@@ -17,6 +17,7 @@ from pulsepanel.llm import (
     jaccard_join,
     line_quality,
     masked_lm,
+    prefix_trie,
     sanitise,
     toxicity,
 )
@@ -115,3 +116,8 @@ def op2_masked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))

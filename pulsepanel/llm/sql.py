@@ -100,3 +100,35 @@ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phra
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM best QUALIFY rank <= 2000
 """
+
+# crc32 bit by bit; a node is the MD5s of its turns, one after the other
+SQL["op12_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, length(coalesce(text, '')) AS chars,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'key': key, 'chars': chars} ORDER BY turn NULLS FIRST, role, key) AS turns FROM t GROUP BY 1),
+h AS (
+  SELECT *, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 6 AS head
+  FROM o),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns[:head], []), h.turns[head + 1:]) AS turns
+  FROM h LEFT JOIN o AS b ON b.conv_id = h.base),
+p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM r),
+n AS (
+  SELECT array_to_string([x.key FOR x IN turns[:depth]], '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(coalesce(turns[depth].chars, 0)) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256
+  FROM p GROUP BY 1, 2),
+c AS (SELECT left(node, 32 * (depth - 1)) AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (node)),
+s AS (
+  SELECT left(node, 32 * j) AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM k) GROUP BY 1)
+SELECT k.conv_id, k.depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN s USING (node) LEFT JOIN k AS up ON k.depth > 0 AND up.node = left(k.node, 32 * (k.depth - 1))
+"""
