@@ -18,6 +18,7 @@ from pulsepanel.llm import (
     line_quality,
     masked_lm,
     prefix_trie,
+    quality,
     sanitise,
     toxicity,
 )
@@ -121,3 +122,15 @@ def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, forest).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
