@@ -1,13 +1,15 @@
 """Phrases whose words stand together more often than chance, counted by FM-indexes over word ids.
 
-Texts are cut into shards of some two million words, one language each. Three passes share the work; between
-them only counts go up and answers for a shard's own words and pairs come down, by shuffles:
+Texts are cut into shards of some two million words, one language each. Three passes share the work, each of them
+a shuffle of counts to buckets of keys and one of answers back to the shards:
 
-1. a shard numbers its words; counts are summed, and words below the least count become breaks
-2. each shard's index extends every word to its pairs; counts are summed, rare pairs become breaks
-3. each shard's index extends what is left to three, four and five words; counts are summed
+1. a shard numbers its words; buckets sum their counts, and words below the least count become breaks
+2. each shard's index extends every word to its pairs; buckets sum them, and rare pairs become breaks
+3. each shard's index extends what is left to three, four and five words; buckets sum them
 
-A phrase can't occur more often than the words and pairs in it, so a break loses nothing.
+A phrase can't occur more often than the words and pairs in it, so a break loses nothing. What a shard sends to a
+bucket is one row of packed arrays, and there are as many buckets as shards, so the largest row and the largest
+bucket are about as large as a shard, however many there are.
 
 The index of a shard is bidirectional: a BWT of the ids and one of the reversed ids, each with the mapping from a
 row to that of the suffix one symbol longer. A phrase is a pair of intervals of the same size; its extensions to
@@ -26,6 +28,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,21 +36,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from pulsepanel.llm.common import written
+from pulsepanel.llm.words import mixed, word_hashes
 
 #: Words of a shard; a piece (text between punctuation) is never cut.
 SHARD_WORDS = 1 << 21
 LONGEST = 5
-#: Rows of an output batch.
-BATCH_ROWS = 1 << 16
+_IDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 # separators of pieces become a full stop, which then stands in no word
 _BREAK = b"."
 _PLAIN = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"." * 9 + b" ")
 
-PARTS = "shard bigint, lang string, word binary, id int, uses bigint, tokens binary"
-PAIRS = "shard bigint, left_id bigint, right_id bigint, uses bigint, tokens binary"
-_IDS = [f"w{i}" for i in range(1, LONGEST + 1)]
-PHRASES = ", ".join(f"{c} bigint" for c in _IDS) + ", uses bigint"
+SHARDS = "shard bigint, lang string, n bigint, symbols binary, words binary, uses binary"
+WORDS = "shard bigint, answer binary, lang string, word binary, word_id bigint, uses bigint"
+COUNTS = "shard bigint, bucket int, counts binary, symbols binary"
+_KEYS = ", ".join(f"{c} bigint" for c in _IDS)
+FOUND = f"shard bigint, answer binary, {_KEYS}, uses bigint"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -157,67 +161,122 @@ def phrases_of(symbols: np.ndarray, longest: int) -> Iterator[Phrases]:
         yield phrases
 
 
+# --- packed arrays ----------------------------------------------------------------------------
+
+
+def pack(table: np.ndarray, ordered: bool = False) -> bytes:
+    """A table of whole numbers, column by column in byte planes; an ordered first column as differences."""
+    columns = np.array(table.T, "<i8", order="C")
+    if ordered:
+        columns[0] = np.diff(columns[0], prepend=0)
+    planes = columns.view(np.uint8).reshape(-1, 8).T
+    head = np.array([*columns.shape, ordered], "<i8")
+    return zstandard.compress(head.tobytes() + planes.tobytes(), 1)
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    raw = zstandard.decompress(blob)
+    rows, length, ordered = np.frombuffer(raw, "<i8", 3).tolist()
+    planes = np.frombuffer(raw, np.uint8, offset=24).reshape(8, -1)
+    columns = planes.T.copy().view("<i8").reshape(rows, length)
+    if ordered:
+        columns[0] = columns[0].cumsum()
+    return columns.T
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return zstandard.compress(b" ".join(words), 1)
+
+
+def _unpack_words(blob: bytes) -> list[bytes]:
+    return zstandard.decompress(blob).split()
+
+
+def _buckets(values: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with the places of its hashes."""
+    bucket = (values % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k in np.unique(bucket):
+        yield int(k), order[edges[k] : edges[k + 1]]
+
+
+def _summed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys, their sums, and where each part's rows are among them; the last column is the count."""
+    rows = np.concatenate(parts)
+    order = np.lexsort(rows[:, -2::-1].T)
+    ordered = rows[order]
+    new = np.append(True, (ordered[1:, :-1] != ordered[:-1, :-1]).any(axis=1))
+    place = np.empty(len(rows), np.int64)
+    place[order] = np.cumsum(new) - 1
+    sums = np.add.reduceat(ordered[:, -1], np.flatnonzero(new))
+    return ordered[new, :-1], sums, np.split(place, np.cumsum([len(p) for p in parts])[:-1])
+
+
 # --- passes over the shards ----------------------------------------------------------------
 
 
-def _batches(schema: pa.Schema, **columns) -> Iterator[pa.RecordBatch]:
-    """Columns given in part, the rest null, in batches; single values stand in every row."""
-    rows = max(len(c) for c in columns.values() if isinstance(c, (list, np.ndarray, pa.Array)))
-    for begin in range(0, rows, BATCH_ROWS):
-        size = min(BATCH_ROWS, rows - begin)
-        arrays = []
-        for field in schema:
-            values = columns.get(field.name)
-            if isinstance(values, pa.Array):
-                arrays.append(values.slice(begin, size).cast(field.type))
-            elif isinstance(values, (list, np.ndarray)):
-                arrays.append(pa.array(values[begin : begin + size], field.type))
-            else:
-                arrays.append(pa.array([values] * size, field.type))
-        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+def _batch(schema: pa.Schema, rows: int = 1, **columns) -> pa.RecordBatch:
+    """One batch of the given columns, the rest null; single values stand in every row."""
+    arrays = []
+    for field in schema:
+        values = columns.get(field.name)
+        if not isinstance(values, (list, np.ndarray)):
+            values = [values] * rows
+        arrays.append(pa.array(values, field.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows; a packed array becomes an object only when its row is read."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in batch.columns)
+
+
+def _mapped(df: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow with a function from the rows and the schema of a partition to its batches."""
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    return df.mapInArrow(lambda batches: function(_rows(batches), arrow), schema)
 
 
 def _shards(docs: DataFrame, lang_col: str, text_col: str, shard_words: int) -> DataFrame:
-    """For each shard one row of its numbered words in order, and a row for each different word."""
-    schema = to_arrow_schema(_parse_datatype_string(PARTS))
+    """A row for each shard: its words as numbers in order, its different words and their uses."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         open_shards: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
         sizes: dict[str, int] = {}
 
-        def closed(lang: str) -> Iterator[pa.RecordBatch]:
+        def closed(lang: str) -> pa.RecordBatch:
             nonlocal shard
             numbers, parts = open_shards.pop(lang)
             ids = np.concatenate(parts)
-            yield from _batches(schema, shard=shard, lang=lang, tokens=[ids.tobytes()])
             uses = np.bincount(ids, minlength=len(numbers))[1:]
-            if len(uses):
-                yield from _batches(
-                    schema, shard=shard, lang=lang, word=list(numbers)[1:], uses=uses,
-                    id=np.arange(1, len(numbers)),
-                )
             shard += 1
             del sizes[lang]
-
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = tokens(text.as_py())
-                if not words:
-                    continue
-                words.append(_BREAK)
-                for part in _cut(words, shard_words):
-                    numbers, parts = open_shards.setdefault(lang, (_Numbers(), []))
-                    parts.append(np.fromiter(map(numbers.__getitem__, part), np.int32, len(part)))
-                    sizes[lang] = sizes.get(lang, 0) + len(part)
-                    if sizes[lang] >= shard_words:
-                        yield from closed(lang)
+            return _batch(
+                schema, shard=shard - 1, lang=lang, n=int(uses.sum()), symbols=pack(ids[:, None]),
+                words=_pack_words(list(numbers)[1:]), uses=pack(uses[:, None]),
+            )
+
+        for lang, text in rows:
+            words = tokens(text)
+            if not words:
+                continue
+            words.append(_BREAK)
+            for part in _cut(words, shard_words):
+                numbers, parts = open_shards.setdefault(lang, (_Numbers(), []))
+                parts.append(np.fromiter(map(numbers.__getitem__, part), np.int32, len(part)))
+                sizes[lang] = sizes.get(lang, 0) + len(part)
+                if sizes[lang] >= shard_words:
+                    yield closed(lang)
         for lang in list(open_shards):
-            yield from closed(lang)
+            yield closed(lang)
 
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
-    return docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(run, PARTS)
+    return _mapped(docs.select(lang.alias("lang"), text.alias("text")), run, SHARDS)
 
 
 def _cut(words: list[bytes], size: int) -> Iterator[list[bytes]]:
@@ -231,30 +290,66 @@ def _cut(words: list[bytes], size: int) -> Iterator[list[bytes]]:
         yield words[begin:]
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns))
+def _words(shards: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Frequent words with their ids, and for each shard the ids of its own."""
 
+    def deal(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for shard, lang, words, uses in rows:
+            words, uses = _unpack_words(words), unpack(uses)[:, 0]
+            for bucket, at in _buckets(word_hashes(words), buckets) if words else ():
+                yield _batch(
+                    schema, bucket=bucket, shard=shard, lang=lang,
+                    words=_pack_words([words[i] for i in at]), counts=pack(np.stack([at + 1, uses[at]], axis=1), True),
+                )
 
-def _by_shard(ids: DataFrame, answers: DataFrame) -> DataFrame:
-    """The token row of each shard followed by the rows of what it may keep, in one task."""
-    rows = ids.select("shard", F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b"), "tokens")
-    both = rows.unionByName(answers.withColumn("tokens", F.lit(None).cast("binary")))
-    return both.repartition("shard").sortWithinPartitions("shard", F.col("a").asc_nulls_first(), "b")
+    def merge(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for bucket, group in groupby(rows, key=lambda row: row[0]):
+            found = 0
+            for lang, parts in groupby(group, key=lambda row: row[1]):
+                sums: dict[bytes, int] = {}
+                sent = []
+                for _, _, shard, words, counts in parts:
+                    words, counts = _unpack_words(words), unpack(counts)
+                    for word, uses in zip(words, counts[:, 1].tolist()):
+                        sums[word] = sums.get(word, 0) + uses
+                    sent.append((shard, words, counts[:, 0]))
+                # ids of all buckets interleave and stay small
+                ids = {}
+                for word in sorted(w for w, uses in sums.items() if uses >= least):
+                    found += 1
+                    ids[word] = found * buckets + bucket
+                if not ids:
+                    continue
+                yield _batch(
+                    schema, len(ids), lang=lang, word=list(ids), word_id=list(ids.values()),
+                    uses=[sums[w] for w in ids],
+                )
+                for shard, words, own in sent:
+                    known = np.array([ids.get(w, 0) for w in words], np.int64)
+                    answer = np.stack([own, known], axis=1)[known > 0]
+                    if len(answer):
+                        yield _batch(schema, shard=shard, answer=pack(answer))
+
+    parts = "bucket int, lang string, shard bigint, words binary, counts binary"
+    dealt = _mapped(shards.select("shard", "lang", "words", "uses"), deal, parts)
+    ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "lang", "shard")
+    return _mapped(ordered, merge, WORDS)
 
 
-def _each_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """shard, its symbols and a two-column array of its answers."""
-    for shard, rows in groupby(_rows(batches), key=lambda row: row[0]):
-        _, _, _, blob = next(rows)
-        answers = np.array([row[1:3] for row in rows], np.int64).reshape(-1, 2)
-        yield shard, np.frombuffer(blob, np.int32), answers
+def _with_answers(symbols: DataFrame, answers: DataFrame) -> DataFrame:
+    """The symbols of each shard followed by the answers to it, in one task."""
+    rows = symbols.select("shard", F.lit(0).alias("kind"), F.col("symbols").alias("packed"))
+    more = answers.select("shard", F.lit(1).alias("kind"), F.col("answer").alias("packed"))
+    return rows.unionByName(more).repartition("shard").sortWithinPartitions("shard", "kind")
 
 
-def _numbered(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols as 0 (break), 1, 2, ... and what each of them stands for."""
-    known, dense = np.unique(np.append(symbols, 0), return_inverse=True)
-    return dense[:-1].astype(np.int32), known
+def _each_shard(rows: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """shard, its symbols and all answers; shards without answers are left out."""
+    for shard, group in groupby(rows, key=lambda row: row[0]):
+        symbols = unpack(next(group)[2])
+        answers = [unpack(packed) for _, _, packed in group]
+        if answers:
+            yield shard, symbols, np.concatenate(answers)
 
 
 def _without_lone_words(symbols: np.ndarray) -> np.ndarray:
@@ -269,69 +364,94 @@ def _without_lone_words(symbols: np.ndarray) -> np.ndarray:
     return np.append(kept[keep], 0).astype(symbols.dtype)
 
 
-def _pairs(shards: DataFrame) -> DataFrame:
-    """Pairs of frequent words with their uses in each shard, and the shard's text of frequent words."""
-    schema = to_arrow_schema(_parse_datatype_string(PAIRS))
+def _runs(symbols: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """The symbols with breaks where neighbours are not joined; runs of less than three words go."""
+    n = len(symbols)
+    starts = np.flatnonzero(np.append(True, ~joined))
+    lengths = np.diff(np.append(starts, n))
+    long = lengths >= 3
+    starts, lengths = starts[long], lengths[long]
+    if not len(starts):
+        return np.zeros(1, symbols.dtype)
+    out = np.zeros(int((lengths + 1).sum()), symbols.dtype)
+    to = np.cumsum(lengths + 1) - (lengths + 1)
+    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(to, lengths) + within] = symbols[np.repeat(starts, lengths) + within]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, symbols, answers in _each_shard(batches):
-            if not len(answers):
-                continue
-            known = np.zeros(int(symbols.max()) + 1, np.int64)
+
+def _counts(schema: pa.Schema, shard: int, keys: np.ndarray, uses: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counts of one shard, one row for each bucket, keys in order."""
+    order = np.lexsort(keys[:, ::-1].T)
+    rows = np.column_stack([keys, uses])[order]
+    mix = np.zeros(len(rows), np.uint64)
+    for column in rows[:, :-1].T:
+        mix = mixed(mix + column.astype(np.uint64))
+    for bucket, at in _buckets(mix, buckets):
+        yield _batch(schema, shard=shard, bucket=bucket, counts=pack(rows[at], True))
+
+
+def _pairs(shards: DataFrame, buckets: int) -> DataFrame:
+    """Counts of pairs of frequent words, and the shard's text of frequent words."""
+
+    def run(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for shard, symbols, answers in _each_shard(rows):
+            known = np.zeros(int(symbols.max()) + 1, np.int32)
             known[answers[:, 0]] = np.arange(1, len(answers) + 1)
-            symbols = _without_lone_words(known[symbols].astype(np.int32))
+            text = _without_lone_words(known[symbols[:, 0]])
             word_id = np.append(0, answers[:, 1])
-            for phrases in phrases_of(symbols, 2):
-                ids = word_id[phrases.ids]
-                yield from _batches(
-                    schema, shard=shard, left_id=ids[:, 0], right_id=ids[:, 1], uses=phrases.uses
-                )
-                yield from _batches(schema, shard=shard, tokens=[word_id[symbols].tobytes()])
+            for phrases in phrases_of(text, 2):
+                yield from _counts(schema, shard, word_id[phrases.ids], phrases.uses, buckets)
+                yield _batch(schema, shard=shard, symbols=pack(word_id[text][:, None]))
 
-    return shards.mapInArrow(run, PAIRS)
+    return _mapped(shards, run, COUNTS)
 
 
-def _longer(shards: DataFrame, longest: int) -> DataFrame:
-    """Phrases of three words and more with their uses in each shard."""
-    schema = to_arrow_schema(_parse_datatype_string(PHRASES))
+def _longer(shards: DataFrame, longest: int, buckets: int) -> DataFrame:
+    """Counts of phrases of three words and more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blob, answers in _each_shard(batches):
-            text = blob.view(np.int64)
-            if not len(answers):
-                continue
-            symbols, word_id = _numbered(text)
+    def run(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for shard, symbols, answers in _each_shard(rows):
+            word_id, text = np.unique(symbols[:, 0], return_inverse=True)  # 0 is the break
+            text = text.astype(np.int32)
             width = len(word_id)
             left, right = (np.searchsorted(word_id, answers[:, i]) for i in (0, 1))
             frequent = np.sort(left * width + right)
-            pairs = symbols[:-1].astype(np.int64) * width + symbols[1:]
+            pairs = text[:-1].astype(np.int64) * width + text[1:]
             at = np.minimum(np.searchsorted(frequent, pairs), len(frequent) - 1)
-            joined = (frequent[at] == pairs) & (symbols[:-1] > 0) & (symbols[1:] > 0)
-            symbols = _runs(symbols, joined)
-            for phrases in phrases_of(symbols, longest):
+            text = _runs(text, (frequent[at] == pairs) & (text[:-1] > 0) & (text[1:] > 0))
+            for phrases in phrases_of(text, longest):
                 length = phrases.ids.shape[1]
                 if length > 2:
-                    ids = word_id[phrases.ids]
-                    columns = {c: ids[:, i] if i < length else 0 for i, c in enumerate(_IDS)}
-                    yield from _batches(schema, uses=phrases.uses, **columns)
+                    keys = np.zeros((len(phrases.uses), LONGEST), np.int64)
+                    keys[:, :length] = word_id[phrases.ids]
+                    yield from _counts(schema, shard, keys, phrases.uses, buckets)
 
-    return shards.mapInArrow(run, PHRASES)
+    return _mapped(shards, run, COUNTS)
 
 
-def _runs(symbols: np.ndarray, joined: np.ndarray) -> np.ndarray:
-    """The symbols with breaks where neighbours are not joined; runs of less than three words go."""
-    n = len(symbols)
-    starts = np.flatnonzero(np.append(True, ~joined))
-    lengths = np.diff(np.append(starts, n))
-    long = lengths >= 3
-    starts, lengths = starts[long], lengths[long]
-    if not len(starts):
-        return np.zeros(1, symbols.dtype)
-    out = np.zeros(int((lengths + 1).sum()), symbols.dtype)
-    to = np.cumsum(lengths + 1) - (lengths + 1)
-    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out[np.repeat(to, lengths) + within] = symbols[np.repeat(starts, lengths) + within]
-    return out
+def _frequent(counts: DataFrame, least: int, answer: bool) -> DataFrame:
+    """Keys with at least so many uses in all shards, and (if asked for) each shard's own among them."""
+
+    def merge(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for _, group in groupby(rows, key=lambda row: row[0]):
+            shards, parts = [], []
+            for _, shard, packed in group:
+                shards.append(shard)
+                parts.append(unpack(packed))
+            keys, sums, places = _summed(parts)
+            often = sums >= least
+            if not often.any():
+                continue
+            columns = {c: keys[often, i] if i < keys.shape[1] else 0 for i, c in enumerate(_IDS)}
+            yield _batch(schema, int(often.sum()), uses=sums[often], **columns)
+            for shard, part, place in zip(shards, parts, places) if answer else ():
+                own = part[often[place], :-1]
+                if len(own):
+                    yield _batch(schema, shard=shard, answer=pack(own, True))
+
+    rows = counts.select("bucket", "shard", "counts").repartition("bucket")
+    return _mapped(rows.sortWithinPartitions("bucket", "shard"), merge, FOUND)
 
 
 def count_phrases(
@@ -346,33 +466,19 @@ def count_phrases(
 
     Words and phrases with at least ``least`` uses in a language. Word ids differ between languages.
     """
-    parts = written(_shards(docs, lang_col, text_col, shard_words), "phrase_shards")
-    used = parts.where("word is not null")
-    counts = used.groupBy("lang", "word").agg(F.sum("uses").alias("uses"))
-    numbered = counts.where(F.col("uses") >= least).withColumn(
-        "word_id", F.monotonically_increasing_id() + 1
-    )
-    words = written(numbered, "phrase_words")
-    totals = used.groupBy("lang").agg(F.sum("uses").alias("n"))
-
-    known = used.join(words.select("lang", "word", "word_id"), ["lang", "word"]).select(
-        "shard", F.col("id").cast("bigint").alias("a"), F.col("word_id").alias("b")
-    )
-    pairs = written(_pairs(_by_shard(parts.where("tokens is not null"), known)), "phrase_pairs")
-    counted = pairs.where("tokens is null")
-    frequent = written(_frequent(counted, ["left_id", "right_id"], least), "phrase_frequent_pairs")
-    kept = counted.join(frequent, ["left_id", "right_id"], "left_semi").select(
-        "shard", F.col("left_id").alias("a"), F.col("right_id").alias("b")
-    )
-    found = _longer(_by_shard(pairs.where("tokens is not null"), kept), longest)
-    longer = _frequent(found, _IDS, least)
-    none = [F.lit(0).cast("bigint").alias(c) for c in _IDS[2:]]
-    two = frequent.select(F.col("left_id").alias("w1"), F.col("right_id").alias("w2"), *none, "uses")
-    return totals, words, written(two.unionByName(longer.select(*_IDS, "uses")), "phrases")
-
-
-def _frequent(counts: DataFrame, keys: list[str], least: int) -> DataFrame:
-    return counts.groupBy(*keys).agg(F.sum("uses").alias("uses")).where(F.col("uses") >= least)
+    shards = written(_shards(docs, lang_col, text_col, shard_words), "phrase_shards")
+    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
+    buckets = max(1, shards.count())
+
+    words = written(_words(shards, buckets, least), "phrase_words")
+    asked = _with_answers(shards, words.where("answer is not null"))
+    pairs = written(_pairs(asked, buckets), "phrase_pairs")
+    two = written(_frequent(pairs.where("counts is not null"), least, True), "phrase_frequent_pairs")
+    asked = _with_answers(pairs.where("symbols is not null"), two.where("answer is not null"))
+    more = _frequent(_longer(asked, longest, buckets), least, False)
+    found = two.where("answer is null").unionByName(more).select(*_IDS, "uses")
+    known = words.where("answer is null").select("word_id", "lang", "word", "uses")
+    return totals, known, written(found, "phrases")
 
 
 # --- scores --------------------------------------------------------------------------------

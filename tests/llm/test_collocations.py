@@ -77,6 +77,18 @@ def test_intervals_hold_the_phrase_in_both_indexes():
             assert all(text[i : i + 3].tolist() == ids[::flip] for i in order[start : start + n])
 
 
+def test_packed_tables_come_back():
+    r = np.random.default_rng(4)
+    for shape in ((1, 1), (5, 2), (300, 6)):
+        table = r.integers(-(1 << 60), 1 << 60, shape)
+        table = table[table[:, 0].argsort()]
+        before = table.copy()
+        for ordered in (False, True):
+            assert (collocations.unpack(collocations.pack(table, ordered)) == before).all()
+    one = np.arange(5)
+    assert collocations.unpack(collocations.pack(one[:, None], True))[:, 0].tolist() == one.tolist() == [0, 1, 2, 3, 4]
+
+
 @pytest.fixture(scope="module")
 def corpus():
     r = random.Random(5)
