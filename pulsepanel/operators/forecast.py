@@ -1,7 +1,8 @@
 """Test-count forecasting: trend x weekday x holiday, for every region in one job.
 
-Each series is decomposed in closed form with window aggregates over its region, so any number
-of regions is forecast with a single shuffle. A region contributes one row per calendar day.
+Each series is decomposed in closed form with window aggregates over its region, or (``growth``)
+fitted jointly, see ``operators.growth``. Either way any number of regions is forecast with a
+single shuffle. A region contributes one row per calendar day.
 """
 
 from __future__ import annotations
@@ -13,8 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsepanel.functions import series
-
-HOLIDAY_CLASSES = ("holiday", "national", "regional")
+from pulsepanel.operators.growth import HOLIDAY_CLASSES, Growth, fit_growth
 
 # A trend this close to zero says nothing about the ratio of a day to its trend.
 SMALLEST_TREND = 1e-9
@@ -26,9 +26,10 @@ class ForecastOptions:
 
     keep_data      keep reported counts and predict only the missing ones; otherwise smooth all
     ignore_before  no fitting or predicting before this day (nor before the first report)
-    cap            bound predictions by the largest report (the saturating-growth option)
-    segment_days   length of a trend segment; None fits one trend line per series
+    cap            bound predictions of the closed form by the largest report
+    segment_days   length of a trend segment of the closed form; None fits one trend line per series
     more_than      forecast only series with more than this many reports
+    growth         fit trend, weekday and holiday effects jointly, the trend saturating or with changing slope
     """
 
     keep_data: bool = True
@@ -36,6 +37,7 @@ class ForecastOptions:
     cap: bool = False
     segment_days: int | None = None
     more_than: int = 10
+    growth: Growth | None = None
 
 
 def fit_components(
@@ -59,6 +61,13 @@ def fit_components(
     df = df.withColumn("_x", F.datediff("date", "fit_from").cast("double")).withColumn(
         "_y", F.when((F.col("date") >= F.col("fit_from")) & (F.col("n_train") > options.more_than), y)
     )
+    if options.growth:
+        training = df.select(*panel.columns, "fit_from", "n_train", "_y")
+        fitted = fit_growth(training, "_y", options.growth, keys)
+        yhat = F.greatest(F.col("trend") * F.col("weekly") * F.col("holiday_effect"), F.lit(0.0))
+        return fitted.withColumn("yhat", F.when(F.col("trend").isNotNull(), yhat)).drop("_y").select(
+            *panel.columns, "fit_from", "n_train", "trend", "weekly", "holiday_effect", "yhat"
+        )
     df = df.withColumn(
         "trend", F.regr_intercept("_y", "_x").over(w) + F.regr_slope("_y", "_x").over(w) * F.col("_x")
     )

@@ -20,8 +20,12 @@ class Checked:
 REGISTRY: dict[str, Checked] = {}
 
 
+# Decimal places compared: results of iterated solves agree to fewer.
+PLACES = {"f": 6, "r": 4}
+
+
 def _columns(spec: str) -> list[tuple[str, str]]:
-    """'region date new_tests:f n:i' -> [(name, kind)]; f is rounded, i is a bigint."""
+    """'region date new_tests:f n:i' -> [(name, kind)]; f and r are rounded, i is a bigint."""
     out = []
     for item in spec.split():
         name, _, kind = item.partition(":")
@@ -33,8 +37,8 @@ def _spark_output(df: DataFrame, spec: str) -> DataFrame:
     picked = []
     for name, kind in _columns(spec):
         c = F.col(f"`{name}`")
-        if kind == "f":
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+        if kind in ("f", "r"):
+            c = F.round(c.cast("double"), PLACES[kind]) + F.lit(0.0)
         elif kind == "i":
             c = c.cast("bigint")
         picked.append(c.alias(name))
@@ -45,8 +49,8 @@ def _sql_output(body: str, spec: str) -> str:
     picked = []
     for name, kind in _columns(spec):
         c = f'"{name}"'
-        if kind == "f":
-            c = f"round(CAST({c} AS DOUBLE), 6) + 0.0"
+        if kind in ("f", "r"):
+            c = f"round(CAST({c} AS DOUBLE), {PLACES[kind]}) + 0.0"
         elif kind == "i":
             c = f"CAST({c} AS BIGINT)"
         picked.append(f'{c} AS "{name}"')
@@ -269,3 +273,111 @@ def sql_hdi(src: str, value: str, keys: str, p: float, out: str) -> str:
            row_number() OVER (PARTITION BY {ak} ORDER BY b.v - a.v, a.v) AS rn
     FROM {out}_r AS a JOIN {out}_r AS b
       ON {on} AND b.i = a.i + CAST(floor({p!r}::DOUBLE * a.n) AS BIGINT)) AS pairs WHERE rn = 1)"""
+
+
+def sql_solve(augmented: str, size: str) -> str:
+    """Gauss-Jordan elimination of a list of rows [A | B], A positive definite: the rows [1 | X]."""
+    return f"""list_reduce(
+      list_concat([{augmented}], list_transform(range(1, {size} + 1), lambda k: [[CAST(k AS DOUBLE)]])),
+      lambda m, e: list_transform(m, lambda row, i:
+        CASE WHEN i = CAST(e[1][1] AS BIGINT)
+          THEN list_transform(row, lambda v: v / row[CAST(e[1][1] AS BIGINT)])
+          ELSE list_transform(row, lambda v, j: v - row[CAST(e[1][1] AS BIGINT)]
+            / m[CAST(e[1][1] AS BIGINT)][CAST(e[1][1] AS BIGINT)] * m[CAST(e[1][1] AS BIGINT)][j]) END))"""
+
+
+def sql_growth(
+    src: str,
+    out: str,
+    options,
+    *,
+    iterations: int,
+    ignore_before: str | None = "2020-03-15",
+    more_than: int = 10,
+    holiday: bool = False,
+    column: str = "new_tests",
+) -> str:
+    """Joint fit by Gauss-Newton steps on lists, one row per region: a recursion over the steps."""
+    from pulsepanel.operators import growth as model
+
+    start = f"greatest(DATE '{ignore_before}', _first)" if ignore_before else "_first"
+    classes = model.HOLIDAY_CLASSES if options.effects else ()
+    days = model.WEEKDAYS - 1 if options.effects else 0
+    variance = options.noise**2
+    squares = [variance / model.TREND_SCALE**2] * 2
+    change, effect = variance / options.change_scale**2, variance / model.EFFECT_SCALE**2
+    held = "holiday" if holiday else "NULL"
+    n_knots = f"CAST(ceil(_span / {options.knot_days}.0) AS BIGINT)" if options.knot_days else "0"
+    contrasts = ", ".join(f"CAST(_dow = {d} AS INTEGER) - CAST(_dow = {days} AS INTEGER)" for d in range(days))
+    named = ", ".join(f"CAST(coalesce(_h = '{c}', FALSE) AS INTEGER)" for c in classes)
+    effects = ", ".join(x for x in (contrasts, named) if x)
+    zs = f"CAST([{effects}] AS DOUBLE[])"
+    hs = (
+        "list_concat([1.0, _t], list_transform(range(1, _k + 1), lambda j: "
+        f"greatest(_t - {options.knot_range!r} * j / _k, 0.0)))"
+    )
+    dot = "list_inner_product"
+    if options.kind == "linear":
+        trend, slope = (lambda e: e), (lambda g: "1.0")
+    else:
+        trend = lambda e: f"({options.cap_factor!r} / (1 + exp(-({e}))))"
+        slope = lambda g: f"({g} * (1 - {g} / {options.cap_factor!r}))"
+    factor = (lambda i, th: f"(1 + {dot}(zs[{i}], {th}[q + 1:]))") if effects else (lambda i, th: "1.0")
+
+    def objective(th: str) -> str:
+        g = trend(f"{dot}(hs[i], ({th})[:q])")
+        fit = f"list_sum(list_transform(range(1, len(ys) + 1), lambda i: pow(ys[i] - {g} * {factor('i', '(' + th + ')')}, 2)))"
+        return f"({fit} + list_sum(list_transform({th}, lambda v, a: weights[a] * v * v)))"
+
+    tried = ", ".join(
+        objective(f"list_transform(th, lambda v, a: v + {s!r} * move[a])") for s in model.STEPS
+    )
+    steps = ", ".join(map(repr, model.STEPS))
+    zcols = f"list_transform(range(1, len(th) - q + 1), lambda a: list_transform(zs, lambda z, i: z[a] * gs[i]))"
+    columns = "list_transform(range(1, q + 1), lambda a: list_transform(hs, lambda h, i: h[a] * slopes[i] * factors[i]))"
+    if effects:
+        columns = f"list_concat({columns}, {zcols})"
+    return f"""/*RECURSIVE*/{out}_n AS (
+  SELECT region, min(date) FILTER (WHERE {column} IS NOT NULL) AS _first, count({column}) AS n_train FROM {src} GROUP BY region),
+{out}_x AS (
+  SELECT s.*, {start} AS fit_from, n_train, CASE WHEN s.date >= {start} AND n_train > {more_than} THEN {column} END AS _y,
+         isodow(s.date) - 1 AS _dow, {held} AS _h
+  FROM {src} AS s JOIN {out}_n AS n ON s.region = n.region),
+{out}_b AS (
+  SELECT region, min(date) AS _f0, date_diff('day', min(date), max(date)) AS _span,
+         CASE WHEN max(abs(_y)) > 0 THEN max(abs(_y)) ELSE 1.0 END AS _scale
+  FROM {out}_x WHERE _y IS NOT NULL GROUP BY region),
+{out}_t AS (
+  SELECT x.*, _scale, date_diff('day', _f0, x.date) / greatest(_span, 1) AS _t, {n_knots} AS _k
+  FROM {out}_x AS x JOIN {out}_b AS b ON b.region = x.region),
+{out}_l AS (SELECT *, {hs} AS _hs, {zs} AS _zs FROM {out}_t),
+{out}_d AS (
+  SELECT region, any_value(_k) + 2 AS q, list(_y / _scale ORDER BY date) AS ys, list(_hs ORDER BY date) AS hs, list(_zs ORDER BY date) AS zs,
+         list_concat([{squares[0]!r}, {squares[1]!r}], list_transform(range(any_value(_k)), lambda j: {change!r}),
+           list_transform(range({days + len(classes)}), lambda j: {effect!r})) AS weights
+  FROM {out}_l WHERE _y IS NOT NULL GROUP BY region),
+{out}_s AS (
+  SELECT region, 0 AS it, list_transform(weights, lambda w: 0.0::DOUBLE) AS th FROM {out}_d
+  UNION ALL
+  SELECT region, it + 1, list_transform(th, lambda v, a: v + step * move[a]) FROM (
+    SELECT *, ([{steps}])[list_position(list_transform(objectives, lambda o: o <= list_min(objectives) * (1 + {model.FLAT!r})), TRUE)] AS step FROM (
+      SELECT *, [{tried}] AS objectives FROM (
+        SELECT *, list_transform({sql_solve('m', 'len(th)')}, lambda row: row[len(row)]) AS move FROM (
+          SELECT *, list_transform(js, lambda a, i: list_append(
+              list_transform(js, lambda b, j: {dot}(a, b) + CASE WHEN i = j THEN weights[i] ELSE 0.0 END),
+              {dot}(a, rs) - weights[i] * th[i])) AS m FROM (
+            SELECT *, {columns} AS js, list_transform(ys, lambda y, i: y - gs[i] * factors[i]) AS rs FROM (
+              SELECT *, list_transform(gs, lambda g: CAST({slope('g')} AS DOUBLE)) AS slopes FROM (
+                SELECT s.region, it, th, q, ys, hs, zs, weights,
+                       list_transform(hs, lambda h: {trend(f'{dot}(h, th[:q])')}) AS gs,
+                       list_transform(range(1, len(ys) + 1), lambda i: CAST({factor('i', 'th')} AS DOUBLE)) AS factors
+                FROM {out}_s AS s JOIN {out}_d AS d ON d.region = s.region WHERE it < {iterations})))))))),
+{out}_c AS (
+  SELECT l.*, {trend(f"{dot}(_hs, th[:_k + 2])")} * _scale AS trend,
+         {f"1 + {dot}(_zs[:{days}], th[_k + 3:_k + {2 + days}])" if effects else "1.0"} AS weekly,
+         {f"1 + {dot}(_zs, th[_k + 3:])" if effects else "1.0"} AS _both
+  FROM {out}_l AS l JOIN {out}_s AS s ON s.region = l.region AND it = {iterations}),
+{out} AS (
+  SELECT x.*, c.trend, c.weekly, CASE WHEN c.trend IS NOT NULL THEN CASE WHEN c._h IS NULL OR c.weekly = 0 THEN 1.0 ELSE _both / c.weekly END END AS holiday_effect,
+         greatest(c.trend * CASE WHEN c._h IS NULL OR c.weekly = 0 THEN c.weekly ELSE _both END, 0.0 * c.trend) AS yhat
+  FROM {out}_x AS x LEFT JOIN {out}_c AS c ON c.region = x.region AND c.date = x.date)"""

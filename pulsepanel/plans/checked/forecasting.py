@@ -12,6 +12,7 @@ from pulsepanel.operators.forecast import (
     forecast_components,
     predict_testcounts,
 )
+from pulsepanel.operators.growth import Growth
 from pulsepanel.plans.checked import derived as d
 from pulsepanel.plans.checked.base import (
     MASKED,
@@ -22,6 +23,7 @@ from pulsepanel.plans.checked.base import (
     query,
     sql_dense,
     sql_fit,
+    sql_growth,
     sql_predict,
     with_sql,
 )
@@ -30,6 +32,9 @@ from pulsepanel.plans.checked.correcting import HOLIDAYS, holidays
 EARLY = "2024-01-04"
 OPTIONS = ForecastOptions(ignore_before=EARLY)
 FIT = "region date fit_from n_train:i trend:f weekly:f yhat:f"
+JOINT = "region date fit_from n_train:i trend:r weekly:r holiday_effect:r yhat:r"
+SATURATING = Growth("logistic", knot_days=None, effects=False)
+CHANGING = Growth(effects=False)
 
 
 def sparse_orders(spark, sf, trail: int = 14):
@@ -128,6 +133,31 @@ def f05(spark, sf):
     )
 
 
+@query(
+    "f04_saturating_growth",
+    JOINT,
+    with_sql(
+        PE, MASKED, sql_growth("masked", "fit", SATURATING, iterations=25, ignore_before=EARLY), "SELECT * FROM fit"
+    ),
+)
+def f04_saturating(spark, sf):
+    return fit_components(d.masked_events(spark, sf), ForecastOptions(ignore_before=EARLY, growth=SATURATING))
+
+
+@query(
+    "f05_changepoint_trend",
+    JOINT,
+    with_sql(
+        PO, SPARSE_ORDERS, sql_growth("dense", "fit", CHANGING, iterations=1, ignore_before="1996-03-15"), "SELECT * FROM fit"
+    ),
+)
+def f05_changes(spark, sf):
+    """A continuous trend over some 2,400 days with a possible change of slope a month."""
+    return fit_components(
+        sparse_orders(spark, sf), ForecastOptions(ignore_before="1996-03-15", growth=CHANGING)
+    )
+
+
 @query(
     "f06_weekday_profile",
     "region weekday:i weekly:f",
@@ -157,6 +187,32 @@ def f07(spark, sf):
     return fit_components(panel, ForecastOptions(ignore_before="2023-12-15"))
 
 
+@query(
+    "f06_joint_weekdays",
+    JOINT,
+    with_sql(
+        PE, MASKED, sql_growth("masked", "fit", Growth(), iterations=40, ignore_before=EARLY), "SELECT * FROM fit"
+    ),
+)
+def f06_joint(spark, sf):
+    return fit_components(d.masked_events(spark, sf), ForecastOptions(ignore_before=EARLY, growth=Growth()))
+
+
+@query(
+    "f07_joint_holidays",
+    JOINT + " holiday",
+    with_sql(
+        PE, HOLIDAYS, WITH_HOLIDAYS,
+        sql_growth("held", "fit", Growth("logistic"), iterations=40, ignore_before="2023-12-15", holiday=True),
+        "SELECT * FROM fit",
+    ),
+)
+def f07_joint(spark, sf):
+    """All parts of the forecast model: saturating trend with changes, weekdays and holidays."""
+    panel = with_holidays(d.panel_events(spark, sf), holiday_calendar(holidays(spark), "XX", "all"))
+    return fit_components(panel, ForecastOptions(ignore_before="2023-12-15", growth=Growth("logistic")))
+
+
 @query(
     "f08_no_negative_prediction",
     "region date yhat:f",
