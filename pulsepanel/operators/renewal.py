@@ -152,6 +152,17 @@ def log_likelihood(
     )
 
 
+def infection_pressure(
+    axis: DataFrame, kernel: Sequence[float], keys: Sequence[str] = ("region",)
+) -> DataFrame:
+    """Axis plus ``_adjusted``, cases over the exposure profile, and ``_pressure``, what they infect on a day at R = 1."""
+    cases = F.col("new_cases").cast("double")
+    df = axis.withColumn("_adjusted", F.try_divide(cases, F.col("exposure_profile")))
+    # history for the infection pressure needs every day; unobserved ones are interpolated
+    history = interpolate(df.withColumn("_history", F.col("_adjusted")), "_history", keys)
+    return convolve(history, "_history", kernel, "_pressure", keys).drop("_history")
+
+
 def gamma_posterior(
     axis: DataFrame,
     kernel: Sequence[float],
@@ -166,11 +177,7 @@ def gamma_posterior(
 
     All windows are on the series key, so the axis is shuffled once at most.
     """
-    cases = F.col("new_cases").cast("double")
-    df = axis.withColumn("_adjusted", F.try_divide(cases, F.col("exposure_profile")))
-    # history for the infection pressure needs every day; unobserved ones are interpolated
-    history = interpolate(df.withColumn("_history", F.col("_adjusted")), "_history", keys)
-    history = convolve(history, "_history", kernel, "_pressure", keys)
+    history = infection_pressure(axis, kernel, keys)
     trailing = series.forward(keys).rowsBetween(-(window_days - 1), 0)
     usable = F.col("_adjusted").isNotNull() & (F.col("_pressure") > 0)
     summed = history.withColumns(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsepanel.operators import renewal
+from pulsepanel.operators import renewal, smoother
 from pulsepanel.operators.calendar import model_axis
 from pulsepanel.operators.kernels import generation_time, still_active
 from pulsepanel.operators.summary import (
@@ -27,6 +27,7 @@ from pulsepanel.plans.checked.base import (
     sql_hdi,
     sql_interpolate,
     sql_kernel,
+    sql_solve,
     with_sql,
 )
 
@@ -202,6 +203,108 @@ def m07_users(spark, sf):
     return renewal.estimate_r_t(axis, G)
 
 
+def sql_smoother(src: str, out: str, lead: int = 10) -> str:
+    """Mode and covariance of log R by dense solves on the model axis of ``src``: a recursion over scoring steps."""
+    step, first, a = 1 / renewal.STEP_SCALE**2, 1 / smoother.FIRST_SCALE**2, renewal.ALPHA
+    prior = (
+        f"CASE WHEN i = j THEN CASE WHEN i = 1 THEN {first!r} ELSE {step!r} END + CASE WHEN i < len(ys) THEN {step!r} ELSE 0.0 END "
+        f"WHEN abs(i - j) = 1 THEN {-step!r} ELSE 0.0 END"
+    )
+    matrix = (
+        f"list_transform(range(1, len(ys) + 1), lambda i: list_transform(range(1, len(ys) + 1), lambda j: "
+        f"{prior} + CASE WHEN i = j AND ys[i] IS NOT NULL THEN {a} * mus[i] / (mus[i] + {a}) ELSE 0.0 END))"
+    )
+    identity = "list_transform(range(1, len(ys) + 1), lambda j: CASE WHEN i = j THEN 1.0 ELSE 0.0 END)"
+    slope = (
+        f"CASE WHEN ys[i] IS NOT NULL THEN {a} * (ys[i] - mus[i]) / (mus[i] + {a}) ELSE 0.0 END "
+        f"- list_inner_product(list_transform(range(1, len(ys) + 1), lambda j: {prior}), x)"
+    )
+    steps = 40
+    return f"""/*RECURSIVE*/{out}_f AS (SELECT region, coalesce(min(date) FILTER (WHERE new_cases > 0), min(date)) AS f FROM {src} GROUP BY region),
+{out}_k AS (SELECT s.region, s.date, s.new_cases, s.new_tests FROM {src} AS s JOIN {out}_f AS f ON f.region = s.region WHERE s.date >= f),
+{sql_dense(f"{out}_k", f"{out}_d", "new_cases new_tests", lead=lead)},
+{out}_e AS (SELECT *, CASE WHEN new_tests IS NOT NULL THEN greatest(new_tests, 0.1 * max(new_tests) OVER (PARTITION BY region)) END AS exposure FROM {out}_d),
+{out}_a AS (SELECT region, date, new_cases, exposure / max(exposure) OVER (PARTITION BY region) AS profile FROM {out}_e),
+{out}_h AS (SELECT *, new_cases / profile AS hist FROM {out}_a),
+{sql_interpolate(f"{out}_h", f"{out}_i", "hist")},
+{sql_kernel(f"{out}_g", G)},
+{sql_convolve(f"{out}_i", f"{out}_l", f"{out}_g", "hist", "force")},
+{out}_o AS (
+  SELECT region, list(date ORDER BY date) AS dates,
+         list(CASE WHEN profile * force > 0 THEN new_cases END ORDER BY date) AS ys, list(coalesce(profile * force, 1.0) ORDER BY date) AS levels
+  FROM {out}_l GROUP BY region),
+{out}_x AS (
+  SELECT region, 0 AS it, list_transform(ys, lambda y: 0.0::DOUBLE) AS x FROM {out}_o
+  UNION ALL
+  SELECT region, it + 1, list_transform(x, lambda v, i: v + greatest(-{smoother.LONGEST_MOVE}, least({smoother.LONGEST_MOVE}, move[i]))) FROM (
+    SELECT region, it, x, list_transform({sql_solve('m', 'len(x)')}, lambda row: row[len(row)]) AS move FROM (
+      SELECT region, it, x, list_transform({matrix}, lambda row, i: list_append(row, {slope})) AS m FROM (
+        SELECT s.region, it, x, ys, list_transform(x, lambda v, i: levels[i] * exp(v)) AS mus
+        FROM {out}_x AS s JOIN {out}_o AS o ON o.region = s.region WHERE it < {steps})))),
+{out}_v AS (
+  SELECT region, dates, x, list_transform({sql_solve('m', 'len(x)')}, lambda row: row[len(x) + 1:]) AS cov FROM (
+    SELECT region, dates, x, list_transform({matrix}, lambda row, i: list_concat(row, {identity})) AS m FROM (
+      SELECT s.region, dates, x, ys, list_transform(x, lambda v, i: levels[i] * exp(v)) AS mus
+      FROM {out}_x AS s JOIN {out}_o AS o ON o.region = s.region WHERE it = {steps}))),
+{out} AS (
+  SELECT region, i, dates[i] AS date, x[i] AS log_r, sqrt(cov[i][i]) AS log_r_sd,
+         CASE WHEN i < len(x) THEN cov[i][i + 1] / cov[i + 1][i + 1] ELSE 0.0 END AS gain,
+         sqrt(cov[i][i] - CASE WHEN i < len(x) THEN cov[i][i + 1] * cov[i][i + 1] / cov[i + 1][i + 1] ELSE 0.0 END) AS draw_sd,
+         exp(x[i]) AS r_t_median, exp(x[i] - 1.6448536269514722 * sqrt(cov[i][i])) AS r_t_lower,
+         exp(x[i] + 1.6448536269514722 * sqrt(cov[i][i])) AS r_t_upper
+  FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM {out}_v))"""
+
+
+SMOOTHED = "region date log_r:f log_r_sd:f gain:f draw_sd:f r_t_median:f r_t_lower:f r_t_upper:f"
+
+
+def smoothed(spark, sf):
+    axis = model_axis(d.masked_events(spark, sf).withColumnRenamed("new_tests", "daily_tests"))
+    return smoother.smoothed_r_t(axis, G)
+
+
+@query(
+    "m07_smoothed_r_t",
+    SMOOTHED,
+    with_sql(PE, MASKED, sql_smoother("masked", "sm"), "SELECT * FROM sm"),
+)
+def m07_smoothed(spark, sf):
+    """R(t) under the random walk, from the first day of the axis on."""
+    return smoothed(spark, sf)
+
+
+def sql_joint_draws(src: str, out: str, chains: int, draws: int) -> str:
+    """Paths from the last day back, with noise from MD5."""
+
+    def uniform(begin: int) -> str:
+        return f"(CAST('0x' || substr(h, {begin}, 13) AS BIGINT) + 0.5) / {float(1 << 52)!r}"
+
+    return f"""/*RECURSIVE*/{out}_k AS (SELECT CAST(k // {draws} AS INTEGER) AS chain, CAST(k % {draws} AS INTEGER) AS draw FROM range({chains * draws}) AS t(k)),
+{out}_e AS (
+  SELECT region, chain, draw, i, date, log_r, gain, draw_sd * sqrt(-2 * ln({uniform(1)})) * cos(2 * pi() * {uniform(14)}) AS e FROM (
+    SELECT *, md5('0|' || region || '|' || chain || '|' || draw || '|' || CAST(date AS VARCHAR)) AS h FROM {src}, {out}_k)),
+{out}_p AS (
+  SELECT region, chain, draw, i, e AS dev FROM {out}_e AS e WHERE i = (SELECT max(i) FROM {src} AS s WHERE s.region = e.region)
+  UNION ALL
+  SELECT p.region, p.chain, p.draw, e.i, e.gain * dev + e.e FROM {out}_p AS p
+  JOIN {out}_e AS e ON e.region = p.region AND e.chain = p.chain AND e.draw = p.draw AND e.i = p.i - 1),
+{out} AS (
+  SELECT e.region, e.chain, e.draw, e.date, exp(log_r + dev) AS r_t FROM {out}_p AS p
+  JOIN {out}_e AS e ON e.region = p.region AND e.chain = p.chain AND e.draw = p.draw AND e.i = p.i)"""
+
+
+JOINT = (MASKED, sql_smoother("masked", "sm"), sql_joint_draws("sm", "jd", 2, 10))
+
+
+def joint(spark, sf):
+    return smoother.joint_draws(smoothed(spark, sf), chains=2, draws=10)
+
+
+@query("m08_joint_draws", "region chain draw date r_t:f", with_sql(PE, *JOINT, "SELECT * FROM jd"))
+def m08_joint(spark, sf):
+    return joint(spark, sf)
+
+
 def sql_draws(src: str, out: str, chains: int, draws: int) -> str:
     scores = ", ".join(f"({k}, {z!r})" for k, z in enumerate(renewal.normal_scores(chains * draws)))
     return (
