@@ -6,6 +6,7 @@ over a path are bounded by the calendar and paths spread over the cluster.
 
 from __future__ import annotations
 
+import math
 import statistics
 from collections.abc import Iterator, Sequence
 
@@ -21,11 +22,12 @@ from pulsepanel.operators.kernels import convolve, still_active
 
 PATH = ("region", "chain", "draw")
 
-# How quickly R may react, the exposure floor and ceiling, the prior mean of alpha.
+# How quickly R may react, the exposure floor and ceiling, the prior of alpha.
 STEP_SCALE = 0.035
 EXPOSURE_FLOOR = 0.1
 EXPOSURE_CEILING = 1e9
 ALPHA = 6.0
+ALPHA_SD = 1.0
 
 
 def r_t_path(steps: DataFrame, column: str = "step", keys: Sequence[str] = PATH) -> DataFrame:
@@ -132,7 +134,7 @@ def log_likelihood(
 ) -> DataFrame:
     """Negative-binomial log-likelihood of the observed cases for every path.
 
-    Only days with case and test counts enter, and only where the expectation is positive.
+    ``alpha`` is a number or a column (see ``with_drawn_alpha``). Only days with case and test counts enter, and only where the expectation is positive.
     """
     a = F.col(alpha) if isinstance(alpha, str) else F.lit(float(alpha))
     cases = observed.where("new_cases is not null").select("region", "date", F.col("new_cases").alias("_y"))
@@ -152,6 +154,44 @@ def log_likelihood(
     )
 
 
+def keyed_normal(*parts: Column) -> Column:
+    """A normal number that depends on the parts alone: the same on any machine, in any order, at any retry."""
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+
+    def uniform(begin: int) -> Column:
+        return (F.conv(F.substring(digest, begin, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+    return F.sqrt(-2 * F.ln(uniform(1))) * F.cos(F.lit(2 * math.pi) * uniform(14))
+
+
+def with_drawn_alpha(paths: DataFrame, seed: int = 0, keys: Sequence[str] = PATH) -> DataFrame:
+    """Paths with ``alpha`` drawn from its gamma prior, one for each path, keyed by (seed, "alpha", path)."""
+    z = keyed_normal(F.lit(seed), F.lit("alpha"), *[F.col(c) for c in keys])
+    shape, rate = (ALPHA / ALPHA_SD) ** 2, ALPHA / ALPHA_SD**2
+    return paths.withColumn("alpha", gamma_quantile(F.lit(shape), F.lit(rate), z))
+
+
+def importance_weights(likelihood: DataFrame, group: Sequence[str] = ("region",)) -> DataFrame:
+    """``likelihood`` (see ``log_likelihood``) plus ``weight`` of each path within its group, their sum 1.
+
+    Scaled by the largest likelihood, so that no weight is lost to underflow before the others are known.
+    Both sums are grouped in tasks first; a group of any number of paths is never in one task.
+    """
+    keys = list(group)
+    top = likelihood.groupBy(*keys).agg(F.max("log_likelihood").alias("_top"))
+    scaled = likelihood.join(top, keys).withColumn("_w", F.exp(F.col("log_likelihood") - F.col("_top"))).drop("_top")
+    total = scaled.groupBy(*keys).agg(F.sum("_w").alias("_total"))
+    return scaled.join(total, keys).withColumn("weight", F.col("_w") / F.col("_total")).drop("_w", "_total")
+
+
+def effective_sample_size(weights: DataFrame, group: Sequence[str] = ("region",)) -> DataFrame:
+    """Number of equally weighted paths that would say as much: (group, n_paths, effective_paths)."""
+    squares = F.sum(F.col("weight") * F.col("weight"))
+    return weights.groupBy(*group).agg(
+        F.count("*").alias("n_paths"), F.try_divide(F.pow(F.sum("weight"), 2.0), squares).alias("effective_paths")
+    )
+
+
 def infection_pressure(
     axis: DataFrame, kernel: Sequence[float], keys: Sequence[str] = ("region",)
 ) -> DataFrame:

@@ -18,10 +18,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.operators.renewal import ALPHA, STEP_SCALE, infection_pressure, with_exposure
+from pulsepanel.operators.renewal import ALPHA, STEP_SCALE, infection_pressure, keyed_normal, with_exposure
 
 FIRST_SCALE = 1.0
 ITERATIONS = 60
@@ -183,16 +183,6 @@ def smoothed_r_t(
     )
 
 
-def keyed_normal(*parts: Column) -> Column:
-    """A normal number that depends on the parts alone: the same on any machine, in any order, at any retry."""
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
-
-    def uniform(begin: int) -> Column:
-        return (F.conv(F.substring(digest, begin, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-
-    return F.sqrt(-2 * F.ln(uniform(1))) * F.cos(F.lit(2 * np.pi) * uniform(14))
-
-
 def _paths():
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:

@@ -4,58 +4,77 @@ Two exact ways compute order statistics:
 
 * ``per_group`` given: the caller states how many samples a group has at most (chains x draws
   of a sampler). The samples of a group are sorted as one array; one shuffle.
-* otherwise groups may have any size, also a third of the table. Samples are counted per value,
-  cut into value cells, and global ranks come from cell offsets, so no task ever holds a group.
+* otherwise groups may have any size, also a third of the table. Samples are counted per value;
+  the values of a large group are cut into cells of about the same number of values, at edges from
+  a mergeable quantile sketch, and ranks come from cell offsets, so no task ever holds a group.
+
+Samples may carry weights (see ``renewal.importance_weights``); ranks are then sums of weights.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ARRAY_GROUP = 100_000
-CELL_WIDTH = 1e-3  # relative width of a value cell
+#: Distinct values up to which a group is one cell, and cells of a larger group.
+CELL_VALUES, CELLS = 65_536, 256
 BLOCK_ROWS = 4096
 MAX_BLOCKS = 65536
+#: Share of a group's weight that counts as none, as sums of weights are not exact.
+NO_WEIGHT = 1e-9
 
 REGION_DATE = ("region", "date")
 
 
-def _cell(value: Column) -> Column:
-    """Order-preserving cell of a value: logarithmic in its size, mirrored for negatives."""
-    tiny = 1e-12
-    size = F.floor((F.ln(F.abs(value) + tiny) - math.log(tiny)) / CELL_WIDTH)
-    # never NULL: a nullable join key would give the two uses of the counts different filters
-    return F.coalesce((F.signum(value) * size).cast("bigint"), F.lit(0).cast("bigint"))
+def _with_cells(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct values with their cell: 0 in small groups, else the number of sketched edges below.
+
+    The sketches of all tasks are merged per group; only large groups send their edges back.
+    """
+    shares = [i / CELLS for i in range(1, CELLS)]
+    edges = (
+        counts.groupBy(*keys)
+        .agg(F.count("*").alias("_values"), F.percentile_approx("value", shares, 16 * CELLS).alias("_edges"))
+        .where(F.col("_values") > CELL_VALUES)
+        .select(*keys, F.array_distinct("_edges").alias("_edges"))
+    )
+    below = F.size(F.filter("_edges", lambda edge: edge < F.col("value")))
+    cell = F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(below)
+    return counts.join(edges, list(keys), "left").withColumn("_cell", cell).drop("_edges")
 
 
-def value_ranks(samples: DataFrame, value: str, keys: Sequence[str] = REGION_DATE) -> DataFrame:
-    """Every distinct value of a group with its 0-based rank range [start, end) and group size n.
+def value_ranks(
+    samples: DataFrame, value: str, keys: Sequence[str] = REGION_DATE, weight: str | None = None
+) -> DataFrame:
+    """Every distinct value of a group with its 0-based rank range [start, end), group size n and number of values.
 
-    Equal values are merged before the shuffle. Ranks inside a cell come from a window over
-    (keys, cell); the offset of a cell comes from the sizes of the cells below it.
+    With ``weight`` they are sums of weights. Equal values are merged before the shuffle. Ranks inside a
+    cell come from a window over (keys, cell); the offset of a cell comes from the sizes of the cells below it.
     """
+    size = F.count("*") if weight is None else F.sum(F.col(weight).cast("double"))
     counts = (
         samples.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_cell", _cell(F.col("value")))
+        .agg(size.alias("_n"))
     )
+    celled = _with_cells(counts, keys)
     inside = Window.partitionBy(*keys, "_cell").orderBy("value")
-    running = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("_upto", running)
-    sizes = counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_cell_n"))
+    # not the running sum less the own weight: a small start would drown in a large weight
+    earlier = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = celled.withColumn("_earlier", earlier)
+    sizes = celled.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_cell_n"), F.count("*").alias("_values"))
     cells = Window.partitionBy(*keys).orderBy("_cell")
-    below = F.sum("_cell_n").over(cells.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_cell_n")
-    offsets = sizes.withColumns(
-        {"_below": below, "n": F.sum("_cell_n").over(Window.partitionBy(*keys))}
-    ).drop("_cell_n")
-    end = F.col("_below") + F.col("_upto")
+    below = F.coalesce(F.sum("_cell_n").over(cells.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = Window.partitionBy(*keys)
+    offsets = sizes.select(
+        *keys, "_cell", below.alias("_below"), F.sum("_cell_n").over(whole).alias("n"), F.sum("_values").over(whole).alias("n_values")
+    )
+    start = F.col("_below") + F.col("_earlier")
     return ranked.join(offsets, [*keys, "_cell"]).select(
-        *keys, "value", (end - F.col("_n")).alias("start"), end.alias("end"), "n"
+        *keys, "value", start.alias("start"), (start + F.col("_n")).alias("end"), "n", "n_values"
     )
 
 
@@ -94,34 +113,64 @@ def ranked_hdi(ranks: DataFrame, prob: float, keys: Sequence[str] = REGION_DATE)
     """
     reach = F.floor(F.col("n") * F.lit(float(prob)))
     block_rows = F.greatest(F.lit(BLOCK_ROWS), F.ceil(F.col("n") / MAX_BLOCKS)).cast("bigint")
-    sized = ranks.withColumns({"_rows": block_rows, "_target": F.col("start") + reach})
-    first = F.floor(F.col("start") / F.col("_rows"))
-    last = F.floor((F.col("end") - 1) / F.col("_rows"))
-    spans = sized.select(
-        *keys, "start", "value", "_rows", F.explode(F.sequence(first, last)).alias("_block")
-    ).select(
-        *keys,
-        "_block",
-        F.greatest("start", F.col("_block") * F.col("_rows")).alias("_rank"),
-        F.lit(0).alias("_kind"),
-        F.col("value").alias("_seen"),
-        F.lit(None).cast("double").alias("lower"),
+    sized = ranks.withColumns({"_rows": block_rows, "_target": F.col("start") + reach, "_last": F.col("end") - 1})
+    return _narrowest(sized, keys)
+
+
+def _narrowest(sized: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The narrowest (value, value at ``_target``): (keys, lower, upper), from values that hold [start, _last].
+
+    A value stands in each block of ``_rows`` that it reaches into, a lookup in the block of its target.
+    """
+    block = F.sequence(*[F.floor(F.col(c) / F.col("_rows")).cast("bigint") for c in ("start", "_last")])
+    none = F.lit(None).cast("double")
+    spans = F.transform(
+        block,
+        lambda b: F.struct(
+            b.alias("_block"),
+            F.greatest(F.col("start").cast("double"), (b * F.col("_rows")).cast("double")).alias("_rank"),
+            F.lit(0).alias("_kind"),
+            F.col("value").alias("_seen"),
+            none.alias("lower"),
+        ),
     )
-    probes = sized.where(F.col("_target") < F.col("n")).select(
-        *keys,
-        F.floor(F.col("_target") / F.col("_rows")).alias("_block"),
-        F.col("_target").alias("_rank"),
+    probe = F.struct(
+        F.floor(F.col("_target") / F.col("_rows")).cast("bigint").alias("_block"),
+        F.col("_target").cast("double").alias("_rank"),
         F.lit(1).alias("_kind"),
-        F.lit(None).cast("double").alias("_seen"),
+        none.alias("_seen"),
         F.col("value").alias("lower"),
     )
-    w = Window.partitionBy(*keys, "_block").orderBy("_rank", "_kind")
+    events = F.when(F.col("_target") < F.col("n"), F.concat(spans, F.array(probe))).otherwise(spans)
+    each = sized.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
+    w = Window.partitionBy(*keys, "_block").orderBy("_rank", "_kind", "_seen")
     upper = F.last("_seen", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    pairs = spans.unionByName(probes).withColumn("upper", upper).where("_kind = 1")
+    pairs = each.withColumn("upper", upper).where("_kind = 1")
     best = F.min(F.struct((F.col("upper") - F.col("lower")).alias("width"), "lower", "upper"))
     return pairs.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.lower", "_b.upper")
 
 
+def weighted_quantiles(
+    ranks: DataFrame, quantiles: Sequence[float], keys: Sequence[str] = REGION_DATE
+) -> DataFrame:
+    """The least value up to which there is so much of the weight, for each quantile, as ``quantiles``."""
+    found = [F.min(F.when(F.col("end") > F.col("n") * (q - NO_WEIGHT), F.col("value"))) for q in quantiles]
+    return ranks.groupBy(*keys).agg(F.array(*found).alias("quantiles"))
+
+
+def weighted_hdi(ranks: DataFrame, prob: float, keys: Sequence[str] = REGION_DATE) -> DataFrame:
+    """Narrowest interval that holds a share ``prob`` of the weight, both ends included: (keys, lower, upper).
+
+    The same lookup as in ``ranked_hdi``, in blocks of equal weight.
+    """
+    share = F.col("n") * (prob - NO_WEIGHT)
+    blocks = F.least(F.ceil(F.col("n_values") / BLOCK_ROWS), F.lit(MAX_BLOCKS))
+    sized = ranks.where("end > start").withColumns(
+        {"_rows": F.col("n") / blocks, "_target": F.col("start") + share, "_last": F.col("end")}
+    )
+    return _narrowest(sized, keys)
+
+
 def _sorted_groups(samples: DataFrame, value: str, keys: Sequence[str], per_group: int) -> DataFrame:
     if per_group > MAX_ARRAY_GROUP:
         raise ValueError(f"per_group may be at most {MAX_ARRAY_GROUP}; leave it out beyond that.")
@@ -166,14 +215,15 @@ def summarize_median_and_hdi(
     *,
     keys: Sequence[str] = REGION_DATE,
     per_group: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Median and highest-density interval(s) per group.
 
     Columns ``prefix``, ``prefix_lower``, ``prefix_upper``; with several probabilities one
-    ``prefix_lower_<p>``/``prefix_upper_<p>`` pair each.
+    ``prefix_lower_<p>``/``prefix_upper_<p>`` pair each. With ``weight`` both are of the weighted samples.
     """
     intervals = _interval_names(prefix, hdi_prob)
-    if per_group is not None:
+    if per_group is not None and weight is None:
         grouped = _sorted_groups(samples, value, keys, per_group).withColumns(
             {f"_h{i}": _array_hdi(p) for i, (p, _, _) in enumerate(intervals)}
         )
@@ -181,10 +231,11 @@ def summarize_median_and_hdi(
         for i, (_, lower, upper) in enumerate(intervals):
             bounds += [F.col(f"_h{i}.lower").alias(lower), F.col(f"_h{i}.upper").alias(upper)]
         return grouped.select(*keys, _array_quantile(0.5).alias(prefix), *bounds)
-    ranks = value_ranks(samples, value, keys)
-    result = ranked_quantiles(ranks, [0.5], keys).select(*keys, F.col("quantiles")[0].alias(prefix))
+    ranks = value_ranks(samples, value, keys, weight)
+    quantiles, interval = (ranked_quantiles, ranked_hdi) if weight is None else (weighted_quantiles, weighted_hdi)
+    result = quantiles(ranks, [0.5], keys).select(*keys, F.col("quantiles")[0].alias(prefix))
     for p, lower, upper in intervals:
-        hdi = ranked_hdi(ranks, p, keys).select(
+        hdi = interval(ranks, p, keys).select(
             *keys, F.col("lower").alias(lower), F.col("upper").alias(upper)
         )
         result = result.join(hdi, list(keys))
@@ -192,11 +243,18 @@ def summarize_median_and_hdi(
 
 
 def threshold_probability(
-    samples: DataFrame, value: str = "r_t", threshold: float = 1.0, keys: Sequence[str] = REGION_DATE
+    samples: DataFrame,
+    value: str = "r_t",
+    threshold: float = 1.0,
+    keys: Sequence[str] = REGION_DATE,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Share of samples above the threshold per group; pass fewer keys to pool more."""
+    """Share of samples (or of their weight) above the threshold per group; pass fewer keys to pool more."""
     above = (F.col(value) > threshold).cast("double")
-    return samples.groupBy(*keys).agg(F.avg(above).alias(f"{value}_threshold_probability"))
+    share = F.avg(above)
+    if weight is not None:
+        share = F.try_divide(F.sum(above * F.col(weight)), F.sum(F.when(above.isNotNull(), F.col(weight))))
+    return samples.groupBy(*keys).agg(share.alias(f"{value}_threshold_probability"))
 
 
 def summarize_r_t(
@@ -205,10 +263,13 @@ def summarize_r_t(
     *,
     keys: Sequence[str] = REGION_DATE,
     per_group: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Probability of R > 1, median and interval(s) of R(t) per region and date."""
-    probability = threshold_probability(samples, "r_t", 1.0, keys)
-    summary = summarize_median_and_hdi(samples, "r_t", "r_t", hdi_prob, keys=keys, per_group=per_group)
+    probability = threshold_probability(samples, "r_t", 1.0, keys, weight)
+    summary = summarize_median_and_hdi(
+        samples, "r_t", "r_t", hdi_prob, keys=keys, per_group=per_group, weight=weight
+    )
     return probability.join(summary, list(keys))
 
 
@@ -220,13 +281,14 @@ def summarize_infections(
     value: str = "infections",
     keys: Sequence[str] = REGION_DATE,
     per_group: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Median and interval(s) of infections, absolute and per 100,000 inhabitants.
 
     Scaling keeps the order of the samples, so the absolute summary is divided afterwards.
     """
     absolute = summarize_median_and_hdi(
-        samples, value, "infections_absolute", hdi_prob, keys=keys, per_group=per_group
+        samples, value, "infections_absolute", hdi_prob, keys=keys, per_group=per_group, weight=weight
     )
     names = [c for c in absolute.columns if c not in keys]
     per_100k = {
@@ -247,9 +309,12 @@ def quantile_bands(
     *,
     keys: Sequence[str] = REGION_DATE,
     per_group: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Quantiles of every group in long form: (keys, q, value)."""
-    if per_group is not None:
+    if weight is not None:
+        grouped = weighted_quantiles(value_ranks(samples, value, keys, weight), quantiles, keys)
+    elif per_group is not None:
         grouped = _sorted_groups(samples, value, keys, per_group).select(
             *keys, F.array(*[_array_quantile(q) for q in quantiles]).alias("quantiles")
         )

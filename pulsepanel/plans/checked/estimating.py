@@ -30,6 +30,8 @@ from pulsepanel.plans.checked.base import (
     sql_solve,
     with_sql,
 )
+from pulsepanel.session import shared_table_path
+from pulsepanel.sources import files
 
 G = generation_time(20)
 P_DELAY = [0.0, 0.05, 0.2, 0.3, 0.2, 0.15, 0.1]
@@ -161,6 +163,59 @@ def m06(spark, sf):
     return renewal.log_likelihood(renewal.expected_positives(delayed(spark, sf), ob), ob)
 
 
+def sql_uniform(text: str, begin: int) -> str:
+    return f"(CAST('0x' || substr(md5({text}), {begin}, 13) AS BIGINT) + 0.5) / {float(1 << 52)!r}"
+
+
+def sql_normal(text: str) -> str:
+    return f"sqrt(-2 * ln({sql_uniform(text, 1)})) * cos(2 * pi() * {sql_uniform(text, 14)})"
+
+
+# Wilson and Hilferty's quantile of the gamma with shape 36 and rate 6
+ALPHAS = (
+    "az AS (SELECT DISTINCT region, chain, draw, "
+    + sql_normal("'0|alpha|' || region || '|' || chain || '|' || draw")
+    + " AS z FROM pos)",
+    "al AS (SELECT region, chain, draw, greatest(36 * pow(1 - 1 / (9.0 * 36) + z / (3 * 6), 3) / 6, 0.0) AS alpha FROM az)",
+    "ll AS (SELECT p.region, p.chain, p.draw, alpha, count(*) AS n_days, sum(lgamma(y + alpha) - lgamma(alpha) - lgamma(y + 1) "
+    "+ alpha * ln(alpha / (alpha + positive)) + y * ln(positive / (alpha + positive))) AS log_likelihood "
+    "FROM pos AS p JOIN al ON al.region = p.region AND al.chain = p.chain AND al.draw = p.draw "
+    "JOIN (SELECT region, date, new_cases AS y FROM ob WHERE new_cases IS NOT NULL) AS o ON o.region = p.region AND o.date = p.date "
+    "WHERE positive > 0 GROUP BY 1, 2, 3, 4)",
+    "wt AS (SELECT *, exp(log_likelihood - max(log_likelihood) OVER r) / sum(exp(log_likelihood - top)) OVER r AS weight "
+    "FROM (SELECT *, max(log_likelihood) OVER (PARTITION BY region) AS top FROM ll) WINDOW r AS (PARTITION BY region))",
+)
+
+
+def weights(spark, sf):
+    """Paths weighted by the likelihood of the observed cases, alpha drawn from its prior."""
+    ob = observed(spark, sf)
+    predicted = renewal.with_drawn_alpha(renewal.expected_positives(delayed(spark, sf), ob))
+    likelihood = renewal.log_likelihood(predicted, ob, alpha="alpha", keys=[*renewal.PATH, "alpha"])
+    return renewal.importance_weights(likelihood)
+
+
+@query(
+    "m06_drawn_alpha_weights",
+    "region chain draw alpha:f log_likelihood:f n_days:i weight:f",
+    with_sql(PE, MASKED, OBSERVED, *EXPECTED, *ALPHAS, "SELECT * FROM wt"),
+)
+def m06_weights(spark, sf):
+    return weights(spark, sf)
+
+
+@query(
+    "m06_effective_paths",
+    "region n_paths:i effective_paths:f",
+    with_sql(
+        PE, MASKED, OBSERVED, *EXPECTED, *ALPHAS,
+        "SELECT region, count(*) AS n_paths, pow(sum(weight), 2) / sum(weight * weight) AS effective_paths FROM wt GROUP BY region",
+    ),
+)
+def m06_effective(spark, sf):
+    return renewal.effective_sample_size(weights(spark, sf))
+
+
 def sql_estimate(src: str, out: str, lead: int = 10) -> str:
     """Window estimate on the model axis of ``src`` (region, date, new_cases, new_tests)."""
     full = "OVER (PARTITION BY region ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
@@ -275,14 +330,10 @@ def m07_smoothed(spark, sf):
 
 def sql_joint_draws(src: str, out: str, chains: int, draws: int) -> str:
     """Paths from the last day back, with noise from MD5."""
-
-    def uniform(begin: int) -> str:
-        return f"(CAST('0x' || substr(h, {begin}, 13) AS BIGINT) + 0.5) / {float(1 << 52)!r}"
-
+    key = "'0|' || region || '|' || chain || '|' || draw || '|' || CAST(date AS VARCHAR)"
     return f"""/*RECURSIVE*/{out}_k AS (SELECT CAST(k // {draws} AS INTEGER) AS chain, CAST(k % {draws} AS INTEGER) AS draw FROM range({chains * draws}) AS t(k)),
 {out}_e AS (
-  SELECT region, chain, draw, i, date, log_r, gain, draw_sd * sqrt(-2 * ln({uniform(1)})) * cos(2 * pi() * {uniform(14)}) AS e FROM (
-    SELECT *, md5('0|' || region || '|' || chain || '|' || draw || '|' || CAST(date AS VARCHAR)) AS h FROM {src}, {out}_k)),
+  SELECT region, chain, draw, i, date, log_r, gain, draw_sd * {sql_normal(key)} AS e FROM {src}, {out}_k),
 {out}_p AS (
   SELECT region, chain, draw, i, e AS dev FROM {out}_e AS e WHERE i = (SELECT max(i) FROM {src} AS s WHERE s.region = e.region)
   UNION ALL
@@ -442,6 +493,59 @@ def a12_ties(spark, sf):
     return summarize_median_and_hdi(samples, "l_quantity", "quantity", 0.5, keys=["l_linestatus"])
 
 
+def sql_weighted_hdi(src: str, value: str, weight: str, keys: str, p: float, out: str) -> str:
+    """Least width over all pairs of values that hold a share of the weight."""
+    k = ", ".join(keys.split())
+    on = " AND ".join(f"a.{c} = b.{c}" for c in keys.split())
+    ak = ", ".join("a." + c for c in keys.split())
+    return f"""{out}_c AS (
+  SELECT {k}, v, w, sum(w) OVER (PARTITION BY {k} ORDER BY v) AS upto, sum(w) OVER (PARTITION BY {k}) AS n
+  FROM (SELECT {k}, {value} AS v, sum({weight}) AS w FROM {src} WHERE {value} IS NOT NULL GROUP BY {k}, v)),
+{out}_q AS (SELECT {k}, min(v) FILTER (WHERE upto > n * (0.5 - 1e-9)) AS mid FROM {out}_c GROUP BY {k}),
+{out} AS (
+  SELECT {k}, lo AS lower, hi AS upper FROM (
+    SELECT {ak}, a.v AS lo, b.v AS hi, row_number() OVER (PARTITION BY {ak} ORDER BY b.v - a.v, a.v) AS rn
+    FROM {out}_c AS a JOIN {out}_c AS b ON {on} AND b.v >= a.v AND b.upto - a.upto + a.w > a.n * ({p!r} - 1e-9)) AS pairs WHERE rn = 1)"""
+
+
+@query(
+    "a10_weighted_r_t_summary",
+    "region date r_t_threshold_probability:f r_t:f r_t_lower:f r_t_upper:f",
+    with_sql(
+        PE, MASKED, OBSERVED, *EXPECTED, *ALPHAS,
+        "smp AS (SELECT rt.*, weight FROM rt JOIN wt ON wt.region = rt.region AND wt.chain = rt.chain AND wt.draw = rt.draw)",
+        sql_weighted_hdi("smp", "r_t", "weight", "region date", 0.6, "h"),
+        "SELECT p.region, p.date, p AS r_t_threshold_probability, mid AS r_t, h.lower AS r_t_lower, h.upper AS r_t_upper FROM "
+        "(SELECT region, date, sum(CASE WHEN r_t > 1 THEN weight ELSE 0.0 END) / sum(weight) AS p FROM smp GROUP BY 1, 2) AS p "
+        "JOIN h ON h.region = p.region AND h.date = p.date JOIN h_q AS q ON q.region = p.region AND q.date = p.date",
+    ),
+)
+def a10_weighted(spark, sf):
+    """Probability, median and interval of R(t) from weighted paths, stored once and summarised from there."""
+    path = shared_table_path(spark, "weighted_draws")
+    samples = draws(spark, sf).join(weights(spark, sf).select(*renewal.PATH, "weight"), list(renewal.PATH))
+    files.write_draws(samples.select(*renewal.PATH, "date", "r_t", "weight"), path)
+    return summarize_r_t(files.read_draws(spark, path), 0.6, weight="weight")
+
+
+@query(
+    "a14_weighted_bands",
+    "l_returnflag q:f value:f",
+    with_sql(
+        "c AS (SELECT l_returnflag, l_extendedprice AS v, sum(sum(l_quantity)) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS upto, "
+        "sum(sum(l_quantity)) OVER (PARTITION BY l_returnflag) AS n FROM lineitem GROUP BY 1, 2)",
+        "SELECT l_returnflag, q, min(v) FILTER (WHERE upto > n * (q - 1e-9)) AS value "
+        "FROM c, (VALUES (0.05::DOUBLE), (0.5), (0.95)) AS t(q) GROUP BY 1, 2",
+    ),
+)
+def a14_weighted(spark, sf):
+    """Prices of the 5, 50 and 95 % of all pieces sold: groups of any size, weighted."""
+    samples = d.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    return quantile_bands(
+        samples, "l_extendedprice", [0.05, 0.5, 0.95], keys=["l_returnflag"], weight="l_quantity"
+    )
+
+
 @query(
     "a13_infections_per_100k",
     "region date infections_by_100k:f infections_by_100k_lower:f infections_by_100k_upper:f "

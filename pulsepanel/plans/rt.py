@@ -20,6 +20,7 @@ from pulsepanel.operators.renewal import (
     with_exposure,
     with_scale_factor,
 )
+from pulsepanel.operators.smoother import joint_draws, smoothed_on_axis
 from pulsepanel.operators.summary import summarize_infections, summarize_r_t
 
 
@@ -57,11 +58,22 @@ def estimate(
     chains: int = 4,
     draws: int = 200,
     window_days: int = 7,
+    smoothed: bool = False,
 ) -> RtResult:
-    """Estimate R(t) for every region of a processed panel."""
+    """Estimate R(t) for every region of a processed panel.
+
+    By windows of ``window_days``, or (``smoothed``) under the random walk of log R: then every day has an
+    estimate and the days of a draw belong together.
+    """
     kernel = list(p_generation_time or generation_time())
     observed = panel.select("region", "date", "new_cases", F.col(tests).alias("daily_tests"))
     axis = with_exposure(model_axis(observed, buffer_days))
+    carry = ["new_cases", "exposure", "exposure_profile"]
+    if smoothed:
+        found = smoothed_on_axis(axis, kernel)
+        estimated = found.select("region", "date", "log_r", "log_r_sd", F.exp("log_r").alias("r_t_median"))
+        drawn = joint_draws(found, chains=chains, draws=draws, carry=carry)
+        return _result(axis, estimated, drawn, drawn.drop(*carry), kernel, p_delay, chains * draws)
     posterior = gamma_posterior(axis, kernel, window_days=window_days)
     estimated = posterior.where("shape is not null").select(
         "region", "date", "shape", "rate", (F.col("shape") / F.col("rate")).alias("r_t_mean")
@@ -71,17 +83,30 @@ def estimate(
         posterior_on_axis(posterior),
         chains=chains,
         draws=draws,
-        carry=["new_cases", "exposure", "exposure_profile"],
+        carry=carry,
     )
+    samples = posterior_draws(estimated, chains=chains, draws=draws)
+    return _result(axis, estimated, drawn, samples, kernel, p_delay, chains * draws)
+
+
+def _result(
+    axis: DataFrame,
+    estimated: DataFrame,
+    drawn: DataFrame,
+    samples: DataFrame,
+    kernel: Sequence[float],
+    p_delay: Sequence[float],
+    per_group: int,
+) -> RtResult:
     paths = delayed_positives(renewal_infections(drawn, kernel), p_delay)
     scaled = with_scale_factor(paths, p_delay)
     return RtResult(
         axis=axis,
         estimate=estimated,
-        draws=posterior_draws(estimated, chains=chains, draws=draws),
+        draws=samples,
         paths=scaled,
         curves=case_curves(scaled, None, kernel),
-        per_group=chains * draws,
+        per_group=per_group,
     )
 
 
