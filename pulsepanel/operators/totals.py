@@ -68,6 +68,28 @@ def recent_shares(panel: DataFrame, column: str = "new_tests", days: int = 7) ->
     return sums.select("region", F.try_divide("s", national).alias("share"))
 
 
+def covered_shares(panel: DataFrame, column: str = "new_tests", days: int = 7) -> DataFrame:
+    """Share of each region in the national total over the last ``days`` days in a row on which every region reports.
+
+    Gaps before the last common day move the window back; without such a run of days there are no rows.
+    """
+    known = panel.where(F.col(column).isNotNull())
+    regions = panel.agg(F.count_distinct("region").alias("n")).scalar()
+    reporting = known.groupBy("date").agg(F.count_distinct("region").alias("_n"))
+    # the calendar as one sorted array: a day ends a run if the one so many places before is so many days before
+    common = reporting.where(F.col("_n") == regions)
+    covered = common.agg(F.array_sort(F.collect_list(F.unix_date("date"))).alias("_days"))
+    run_ends = F.filter("_days", lambda day, i: (i >= days - 1) & (day - F.get("_days", i - (days - 1)) == days - 1))
+    last = covered.select(F.date_from_unix_date(F.array_max(run_ends)).alias("d")).scalar()
+    sums = (
+        known.where(F.col("date").between(F.date_sub(last, days - 1), last))
+        .groupBy("region")
+        .agg(F.sum(F.col(column)).alias("s"))
+    )
+    national = sums.where(F.col("region") == NATIONAL).agg(F.max("s")).scalar()
+    return sums.select("region", F.try_divide("s", national).alias("share"))
+
+
 def redistributed_days(
     df: DataFrame,
     columns: Sequence[str],

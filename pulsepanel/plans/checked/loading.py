@@ -15,7 +15,7 @@ from pulsepanel.operators.vintages import choose_file, overlay_older
 from pulsepanel.plans.checked import derived as d
 from pulsepanel.plans.checked.base import PE, PN, PO, query, sql_all, with_sql
 from pulsepanel.session import shared_table_path
-from pulsepanel.sources import belgium, files, france, germany, italy, owid, united_states
+from pulsepanel.sources import belgium, files, france, germany, history, italy, owid, united_states
 
 
 def iso_table(spark, sf):
@@ -409,6 +409,64 @@ def s14(spark, sf):
     return files.read_snapshots(spark, path).where("snapshot_date = date '2024-02-02'")
 
 
+def daily_versions(spark, sf):
+    """The order panel as published on three days: rows are revised, withdrawn, and come back."""
+    panel = d.panel_orders(spark, sf).select("region", "date", "new_tests")
+    day = F.dayofmonth("date")
+    return {
+        "2024-02-01": panel,
+        "2024-02-02": panel.where(day != 3).withColumn("new_tests", F.col("new_tests") + F.when(day == 10, 1).otherwise(0)),
+        "2024-03-05": panel.where(day != 7).withColumn("new_tests", F.when(day != 20, F.col("new_tests"))),
+    }
+
+
+def recorded_versions(spark, sf):
+    path = shared_table_path(spark, "changes")
+    for published, table in daily_versions(spark, sf).items():
+        history.record_snapshot(table, path, published, ["region", "date"])
+    return history.read_changes(spark, path)
+
+
+SECOND = "SELECT region, date, new_tests + CASE WHEN day(date) = 10 THEN 1 ELSE 0 END AS new_tests FROM po WHERE day(date) <> 3"
+
+
+@query("s14_changes_as_of", "region date new_tests:f", with_sql(PO, SECOND))
+def s14_changes(spark, sf):
+    """The table between the second and the third day, from changes alone."""
+    return history.as_of_changes(recorded_versions(spark, sf), "2024-02-20", ["region", "date"])
+
+
+@query(
+    "s14_stored_changes",
+    "snapshot_date deleted n:i",
+    with_sql(
+        PO,
+        "v AS (SELECT DATE '2024-02-01' AS s, region, date, new_tests FROM po UNION ALL SELECT DATE '2024-02-02', * FROM (" + SECOND + ") AS b "
+        "UNION ALL SELECT DATE '2024-03-05', region, date, CASE WHEN day(date) <> 20 THEN new_tests END FROM po WHERE day(date) <> 7)",
+        "days(s, before) AS (VALUES (DATE '2024-02-01', DATE '1900-01-01'), (DATE '2024-02-02', DATE '2024-02-01'), (DATE '2024-03-05', DATE '2024-02-02'))",
+        "w AS (SELECT days.s, v.region, v.date, v.new_tests, b.region IS NOT NULL AS was, b.new_tests AS old FROM days JOIN v ON v.s = days.s "
+        "LEFT JOIN v AS b ON b.s = before AND b.region = v.region AND b.date = v.date)",
+        "gone AS (SELECT days.s FROM days JOIN v AS b ON b.s = before WHERE NOT EXISTS "
+        "(SELECT 1 FROM v WHERE v.s = days.s AND v.region = b.region AND v.date = b.date))",
+        "SELECT s AS snapshot_date, FALSE AS deleted, count(*) AS n FROM w WHERE NOT was OR old IS DISTINCT FROM new_tests GROUP BY s "
+        "UNION ALL SELECT s, TRUE, count(*) FROM gone GROUP BY s",
+    ),
+)
+def s14_stored(spark, sf):
+    """What is stored of each day: its changes, not its rows."""
+    changes = recorded_versions(spark, sf)
+    return changes.groupBy("snapshot_date", "deleted").agg(F.count("*").alias("n"))
+
+
+@query("w08_as_of_by_intervals", "region date new_tests:f", with_sql(PO, SECOND))
+def w08_intervals(spark, sf):
+    """The same day from validity intervals, whose folders are pruned by the month in which they end."""
+    path = shared_table_path(spark, "intervals")
+    intervals = history.validity_intervals(recorded_versions(spark, sf), ["region", "date"])
+    history.write_intervals(intervals, path)
+    return history.intervals_as_of(spark.read.parquet(path), "2024-02-20")
+
+
 @query(
     "s15_stored_delay_kernel",
     "lag:i p:f",

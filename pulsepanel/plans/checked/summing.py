@@ -123,6 +123,32 @@ def a06(spark, sf):
     return totals.recent_shares(held)
 
 
+GAPPED = (
+    "h AS (SELECT region, date, CASE WHEN NOT (region = 'R2' AND day(date) IN (9, 26) OR region = 'R4' AND day(date) = 21) "
+    "THEN new_tests END AS new_tests FROM t)"
+)
+
+
+@query(
+    "a06_covered_region_shares",
+    "region share:f",
+    with_sql(
+        PE, sql_all("pe", "t"), GAPPED,
+        "c AS (SELECT date FROM h WHERE new_tests IS NOT NULL GROUP BY date HAVING count(DISTINCT region) = (SELECT count(DISTINCT region) FROM h))",
+        "i AS (SELECT date, date - CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS island FROM c)",
+        "r AS (SELECT max(date) AS d FROM i GROUP BY island HAVING count(*) >= 7)",
+        "s AS (SELECT region, sum(new_tests) AS s FROM h WHERE date BETWEEN (SELECT max(d) FROM r) - 6 AND (SELECT max(d) FROM r) GROUP BY region)",
+        "SELECT region, s / (SELECT s FROM s WHERE region = 'all') AS share FROM s",
+    ),
+)
+def a06_covered(spark, sf):
+    """Two regions miss days shortly before the end."""
+    p = totals.with_national_total(d.panel_events(spark, sf), ["new_tests"])
+    day = F.dayofmonth("date")
+    gap = ((F.col("region") == "R2") & day.isin(9, 26)) | ((F.col("region") == "R4") & (day == 21))
+    return totals.covered_shares(p.withColumn("new_tests", F.when(~gap, F.col("new_tests"))))
+
+
 @query("a07_delay_distribution", "lag:i p:f", with_sql(d.LINE_LIST, d.DELAYS, "SELECT * FROM delay_kernel"))
 def a07(spark, sf):
     return delay_kernel(drop_censored(valid_delays(d.patient_texts(spark, sf), "n")))

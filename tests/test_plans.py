@@ -12,7 +12,8 @@ from pulsepanel.operators.vintages import as_of
 from pulsepanel.plans.checked import REGISTRY, derived
 
 QUERIES = {name: build for name, build in queries().items() if name in REGISTRY}
-WRITES = {"s14_archived_snapshot", "s15_stored_delay_kernel", "s16_stored_draws", "a10_weighted_r_t_summary"}
+WRITES = {"s14_archived_snapshot", "s15_stored_delay_kernel", "s16_stored_draws", "a10_weighted_r_t_summary",
+          "s14_changes_as_of", "s14_stored_changes", "w08_as_of_by_intervals"}
 
 
 def plan_of(df) -> str:
