@@ -37,10 +37,14 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 def shared_dir(spark: SparkSession) -> str:
     """Folder that outlives executors: the cluster's spark.checkpoint.dir.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session that names none (a test) gets a temporary folder; machines of a cluster would each
+    read and write their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"Set spark.checkpoint.dir to a folder that all machines share (master {master!r}).")
         configured = tempfile.mkdtemp(prefix="pulsepanel-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
