@@ -4,6 +4,9 @@ Only what extraction needs of HTML: comments, declarations and raw text elements
 elements belong to the block around them, block elements close an open paragraph, list items and cells
 close their like. Text directly in an element that also has blocks gets a node of its own (``#text``). Any
 input gives a tree; unclosed elements end with their parent or the page.
+
+Time grows with the page's length, however it is broken: no stretch of it is searched twice for the same thing, and
+open elements are known by name, so nothing walks the stack of them.
 """
 
 from __future__ import annotations
@@ -12,16 +15,13 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"  # comments
-    r"|<[!?][^>]*>?"  # declarations
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"  # tags
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",  # tags with an open quote
-    re.DOTALL,
-)
+_MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r"[>\"']")
+_BODY = re.compile(r"<body[\s>]", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORDS_OF_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -42,6 +42,7 @@ _CLOSES = {  # an opening tag ends the nearest of these, unless one of the stops
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+_HOLDS_PARAGRAPHS = ("td", "th", "table", "button")
 _BREAKS_PARAGRAPH = _BLOCK - {"button", "label", "option", "select", "textarea", "iframe"}
 #: Features that are not tags or names, in order.
 FIGURES = (
@@ -51,6 +52,76 @@ FIGURES = (
 )
 
 
+class _Next:
+    """The next match of a pattern from a place on; a stretch without one is searched once."""
+
+    def __init__(self, pattern: re.Pattern, source: str) -> None:
+        self.pattern, self.source = pattern, source
+        self.asked, self.found = -1, None
+
+    def __call__(self, at: int) -> re.Match | None:
+        if not (0 <= self.asked <= at and (self.found is None or at <= self.found.start())):
+            self.asked, self.found = at, self.pattern.search(self.source, at)
+        return self.found
+
+
+class _TagEnds:
+    """Where tags end: at the next ``>`` outside quotes or, if there is none, at the next one at all.
+
+    Stops that a vain search met outside quotes are remembered: another search that meets one is vain as well.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.next_stop, self.next_end = _Next(_STOP, source), _Next(re.compile(">"), source)
+        self.vain: set[int] = set()
+
+    def __call__(self, at: int) -> int:
+        met = []
+        place = at
+        while (stop := self.next_stop(place)) is not None and stop.start() not in self.vain:
+            if stop[0] == ">":
+                return stop.start()
+            met.append(stop.start())
+            closing = self.source.find(stop[0], stop.end())
+            if closing < 0:
+                break
+            place = closing + 1
+        self.vain.update(met)
+        end = self.next_end(at)
+        return -1 if end is None else end.start()
+
+
+class _Open:
+    """The open elements: (name, nearest block), and where the last of each name stands."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def add(self, name: str, block: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in _BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, block))
+
+    def last(self, *names: str) -> int:
+        """The highest place of any of the names, 0 without one."""
+        return max((p[-1] for n in names if (p := self.places.get(n))), default=0)
+
+    def end(self, place: int) -> None:
+        while len(self.stack) > place:
+            name, _ = self.stack.pop()
+            self.places[name].pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    @property
+    def block(self) -> int:
+        return self.stack[-1][1]
+
+
 class Page:
     """Block nodes: tag, parent, names, text runs and sums over their subtrees."""
 
@@ -76,90 +147,98 @@ class Page:
         return len(self.tag) - 1
 
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and their nearest block
+        opened = _Open()
         run = -1  # node that takes text now; -1 after a block ended
         in_link = 0
-        at, n = 0, len(source)
+        tag_end = _TagEnds(source)
+        closing: dict[str, _Next] = {}
+        next_body = _Next(_BODY, source)
 
         def say(text: str) -> None:
             nonlocal run
             if run < 0:
                 if not text.strip():
                     return
-                block = stack[-1][1]
+                block = opened.block
                 # first text of a block without children is its own
                 run = block if block == len(self.tag) - 1 and block else self._node("#text", block)
             self.text[run].append(text)
             if in_link:
                 self.link_chars[run] += len(text.strip())
 
+        at, said, n = 0, 0, len(source)
         while at < n:
-            m = _TAG.search(source, at)
+            m = _MARKUP.search(source, at)
             if not m:
-                say(html.unescape(source[at:]))
                 break
-            if m.start() > at:
-                say(html.unescape(source[at : m.start()]))
-            at = m.end()
-            name = m[2] or m[5]
-            if not name:
+            if m[1] or m[2]:  # comments and declarations
+                end = source.find("-->" if m[1] else ">", m.end())
+                after = n if end < 0 else end + (3 if m[1] else 1)
+            else:
+                end = tag_end(m.end())
+                if end < 0:  # no tag, and none behind it
+                    later = (source.find(mark, m.start() + 1) for mark in ("<!", "<?"))
+                    at = min((i for i in later if i >= 0), default=n)
+                    continue
+                after = end + 1
+            if m.start() > said:
+                say(html.unescape(source[said : m.start()]))
+            at = said = after
+            if m[1] or m[2]:
                 continue
-            name = name.lower()
-            if m[1] or m[4]:  # an end tag
+            name, attributes = m[4].lower(), source[m.end() : end]
+            if m[3]:  # an end tag
                 if name == "a":
                     in_link = max(0, in_link - 1)
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == name:
-                        if name in _BLOCK:
-                            run = -1
-                        elif any(t in _BLOCK for t, _ in stack[i + 1 :]):
-                            break  # an inline end tag does not end blocks
-                        del stack[i:]
-                        break
+                place = opened.last(name)
+                # an inline end tag does not end blocks
+                if place and (name in _BLOCK or not opened.blocks or opened.blocks[-1] < place):
+                    if name in _BLOCK:
+                        run = -1
+                    opened.end(place)
                 continue
             if name == "br":
                 say(" ")
                 continue
             if name in ("input", "button", "textarea", "select"):
-                self.inputs[stack[-1][1]] += 1
+                self.inputs[opened.block] += 1
             if name in _RAW:
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-                body = re.compile(r"<body[\s>]", re.IGNORECASE).search(source, at) if name == "head" else None
-                if body and (not end or body.start() < end.start()):
+                if name not in closing:
+                    closing[name] = _Next(re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE), source)
+                ended = closing[name](at)
+                body = next_body(at) if name == "head" else None
+                if body and (not ended or body.start() < ended.start()):
                     at = body.start()
                 else:
-                    at = end.end() if end else (at if name == "head" else n)
+                    at = ended.end() if ended else (at if name == "head" else n)
+                said = at
                 continue
             if name in _VOID and name != "hr":
                 continue
             if name not in _BLOCK:
-                self.inline[stack[-1][1]] += 1
+                self.inline[opened.block] += 1
                 if name == "a":
                     in_link += 1
-                    self.links[stack[-1][1]] += 1
-                if not (m[3] or m[6] or "").endswith("/"):
-                    stack.append((name, stack[-1][1]))
+                    self.links[opened.block] += 1
+                if not attributes.endswith("/"):
+                    opened.add(name, opened.block)
                 continue
             run, in_link = -1, 0
             if name in _BREAKS_PARAGRAPH:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in ("td", "th", "table", "button"):
-                        break
+                place = opened.last("p")
+                if place > opened.last(*_HOLDS_PARAGRAPHS):
+                    opened.end(place)
             if name in _CLOSES:
-                ended, stops = _CLOSES[name]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in stops:
-                        break
-                    if stack[i][0] in ended:
-                        del stack[i:]
-                        break
+                likes, stops = _CLOSES[name]
+                place = opened.last(*likes)
+                if place > opened.last(*stops):
+                    opened.end(place)
             if name == "hr":
                 continue
-            names, mark = _names(m[3] or m[6] or "")
-            stack.append((name, self._node(name, stack[-1][1], names, mark)))
+            names, mark = _names(attributes)
+            opened.add(name, self._node(name, opened.block, names, mark))
+        if said < n:
+            say(html.unescape(source[said:]))
 
     def blocks(self) -> list[str]:
         """The text of each node itself, white space as one blank."""
@@ -195,13 +274,45 @@ def features(page: Page, vocabulary: dict[str, int]) -> np.ndarray:
 
     ``vocabulary`` numbers the tags (``<p``) and names known to a model.
     """
+    return np.concatenate(list(features_in_slices(page, vocabulary)))
+
+
+def features_in_slices(page: Page, vocabulary: dict[str, int], size: int = 20_000) -> Iterator[np.ndarray]:
+    """The rows of ``features``, so many nodes at a time. Names are held as bits of one number for each node."""
+    figures = _figures(page)
     n, v = len(page.tag), len(vocabulary)
+    own, above = [0] * n, [0] * n
+    for i in range(1, n):
+        bits = 0
+        for name in (f"<{page.tag[i]}", *page.names[i]):
+            if name in vocabulary:
+                bits |= 1 << vocabulary[name]
+        own[i], p = bits, page.parent[i]
+        above[i] = above[p] | own[p]
+    width = (v + 7) // 8
+
+    def spread(numbers: list[int]) -> np.ndarray:
+        raw = np.frombuffer(b"".join(x.to_bytes(width, "little") for x in numbers), np.uint8)
+        return np.unpackbits(raw.reshape(len(numbers), width), axis=1, bitorder="little")[:, :v]
+
+    for at in range(0, n, size):
+        part = slice(at, at + size)
+        out = np.zeros((len(figures[part]), len(FIGURES) + 2 * v), np.float32)
+        out[:, : len(FIGURES)] = figures[part]
+        if v:
+            out[:, len(FIGURES) : len(FIGURES) + v] = spread(own[part])
+            out[:, len(FIGURES) + v :] = spread(above[part])
+        yield out
+
+
+def _figures(page: Page) -> np.ndarray:
+    n = len(page.tag)
     texts = page.blocks()
     own = np.array([len(t) for t in texts], float)
     words = np.array([t.count(" ") + 1 if t else 0 for t in texts], float)
     stops = np.array([t.count(".") + t.count(",") + t.count("!") + t.count("?") for t in texts], float)
     capitals = np.array([_capitals(t) / max(1, len(t)) for t in texts])
-    out = np.zeros((n, len(FIGURES) + 2 * v), np.float32)
+    out = np.zeros((n, len(FIGURES)), np.float32)
     chars, total_words, total_stops = own.copy(), words.copy(), stops.copy()
     link = np.array(page.link_chars, float)
     links = np.array(page.links, float)
@@ -236,7 +347,6 @@ def features(page: Page, vocabulary: dict[str, int]) -> np.ndarray:
     out[:, figure["words_per_block"]] = np.log1p(per_block)
     out[:, figure["links"]] = np.log1p(links)
     out[:, figure["inputs"]] = inputs
-    base, above = len(FIGURES), len(FIGURES) + v
     for p in range(n):
         kids = children[p][::-1]
         out[p, figure["children"]] = math.log1p(len(kids))
@@ -251,8 +361,4 @@ def features(page: Page, vocabulary: dict[str, int]) -> np.ndarray:
             out[i, figure["same_siblings"]] = math.log1p(same[page.tag[i]])
             out[i, figure["parent_words_per_block"]] = math.log1p(per_block[p])
             out[i, figure["largest_sibling_share"]] = most / max(1.0, chars[p])
-            out[i, above:] = np.maximum(out[p, above:], out[p, base:above])
-            for name in (f"<{page.tag[i]}", *page.names[i]):
-                if name in vocabulary:
-                    out[i, base + vocabulary[name]] = 1
     return out

@@ -13,7 +13,10 @@ around and inside. So the trees learn densities and names, not one page's tags.
 
 Text: blocks in page order, character references decoded, white space within a block as one blank, blocks
 joined by a line feed. Null and empty pages, and pages without main text, give an empty text. Any bytes are
-accepted as HTML. Without a page to learn from, pages keep all their text.
+accepted as HTML, and time grows with the length of a page. Nodes are scored in slices, so a page of millions of
+nodes needs memory for its tree, not for its features. Where no page marks its main text, the trees learn from
+the generated frames alone, filled with blocks of any sampled pages; without any text they keep everything.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from pulsepanel.llm.boosting import Boosted, boost
 from pulsepanel.llm.common import arrow_map
-from pulsepanel.llm.dom import Page, features
+from pulsepanel.llm.dom import Page, features, features_in_slices
 
 #: Pages that a model is learned from at most, and their length in characters.
 MAX_PAGES = 150
@@ -55,23 +58,47 @@ def decode(page: Page, log_odds: np.ndarray) -> list[bool]:
     return kept
 
 
-def extract(sources: list[str | None], model: Model, at_once: int = 200) -> list[str]:
-    """The main text of each page."""
+def log_odds(page: Page, model: Model) -> np.ndarray:
+    """Log-odds of each node, scored in slices."""
+    assert model.trees is not None
+    return np.concatenate([model.trees.log_odds(rows) for rows in features_in_slices(page, model.vocabulary)])
+
+
+def extract(sources: list[str | None], model: Model, at_once: int = 20_000) -> list[str]:
+    """The main text of each page; small pages are scored together, up to so many nodes."""
     out: list[str] = []
-    for at in range(0, len(sources), at_once):
-        pages = [Page(s or "") for s in sources[at : at + at_once]]
+    held: list[tuple[Page, np.ndarray]] = []
+
+    def finish() -> None:
+        if held:
+            odds = model.trees.log_odds(np.concatenate([rows for _, rows in held]))
+            ends = np.cumsum([len(rows) for _, rows in held])
+            out.extend(_kept_text(p, o) for (p, _), o in zip(held, np.split(odds, ends[:-1])))
+            held.clear()
+
+    nodes = 0
+    for source in sources:
+        page = Page(source or "")
         if model.trees is None:
-            kept = [[True] * len(p.tag) for p in pages]
+            out.append("\n".join(t for t in page.blocks() if t))
+        elif len(page.tag) > at_once:
+            finish()
+            nodes = 0
+            out.append(_kept_text(page, log_odds(page, model)))
         else:
-            rows = np.concatenate([features(p, model.vocabulary) for p in pages])
-            odds = model.trees.log_odds(rows)
-            ends = np.cumsum([len(p.tag) for p in pages])
-            kept = [decode(p, o) for p, o in zip(pages, np.split(odds, ends[:-1]))]
-        for page, keep in zip(pages, kept):
-            out.append("\n".join(t for t, k in zip(page.blocks(), keep) if k and t))
+            if nodes + len(page.tag) > at_once:
+                finish()
+                nodes = 0
+            held.append((page, features(page, model.vocabulary)))
+            nodes += len(page.tag)
+    finish()
     return out
 
 
+def _kept_text(page: Page, odds: np.ndarray) -> str:
+    return "\n".join(t for t, k in zip(page.blocks(), decode(page, odds)) if k and t)
+
+
 # --- learning ------------------------------------------------------------------------------
 
 _CONTENT_NAMES = (
@@ -229,20 +256,29 @@ def _labels(page: Page, marked: bool) -> np.ndarray:
 
 
 def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, variants: int = 4) -> Model:
-    """Learn from at most ``max_pages`` unlike pages with an article or main element, chosen by a hash."""
+    """Learn from at most ``max_pages`` unlike pages with an article or main element, chosen by a hash.
+
+    Without any such page they are chosen from all pages.
+    """
     source = F.col(f"`{html_col}`").cast("string")
-    fit_for_use = F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= MAX_PAGE_CHARS)
-    hashed = (
-        pages.select(source.alias("html")).where(fit_for_use).withColumn("hash", F.xxhash64("html"))
-    )
+    short = pages.select(source.alias("html")).where(F.length("html") <= MAX_PAGE_CHARS)
+    marked = _sampled(short.where(F.col("html").rlike("(?i)<(article|main)[ >]")), max_pages)
+    return learn(marked or _sampled(short, max_pages), variants)
+
+
+def _sampled(pages: DataFrame, max_pages: int) -> list[str]:
+    hashed = pages.withColumn("hash", F.xxhash64("html"))
     # the hashes alone are ordered, so tasks send numbers; then the few pages up to the last hash
     last = hashed.select("hash").distinct().orderBy("hash").limit(max_pages).agg(F.max("hash")).first()[0]
     few = hashed.where(F.col("hash") <= F.lit(last)).distinct().orderBy("hash", "html").limit(max_pages)
-    return learn([row.html for row in few.collect()], variants)
+    return [row.html for row in few.collect()]
 
 
 def learn(sources: list[str], variants: int = 4) -> Model:
-    """A model from pages that mark their main text with article or main."""
+    """A model from pages that mark their main text with article or main.
+
+    If none does, every page lends its paragraphs and headings to generated frames, which alone are taught.
+    """
     r = random.Random(7)
     originals = [Page(s) for s in sources]
     taught: list[tuple[Page, np.ndarray]] = []
@@ -253,6 +289,11 @@ def learn(sources: list[str], variants: int = 4) -> Model:
         if blocks:
             taught.append((page, y))
             texts.append(blocks)
+    if not texts:
+        for page in originals:
+            blocks = [(t, b) for t, b in zip(page.tag, page.blocks()) if b and t in ("p", "h1", "h2", "h3")]
+            if blocks:
+                texts.append(blocks)
     if not texts:
         return Model({}, None)
     for number, blocks in enumerate(texts):

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 
 from pulsepanel.llm import html_extract, registry
 from pulsepanel.llm.boosting import boost
-from pulsepanel.llm.dom import FIGURES, Page, features
+from pulsepanel.llm.dom import FIGURES, Page, features, features_in_slices
 
 
 PIECES = (
@@ -113,6 +114,55 @@ def test_blocks_and_references():
     assert [t for t in page.blocks() if t] == ["a&b c d", "e f", "g", "h", "tail"]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b x=" * 1_000_000,  # no tag ever ends
+        '<a ">"' * 300_000,
+        "<a \"x'" * 300_000,
+        "<div>" * 100_000 + "x",
+        "<div>" * 50_000 + "</x>" * 50_000,
+        "<b>" + "<div>" * 50_000 + "</b>" * 50_000,
+        "<head>" * 100_000 + "<title>" * 100_000,
+        "<ul><li>" * 50_000 + "</p>" * 50_000,
+        "<!--" * 300_000,
+    ],
+    ids=lambda page: page[:9],
+)
+def test_broken_pages_take_linear_time(model, page):
+    start = time.process_time()
+    html_extract.extract([page], model)
+    assert time.process_time() - start < 30
+
+
+def test_slices_of_features_are_its_rows(model):
+    page = Page("".join(f'<div class="content x{i % 7}"><p>text {i}</p><ul><li>a</ul></div>' for i in range(50)))
+    whole = features(page, model.vocabulary)
+    parts = list(features_in_slices(page, model.vocabulary, 17))
+    assert len(parts) == -(-len(page.tag) // 17) and (np.concatenate(parts) == whole).all()
+    known = model.vocabulary["<p"]
+    assert whole[2, len(FIGURES) + known] == 1  # its own tag
+    assert whole[2, len(FIGURES) + len(model.vocabulary) + model.vocabulary["<div"]] == 1  # its parent's
+    assert html_extract.log_odds(page, model) == pytest.approx(model.trees.log_odds(whole))
+
+
+def test_small_and_large_pages_together(spark, model):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()][:40]
+    assert html_extract.extract(pages, model, at_once=30) == html_extract.extract(pages, model)
+
+
+def test_trees_without_marked_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    plain = [re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", r.html) for r in rows]
+    learned = html_extract.fit(spark.createDataFrame([(p,) for p in plain], "html string"))
+    got = html_extract.extract([r.html for r in rows], learned)
+    want = [article(r.html).split("\n") for r in rows]
+    found = [set(g.split("\n")) & set(w) for g, w in zip(got, want)]
+    assert sum(map(len, found)) > 0.9 * sum(len(set(w)) for w in want)
+    extra = sum(len(set(g.split("\n")) - set(w)) for g, w in zip(got, want))
+    assert extra < 0.2 * sum(len(w) for w in want)
+
+
 def test_odd_pages(spark, model):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>"), (4, "u", "\x00<<>><p")]
     rows += [(4, "u", "<p>" * 3000 + "x")]
