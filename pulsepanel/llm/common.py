@@ -77,27 +77,45 @@ def join_table(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
     return left.join(right, same, how).select([F.col(f"`{c}`") for c in names])
 
 
+#: Bytes of input that row-wise functions with much output are given at once.
+SLICE_BYTES = 1 << 22
+
+
+def sliced(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about so many bytes, a row at least."""
+    rows = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
+    for begin in range(0, batch.num_rows, rows):
+        yield batch.slice(begin, rows)
+
+
 def arrow_map(
-    df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], dict | None],
+    schema: str,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
-    """mapInArrow with a function from one batch to columns; batches are bounded by Spark."""
+    """mapInArrow with a function from one batch to columns; batches are bounded by Spark.
+
+    ``slice_bytes`` cuts them further, for functions that look at single rows and give much more than they get.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow_schema = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = function(batch)
-            if columns is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(columns[f.name], f.type)
-                        if not isinstance(columns[f.name], pa.Array)
-                        else columns[f.name].cast(f.type)
-                        for f in arrow_schema
-                    ],
-                    schema=arrow_schema,
-                )
+        for whole in batches:
+            for batch in (whole,) if slice_bytes is None else sliced(whole, slice_bytes):
+                columns = function(batch)
+                if columns is not None:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(columns[f.name], f.type)
+                            if not isinstance(columns[f.name], pa.Array)
+                            else columns[f.name].cast(f.type)
+                            for f in arrow_schema
+                        ],
+                        schema=arrow_schema,
+                    )
 
     return df.mapInArrow(run, schema)

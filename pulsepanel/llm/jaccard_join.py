@@ -38,7 +38,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import ROW, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written
+from pulsepanel.llm.common import (
+    ROW, SLICE_BYTES, arrow_map, join_rows, join_table, keyed, small_or_shuffled, written,
+)
 from pulsepanel.llm.decontaminate import bloom_bits, in_bloom
 from pulsepanel.llm.words import gram_hashes, mixed, spaced_hashes
 
@@ -156,6 +158,7 @@ def _sets(rows: DataFrame, k: int) -> DataFrame:
         rows.select("doc_id", ROW, F.col("text").cast("binary")),
         run,
         f"doc_id {kind}, {ROW} bigint, class bigint, n bigint",
+        SLICE_BYTES,
     )
 
 
@@ -184,13 +187,16 @@ def _signature_rows(
             "class": pa.array(np.concatenate(classes)),
         }
 
-    return arrow_map(rows.select(F.col("text").cast("binary")), run, "signature bigint, class bigint")
+    # some hundred signatures for each text: given out slice by slice
+    return arrow_map(
+        rows.select(F.col("text").cast("binary")), run, "signature bigint, class bigint", SLICE_BYTES
+    )
 
 
 def _of_classes(rows: DataFrame, wanted: DataFrame, schema: str, function) -> DataFrame:
     """An Arrow pass over the texts of wanted rows: doc_id, row key and more columns; one row for each."""
     keys = small_or_shuffled(wanted)
-    return arrow_map(join_rows(keys, rows, "inner"), function, schema)
+    return arrow_map(join_rows(keys, rows, "inner"), function, schema, SLICE_BYTES)
 
 
 def _sketches(rows: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
@@ -428,7 +434,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
 
     def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+        # the edges are distinct, so equal sums of 128 bits mean equal tables
+        whole = [F.sum(F.xxhash64(F.lit(salt), "u", "v").cast("decimal(38,0)")) for salt in (1, 2)]
+        return tuple(edges.agg(F.count("*"), *whole).first())
 
     edges = written(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(),
