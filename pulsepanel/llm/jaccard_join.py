@@ -47,8 +47,9 @@ from pulsepanel.llm.words import gram_hashes, mixed, spaced_hashes
 
 #: What it costs to tell two unrelated sets apart by their sketches, in signatures written.
 CHANCE_COST = 0.01
-#: Classes of one hub that are compared in one place with as many others.
+#: Classes of one hub that are compared in one place with as many others: by whole sets, and by sketches.
 BLOCK = 1024
+SKETCH_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -374,20 +375,38 @@ def _nearest(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return near.groupBy("a").agg(F.min(F.struct("far", "b"))["b"].alias("b"))
 
 
-def _apart(members: DataFrame, percent: int, forest: bool, block: int = BLOCK) -> DataFrame:
+def _apart(members: DataFrame, percent: int, forest: bool, block: int = SKETCH_BLOCK) -> DataFrame:
     """Pairs (a, b) of classes of a hub in different components that may be linked.
 
     ``members``: hub, class, label, n, sketch. The classes of a hub are dealt to blocks; each two blocks meet
-    in one place, two blocks at a time, where sketches are compared and only what passes is given out.
+    in one place, two blocks at a time, where sketches are compared and only what passes is given out. The
+    classes of a hub's largest component have blocks of their own, which never meet each other: a group of any
+    size with a few strays is read once, and the strays once for each of its blocks.
     """
-    several = members.groupBy("hub").agg(
-        F.count("*").alias("all"), F.min("label").alias("l0"), F.max("label").alias("l1")
+    labels = members.groupBy("hub", "label").agg(F.count("*").alias("n"))
+    several = (
+        labels.groupBy("hub")
+        .agg(
+            F.sum("n").alias("all"),
+            F.count("*").alias("labels"),
+            F.max(F.struct("n", "label")).alias("top"),
+        )
+        .where("labels > 1")
+        .withColumn("tops", F.when(F.col("top.n") > block, F.ceil(F.col("top.n") / block)).otherwise(0))
+        .withColumn("rest", F.col("all") - F.when(F.col("tops") > 0, F.col("top.n")).otherwise(0))
+        .select("hub", F.col("top.label").alias("top"), "tops", F.ceil(F.col("rest") / block).alias("blocks"))
     )
-    several = several.where("l0 <> l1").select("hub", F.ceil(F.col("all") / block).alias("blocks"))
-    mine = members.join(several, "hub").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    in_top = (F.col("tops") > 0) & (F.col("label") == F.col("top"))
+    hashed = F.xxhash64("class")
+    # blocks of the largest component count down from -1
+    own = F.when(in_top, -1 - F.pmod(hashed, F.col("tops"))).otherwise(F.pmod(hashed, F.col("blocks")))
+    rest = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    tops = F.when(F.col("tops") > 0, F.sequence(-F.col("tops"), F.lit(-1).cast("bigint")))
+    met = F.when(in_top | tops.isNull(), rest).otherwise(F.concat(rest, tops))
     dealt = (
-        mine.select("hub", "class", "label", "n", "sketch", "block", other)
+        members.join(several, "hub")
+        .withColumn("block", own)
+        .select("hub", "class", "label", "n", "sketch", "block", F.explode(met).alias("other"))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
         .repartition("hub", "low", "high")

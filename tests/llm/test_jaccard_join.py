@@ -113,3 +113,31 @@ def test_odd_rows(odd_documents, no_documents):
          (5, "word0 Oth"), (7, "a" * 9), (8, "café ☃ \U0001f600 "), (9, "same word")],
         key=str,
     )
+
+
+@pytest.mark.parametrize("block", [1, 3, 8, 4096])
+@pytest.mark.parametrize("strays", [0, 1, 9])
+def test_blocks_of_a_hub_lose_no_pair(spark, block, strays):
+    """A group of one component, strays of their own and a second hub, dealt to blocks of any size."""
+    r = random.Random(block + strays)
+    rows = []
+    for hub, size in ((1, 40), (2, 5)):
+        base = set(r.sample(range(10_000), 100))
+        for i in range(size + strays):
+            own = set(r.sample(sorted(base), 95)) | set(r.sample(range(20_000, 30_000), r.choice([3, 60])))
+            label = 7 if hub == 1 and i < size else 1000 * hub + i
+            rows.append((hub, 100 * hub + i, label, own))
+    table = [
+        (h, c, label, len(s), bytes(jj.parity_sketch(np.array(sorted(s), np.uint64), 1 << 9)))
+        for h, c, label, s in rows
+    ]
+    members = spark.createDataFrame(table, "hub bigint, class bigint, label bigint, n int, sketch binary")
+    got = {(p.a, p.b) for p in jj._apart(members, 80, False, block).collect()}
+    sketch = {c: np.frombuffer(x, np.uint8) for _, c, _, _, x in table}
+    want = set()
+    for h, c, label, n, _ in table:
+        for h2, c2, label2, n2, _ in table:
+            differ = int(np.bitwise_count(sketch[c] ^ sketch[c2]).sum())
+            if h == h2 and c < c2 and label != label2 and 180 * differ <= 20 * (n + n2):
+                want.add((c, c2))
+    assert got == want and bool(want)
