@@ -10,7 +10,8 @@ The encoder keeps a buffer of a few lookaheads of symbols, merges it, emits the
 lookahead before the buffer's end, and goes on from the last emitted boundary: a boundary is never
 crossed by a merge, so both sides are independent. Memory is constant for words of any length.
 
-Empty and null texts have no tokens. Symbols or ids outside the vocabulary raise an error: the
+A text is read in parts that end before white space; ids and decoded text of a part go into the digests and are
+dropped, so a row's memory does not grow with its ids. Empty and null texts have no tokens. Symbols or ids outside the vocabulary raise an error: the
 public files hold every byte.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,9 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import arrow_map
+from pulsepanel.llm.common import SLICE_BYTES, arrow_map
 from pulsepanel.llm.word_bpe import ChunkMemo, Vocabulary, byte_alphabet, vocabulary
 
+#: Symbols beyond which a list is merged with a heap.
+LONG_WORD = 64
+#: Characters of a text that are encoded and decoded at once; a run without white space is one.
+PART_CHARS = 1 << 16
+#: Entries of a worker's memos before they start again.
+CODEC_MEMO = 150_000
+
 
 class Transducer:
     """Streaming encoder for one merge list.
@@ -73,6 +82,8 @@ class Transducer:
 
     def merge(self, parts: list[str]) -> list[str]:
         """The merges applied to a list of symbols: lowest rank first, leftmost of equals first."""
+        if len(parts) > LONG_WORD:
+            return self._merge_long(parts)
         rank, never = self.rank.get, len(self.rank)
         ranks = [rank(p, never) for p in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) != never:
@@ -85,6 +96,31 @@ class Transducer:
                 ranks[i] = rank((parts[i], parts[i + 1]), never)
         return parts
 
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """The same with a heap of pairs and linked places, for lists too long to be searched for each merge."""
+        rank = self.rank.get
+        after = list(range(1, len(parts) + 1))
+        before = list(range(-1, len(parts) - 1))
+        heap = [(r, i, x, y) for i, (x, y) in enumerate(zip(parts, parts[1:])) if (r := rank((x, y))) is not None]
+        heapq.heapify(heap)
+        end = len(parts)
+        while heap:
+            _, i, x, y = heapq.heappop(heap)
+            j = after[i]
+            # a pair is stale when either of its parts has been merged since
+            if j >= end or parts[i] != x or parts[j] != y:
+                continue
+            parts[i], parts[j] = x + y, ""
+            k = after[i] = after[j]
+            if k < end:
+                before[k] = i
+                if (r := rank((parts[i], parts[k]))) is not None:
+                    heapq.heappush(heap, (r, i, parts[i], parts[k]))
+            h = before[i]
+            if h >= 0 and (r := rank((parts[h], parts[i]))) is not None:
+                heapq.heappush(heap, (r, h, parts[h], parts[i]))
+        return [p for p in parts if p]
+
     def encode(self, word: Iterable[str]) -> Iterator[str]:
         """Pieces of a stream of symbols, each as soon as nothing to come can change it.
 
@@ -156,7 +192,7 @@ class Codec:
         self.id_of = {
             p: i.to_bytes(self.vocab.id_bytes, "little") for p, i in self.vocab.ids.items()
         }
-        self.memo = ChunkMemo(self.vocab, self._word_ids)
+        self.memo = ChunkMemo(self.vocab, self._word_ids, CODEC_MEMO)
         self.decoder = ByteDecoder(self.vocab)
 
     def _word_ids(self, word: str) -> bytes:
@@ -195,7 +231,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return arrow_map(rows, run, f"doc_id {kind}, ids array<int>")
+    return arrow_map(rows, run, f"doc_id {kind}, ids array<int>", SLICE_BYTES)
 
 
 def round_trip_digests(
@@ -206,16 +242,21 @@ def round_trip_digests(
     def run(batch: pa.RecordBatch) -> dict:
         c = codec(path)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for text in batch.column(1).to_pylist():
-            ids = c.encode(text or "")
-            out["n_tokens"].append(len(ids) // 4)
-            out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-            decoded = c.decode(ids).encode("utf-8", "replace")
-            out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
+        for text in batch.column(1):
+            n, digest, decoded = 0, hashlib.sha256(), hashlib.sha256()
+            # neither all ids nor the decoded text of a row are held
+            for ids in c.memo.parts(text.as_py() or "", PART_CHARS):
+                n += len(ids) // 4
+                digest.update(ids)
+                decoded.update(c.decoder.push(np.frombuffer(ids, "<u4").tolist()).encode("utf-8", "replace"))
+            decoded.update(c.decoder.finish().encode("utf-8", "replace"))
+            out["n_tokens"].append(n)
+            out["ids_sha256"].append(digest.hexdigest())
+            out["decoded_sha256"].append(decoded.hexdigest())
         return {"doc_id": batch.column(0), **out}
 
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     return arrow_map(
-        rows, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        rows, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", SLICE_BYTES
     )

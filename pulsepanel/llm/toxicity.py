@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import arrow_map, written
+from pulsepanel.llm.common import SLICE_BYTES, arrow_map, sliced, written
 from pulsepanel.llm.words import MEMO_ENTRIES, alnum_words
 
 #: Labelled rows that a model is learned from at most.
@@ -330,7 +330,7 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = TokenScores(model.scores)
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, SLICE_BYTES)):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             keep = [
                 probability(evidence(alnum_words((t or "").encode()), model, memo)[0], model) < limit

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +20,7 @@ MEMO_ENTRIES = 500_000
 #: Code points above this are split by the library itself, whose Unicode version then holds.
 PLAIN_LIMIT = 0x0370
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
+_GAP = re.compile(r"[\x09-\x0d\x20]")
 _SPACE = re.compile(
     r"[^\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 )
@@ -42,6 +43,15 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
+def windows(text: str, size: int) -> Iterator[str]:
+    """The text in parts of about so many characters, each ending before white space."""
+    begin = 0
+    while len(text) - begin > size and (gap := _GAP.search(text, begin + size)):
+        yield text[begin : gap.start()]
+        begin = gap.start()
+    yield text[begin:] if begin else text
+
+
 class Vocabulary:
     """Words, pieces and merges of one vocabulary file with word ends."""
 
@@ -117,9 +127,11 @@ def vocabulary(path: str) -> Vocabulary:
 class ChunkMemo(dict):
     """chunk -> its ids as little-endian bytes, filled on demand and bounded."""
 
-    def __init__(self, vocab: Vocabulary, word_ids: Callable[[str], bytes]) -> None:
+    def __init__(
+        self, vocab: Vocabulary, word_ids: Callable[[str], bytes], entries: int = MEMO_ENTRIES
+    ) -> None:
         super().__init__()
-        self.vocab, self.word_ids = vocab, word_ids
+        self.vocab, self.word_ids, self.entries = vocab, word_ids, entries
         self.word_memo: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
@@ -127,7 +139,7 @@ class ChunkMemo(dict):
         if ids is None:
             ids = self.word_ids(word)
             if len(word) <= 64:
-                if len(self.word_memo) >= MEMO_ENTRIES:
+                if len(self.word_memo) >= self.entries:
                     self.word_memo.clear()
                 self.word_memo[word] = ids
         return ids
@@ -135,7 +147,7 @@ class ChunkMemo(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.vocab.chunk_ids(chunk, self._word)
         if len(chunk) <= 64:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.clear()
             self[chunk] = ids
         return ids
@@ -143,3 +155,7 @@ class ChunkMemo(dict):
     def text(self, text: str) -> bytes:
         """Ids of a whole text."""
         return b"".join(map(self.__getitem__, chunks(text)))
+
+    def parts(self, text: str, size: int) -> Iterator[bytes]:
+        """Ids of a text, part by part, from so many characters each."""
+        return map(self.text, windows(text, size))

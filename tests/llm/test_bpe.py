@@ -1,6 +1,8 @@
 """The transducer against plain merging and against the library."""
 
 import hashlib
+import random
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +50,36 @@ def test_stream_equals_merging_the_whole_word(merges, word):
     assert list(transducer.encode(iter(word))) == plain(merges, word)
 
 
+@settings(max_examples=200, deadline=None)
+@given(merge_lists(), st.text("abc", min_size=1, max_size=300))
+def test_heap_equals_merging_step_by_step(merges, word):
+    assert bpe.Transducer(merges)._merge_long(list(word)) == plain(merges, word)
+
+
+def test_parts_of_a_text_are_its_ids_and_words():
+    c = bpe.codec(registry.tokenizer_path())
+    r = random.Random(3)
+    words = ["the", "Zürich", "x" * 90, "</s>", "don't", "\u2003wide", "1234", "é" * 30, "日本語"]
+    for _ in range(40):
+        text = "".join(r.choice(words) + r.choice([" ", "  ", "\n", "\t", "\x1c", ""]) for _ in range(60))
+        whole = c.encode(text)
+        for size in (1, 7, 100, 10_000):
+            parts = list(c.memo.parts(text, size))
+            assert b"".join(parts) == whole
+            decoded = "".join(c.decoder.push(np.frombuffer(p, "<u4").tolist()) for p in parts) + c.decoder.finish()
+            assert decoded == c.decode(whole)
+    assert len(list(c.memo.parts("ab " * 1000, 30))) > 50
+
+
+def test_long_words_take_little_time():
+    c = bpe.codec(registry.tokenizer_path())
+    word = "".join(random.Random(4).choice("abcdefghij") for _ in range(200_000))
+    start = time.process_time()
+    ids = c.encode(word)
+    assert time.process_time() - start < 10
+    assert np.frombuffer(ids, "<u4").tolist() == c.vocab.library.encode(word, add_special_tokens=False).ids
+
+
 def test_memory_is_bounded():
     transducer = Transducer([("a", "b"), ("ab", "c")])
     held = 0
