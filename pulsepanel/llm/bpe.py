@@ -35,7 +35,7 @@ LONG_WORD = 64
 #: Characters of a text that are encoded and decoded at once; a run without white space is one.
 PART_CHARS = 1 << 16
 #: Entries of a worker's memos before they start again.
-CODEC_MEMO = 150_000
+CODEC_MEMO = 300_000
 
 
 class Transducer:
