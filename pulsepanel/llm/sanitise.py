@@ -6,23 +6,31 @@ entity as far as seeing the term makes the entity likely. With shares of documen
     IC(c) = -log p(c),   PMI(c; t) = log p(c, t) / (p(c) p(t)) = IC(c) - (-log p(c | t))
 
 so PMI / IC is 1 when the term gives the entity away, 0 when it says nothing. p(c | t) is a lower bound:
-Wilson's, ``z`` deviations below the share of the term's texts that hold the entity. So every pair is scored,
-and few texts count for less: one of one gives the share 0.27, which is enough beside a rare entity of a large
-corpus. Co-occurrence is counted over whole texts, wherever in them entity and term stand. Terms whose share is at least ``generalise`` are
-replaced by a mark, at least ``remove`` by nothing, wherever in the corpus they stand.
+Wilson's, ``z`` deviations below the share of the term's texts that hold the entity. Co-occurrence is counted over
+whole texts, wherever in them entity and term stand. Terms whose share is at least ``generalise`` are replaced by a
+mark, at least ``remove`` by nothing, wherever in the corpus they stand.
+
+An entity hides in a crowd: IC(c) counts up to log ``crowd``, the information that picks one text of so many. Without
+that bound the same counts would pass more easily the larger the corpus is, until every rare word near an address
+goes. With it they give one share in any corpus of ``crowd`` times the entity's texts or more: two texts of two, or
+four of five, are enough for a mark, one of one is not. The entity's own value is one more text for the words that
+its name part spells (Zorblax of zorblax.k@x.org), so for those one other text is enough.
 
 The counts of the terms in texts with entities come from one scan, in which each task sums its own terms; a
-Bloom filter of fixed size keeps other words out. A term in more than N^(1 - g) n^g texts cannot reach the
-share g for an entity in n of N texts, so such pairs are never made: entities and the remaining terms of a text
-are joined by its key. A further scan gives the places of revealing terms, again behind a filter and a join.
+Bloom filter of fixed size keeps other words out. A term in more than (n + 1) crowd^(1 - g) texts cannot reach the
+share g for an entity in n texts, so such pairs are never made. Entities that stand in the same texts have equal
+counts with every term, so one of them stands for all; these and the remaining terms of a text are joined by its
+key, in blocks of entities. A further scan gives the places of revealing terms, again behind a filter and a join.
 
 Null and empty texts have no spans. Terms that overlap a base span are part of it. Terms are runs of ASCII
 letters, digits and non-ASCII characters, A-Z in lower case, known by 64-bit hashes. Rows with one id and equal
-text share their result, each row gets one. Documents are distinct texts: copies count once, in every count.
+text share their result, each row gets one. Documents are distinct texts: copies count once, in every count. An
+empty table has no terms. A very long text is one row of a scan; its pairs are spread over tasks by entity.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,6 +55,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 _SPAN = "array<struct<start: int, kind: int, end: int>>"
+#: Entities of one text that are paired with its terms in one task.
+BLOCK = 256
+#: Places in all texts up to which they are broadcast (about 50 bytes each).
+BROADCAST_PLACES = 400_000
+_LETTERS = re.compile("[A-Za-z\x80-\U0010ffff]{2,}")
 
 
 @dataclass(frozen=True)
@@ -56,6 +69,7 @@ class Policy:
     z: float = 1.645
     generalise: float = 0.8
     remove: float = 0.95
+    crowd: float = 100.0
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -107,6 +121,14 @@ def _entity(text: str, span: tuple[int, int, int]) -> int:
     return xxhash.xxh3_64_intdigest(f"{span[1]}:{value}".encode()) - (1 << 63)
 
 
+def _spelled(text: str, span: tuple[int, int, int]) -> list[bytes]:
+    """The words of the name part of an email."""
+    if span[1] != 0:
+        return []
+    name = text[span[0] : text.index("@", span[0])]
+    return [w.encode().lower() for w in _LETTERS.findall(name)]
+
+
 def _terms(text: str) -> list[tuple[int, int, bytes]]:
     return [(m.start(), m.end(), m[0].encode().lower()) for m in _WORD.finditer(text)]
 
@@ -124,18 +146,21 @@ def free_terms(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
 
 
 def _found(rows: DataFrame) -> DataFrame:
-    """doc_id, row key, base spans and entities of every row; its terms if it has entities."""
+    """doc_id, row key, base spans and entities of every row; its terms, and which entity spells which, if it has entities."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        spans, entities, terms = [], [], []
+        spans, entities, terms, spelled = [], [], [], []
         for text in batch.column(2).to_pylist():
             base = base_spans(text)
             spans.append([{"start": a, "kind": k, "end": b} for a, k, b in base])
             entities.append(sorted({_entity(text, s) for s in base}))
             terms.append(free_terms(text, base) if base else [])
+            pairs = {(_entity(text, s), w) for s in base for w in _spelled(text, s)}
+            words = _signed([w for _, w in pairs]) if pairs else []
+            spelled.append([{"entity": e, "term": h} for (e, _), h in zip(pairs, words)])
         return {
             "doc_id": batch.column(0), ROW: batch.column(1),
-            "base": spans, "entities": entities, "terms": terms,
+            "base": spans, "entities": entities, "terms": terms, "spelled": spelled,
         }
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -143,7 +168,7 @@ def _found(rows: DataFrame) -> DataFrame:
         rows.select("doc_id", ROW, "text"),
         run,
         f"doc_id {kind}, {ROW} bigint, base {_SPAN}, entities array<bigint>, "
-        "terms array<bigint>",
+        "terms array<bigint>, spelled array<struct<entity: bigint, term: bigint>>",
     )
 
 
@@ -178,21 +203,37 @@ def _at_least(part: Column, whole: Column, z: float) -> Column:
     return (p + z * z / (2 * whole) - z * spread) / (1 + z * z / whole)
 
 
+def disclosed(n_both: Column, n_term: Column, n_entity: Column, n_docs: int, policy: Policy) -> Column:
+    """PMI / IC of a term and an entity in ``n_both`` texts together, at least; IC of a crowd at most."""
+    given = F.log(_at_least(n_both, n_term, policy.z))  # log p(c | t)
+    content = F.least(F.log(F.lit(float(max(1, n_docs))) / n_entity), F.lit(math.log(policy.crowd)))
+    return F.when(content > 0, 1 + given / content).otherwise(0.0)
+
+
+def _one_of_equals(each: DataFrame) -> DataFrame:
+    """entity, n_entity and the least entity that stands in the same texts; from text and entity."""
+    bits = [F.bit_xor(F.xxhash64(F.lit(seed), ROW)).alias(f"texts_{seed}") for seed in (1, 2)]
+    entities = written(each.groupBy("entity").agg(F.count("*").alias("n_entity"), *bits), "entities")
+    same = ["n_entity", "texts_1", "texts_2"]
+    least = entities.groupBy(*same).agg(F.min("entity").alias("one"))
+    return written(entities.join(least, same).select("entity", "n_entity", "one"), "equal_entities")
+
+
 def revealing_terms(rows: DataFrame, found: DataFrame, policy: Policy) -> DataFrame:
     """term, share: the largest PMI / IC over the entities it stands beside, at least ``generalise``."""
     n_docs = rows.select(ROW).distinct().count()
     beside = written(
-        found.where(F.size("entities") > 0).select(ROW, "entities", "terms").dropDuplicates([ROW]),
+        found.where(F.size("entities") > 0)
+        .select(ROW, "entities", "terms", "spelled")
+        .dropDuplicates([ROW]),
         "texts_with_entities",
     )
     each = beside.select(ROW, F.explode("entities").alias("entity"))
-    entities = written(each.groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
+    entities = _one_of_equals(each)
+    ones = entities.where(F.col("entity") == F.col("one")).select("entity", "n_entity")
     most = entities.agg(F.max("n_entity")).first()[0] or 0
-    g = policy.generalise
-
-    def limit(n_entity: Column) -> Column:
-        # a little more, against rounding
-        return F.pow(F.lit(float(max(1, n_docs))), 1 - g) * F.pow(n_entity, g) * 1.000001
+    wider = policy.crowd ** (1 - policy.generalise) * 1.000001  # a little more, against rounding
+    limit = lambda n_entity: (n_entity + 1) * F.lit(wider)
 
     candidates = beside.select(F.explode("terms").alias("term"))
     counts = written(
@@ -210,18 +251,47 @@ def revealing_terms(rows: DataFrame, found: DataFrame, policy: Policy) -> DataFr
         kept = in_bloom(terms.view(np.uint64), passing.value)
         return {ROW: batch.column(0).take(pa.array(at[kept])), "term": terms[kept]}
 
+    each = written(each.join(small_or_shuffled(ones), "entity"), "entities_of_texts")
+    blocks = each.groupBy(ROW).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = written(blocks.where(F.col("blocks") > 1), "blocks_of_texts")
+
+    def in_blocks(table: DataFrame, block: Column) -> DataFrame:
+        some = table.join(small_or_shuffled(blocks), ROW, "left")
+        return some.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", block)
+
     terms = arrow_map(beside.select(ROW, "terms"), rare, f"{ROW} bigint, term bigint")
-    terms = terms.join(small_or_shuffled(counts), "term")
-    pairs = (
-        each.join(small_or_shuffled(entities), "entity")
-        .join(terms, ROW)
+    terms = in_blocks(
+        terms.join(small_or_shuffled(counts), "term"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
+    )
+    each = in_blocks(each, F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
+    together = (
+        each.drop("blocks")
+        .join(terms.drop("blocks"), [ROW, "block"])
         .where(F.col("n_term") <= limit(F.col("n_entity")))
-        .groupBy("entity", "term", "n_entity", "n_term")
-        .agg(F.count("*").alias("n_both"))
+        .select("entity", "term", "n_entity", "n_term", F.lit(1).alias("both"), F.lit(0).alias("spells"))
+    )
+    spelled = (
+        beside.select(F.explode("spelled").alias("s"))
+        .select("s.entity", "s.term")
+        .distinct()
+        .join(small_or_shuffled(entities.select("entity", "one")), "entity")
+        .select(F.col("one").alias("entity"), "term", F.lit(0).alias("both"), F.lit(1).alias("spells"))
+    )
+    pairs = (
+        together.unionByName(spelled, allowMissingColumns=True)
+        .groupBy("entity", "term")
+        .agg(
+            F.max("n_entity").alias("n_entity"),
+            F.max("n_term").alias("n_term"),
+            F.sum("both").alias("n_both"),
+            F.max("spells").alias("spells"),
+        )
+        .where(F.col("n_both") > 0)
+    )
+    share = disclosed(
+        F.col("n_both") + F.col("spells"), F.col("n_term") + F.col("spells"), F.col("n_entity"), n_docs, policy
     )
-    given = F.log(_at_least(F.col("n_both"), F.col("n_term"), policy.z))  # log p(c | t), at least
-    content = F.log(F.lit(float(max(1, n_docs))) / F.col("n_entity"))  # IC(c)
-    share = F.when(content > 0, 1 + given / content).otherwise(0.0)
     return (
         pairs.groupBy("term")
         .agg(F.max(share).alias("share"))
@@ -324,7 +394,8 @@ def sanitise(docs: DataFrame, policy: Policy = Policy()) -> DataFrame:
     found = written(_found(rows), "personal_data")
     terms = written(revealing_terms(rows, found, policy), "revealing_terms")
     places = written(_places(rows, terms), "revealing_places")
-    marked = join_table(docs, small_or_shuffled(places), "left")
+    n_places = places.agg(F.sum(F.size("terms") + 1)).first()[0] or 0
+    marked = join_table(docs, F.broadcast(places) if n_places <= BROADCAST_PLACES else places, "left")
     at = docs.columns.index("text")
     remove = policy.remove
 
