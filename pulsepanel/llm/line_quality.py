@@ -2,8 +2,9 @@
 
 Per text: characters in words, symbols, repeated lines, and words in repeated 3-word windows. Across texts:
 lines are normalised (lower case, runs of white space as one blank), hashed, and each hash is counted in how
-many distinct texts of its host it occurs; copies of one text count once, they are not boilerplate of a host.
-Lines above the limit are removed, and a text that is left with too small a share of its words is rejected.
+many distinct documents (id and text) of its host it occurs; with ``copies_count_once``, in how many distinct texts,
+so that copies of one text are not boilerplate of a host. Lines above the limit are removed (``remove_lines``), and a
+text that is left with too small a share of its words is rejected.
 
 Counting is a distinct count in two steps with partial sums in every task, so a host with a third of all
 rows or a line that most texts share is spread by line, text and task. Frequent lines are joined back on host
@@ -12,7 +13,8 @@ and hash, a join that adaptive execution may split.
 A repeated window is first looked for by hash, then compared word by word: hashes only nominate. White space
 is the ASCII kind (tab to carriage return, blank). Null texts are empty: no words, no lines, rejected. A null
 host is a host of its own. Rows with one id and equal text share their result, each row
-gets one; they are depleted by the lines of any of their hosts.
+gets one; they count once, and are depleted by the lines of any of their hosts. An empty table gives an empty one. A
+very long text is one row of a task; its lines are rows of their own while they are counted.
 """
 
 from __future__ import annotations
@@ -20,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import ROW, join_rows
+from pulsepanel.llm.common import ROW, join_rows, join_table
 
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
-#: A line is boilerplate of a host above this number of distinct texts.
-MAX_TEXTS = 20
+#: A line is boilerplate of a host above this number of distinct documents.
+MAX_DOCUMENTS = 20
 #: A text is depleted when less than this share of the words of its lines is left.
 MIN_LEFT_PERCENT = 30
 MIN_WORDS = 50
@@ -118,23 +120,57 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def host_lines(
     docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, row key, host, line hash and words of every line that holds a word."""
+    """doc_id, row key, place among the lines, host, line hash and words of every line that holds a word."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     host = F.coalesce(F.concat(F.lit("="), F.col(f"`{host_col}`").cast("string")), F.lit(""))
     bare = F.btrim(F.col("line"), F.lit(SPACE))
     normal = F.lower(F.regexp_replace(bare, "[\\x09-\\x0D ]+", " "))
     blanks = F.length(normal) - F.length(F.translate(normal, " ", ""))
+    each = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), F.xxhash64(host).alias("host"))
+    each = each.select("doc_id", F.xxhash64("text").alias(ROW), "host", F.posexplode(F.split("text", "\n")))
     return (
-        docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), F.xxhash64(host).alias("host"))
-        .select("doc_id", F.xxhash64("text").alias(ROW), "host", F.explode(_lines(F.col("text"))).alias("line"))
-        .select("doc_id", ROW, "host", F.xxhash64(normal).alias("hash"), (blanks + 1).alias("n"))
+        each.withColumnsRenamed({"pos": "at", "col": "line"})
+        .where(bare != "")
+        .select("doc_id", ROW, "at", "host", F.xxhash64(normal).alias("hash"), (blanks + 1).alias("n"))
     )
 
 
-def frequent_lines(lines: DataFrame, max_texts: int = MAX_TEXTS) -> DataFrame:
-    """host and hash of the lines in more than ``max_texts`` distinct texts of the host."""
-    counts = lines.groupBy("host", "hash").agg(F.count_distinct(ROW).alias("texts"))
-    return counts.where(F.col("texts") > max_texts).select("host", "hash")
+def frequent_lines(
+    lines: DataFrame, limit: int = MAX_DOCUMENTS, copies_count_once: bool = False
+) -> DataFrame:
+    """host and hash of the lines in more than ``limit`` distinct documents, or texts, of the host."""
+    document = F.col(ROW) if copies_count_once else F.struct("doc_id", ROW)
+    counts = lines.groupBy("host", "hash").agg(F.count_distinct(document).alias("documents"))
+    return counts.where(F.col("documents") > limit).select("host", "hash")
+
+
+def remove_lines(
+    docs: DataFrame,
+    host_col: str = "source",
+    limit: int = MAX_DOCUMENTS,
+    copies_count_once: bool = False,
+) -> DataFrame:
+    """All rows and columns of a table with doc_id and text; texts without their host's frequent lines.
+
+    The other lines stay as they are, empty ones too. A null text stays null; a text of which all lines go is empty.
+    """
+    lines = host_lines(docs, host_col)
+    gone = (
+        lines.join(frequent_lines(lines, limit, copies_count_once), ["host", "hash"], "left_semi")
+        .groupBy("doc_id", ROW)
+        .agg(F.sort_array(F.collect_set("at")).alias("gone"))
+    )
+    marked = join_table(docs, gone, "left")
+    at = F.col(f"`{marked.columns[-1]}`")
+    all_lines = F.split("text", "\n")
+    # the lines between one place that goes and the next, from before the first to behind the last
+    ends = F.concat(F.array(F.lit(-1)), at, F.array(F.size(all_lines)))
+    between = F.transform(
+        F.sequence(F.lit(0), F.size(at)),
+        lambda i: F.slice(all_lines, F.get(ends, i) + 2, F.get(ends, i + 1) - F.get(ends, i) - 1),
+    )
+    left = F.when(at.isNull(), F.col("text")).otherwise(F.array_join(F.flatten(between), "\n"))
+    return marked.select(*(left.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def judge(
@@ -142,17 +178,19 @@ def judge(
     host_col: str = "source",
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_texts: int = MAX_TEXTS,
+    limit: int = MAX_DOCUMENTS,
     min_left_percent: int = MIN_LEFT_PERCENT,
+    copies_count_once: bool = False,
 ) -> DataFrame:
     """The figures of every row, base_failed, the share of words left, and whether it is kept.
 
     A line that repeats within a text counts once here: repetition has its own figures.
     """
     lines = host_lines(docs, host_col, id_col, text_col)
-    frequent = frequent_lines(lines, max_texts).withColumn("frequent", F.lit(True))
+    frequent = frequent_lines(lines, limit, copies_count_once).withColumn("frequent", F.lit(True))
     left = (
-        lines.distinct()
+        lines.drop("at")
+        .distinct()
         .join(frequent, ["host", "hash"], "left")
         .groupBy("doc_id", ROW)
         .agg(

@@ -43,7 +43,7 @@ l AS (SELECT doc_id, text, host, line FROM (SELECT doc_id, text, host, unnest(l)
 dup AS (SELECT doc_id, text, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n_dup_lines FROM l GROUP BY 1, 2),
 nl AS (SELECT doc_id, text, host, line, CAST(length(line) - length(replace(line, ' ', '')) + 1 AS BIGINT) AS n
        FROM (SELECT DISTINCT doc_id, text, host, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS line FROM l)),
-f AS (SELECT host, line FROM nl GROUP BY 1, 2 HAVING count(DISTINCT text) > 20),
+f AS (SELECT host, line FROM nl GROUP BY 1, 2 HAVING count(DISTINCT (doc_id, text)) > 20),
 x AS (SELECT doc_id, text, CAST(sum(n) AS BIGINT) AS line_words,
              CAST(sum(CASE WHEN f.line IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS frequent_words
       FROM nl LEFT JOIN f USING (host, line) GROUP BY 1, 2),
