@@ -73,3 +73,33 @@ def test_run_gives_the_ids_of_what_is_left(spark, sf_dir, staged):
     expected = {r.doc_id: library.encode(r.text, add_special_tokens=False).ids for r in staged[4].collect()}
     got = {r.doc_id: list(np.array(r.ids)) for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert got == expected
+
+
+def through(spark, docs, sf_dir):
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], sf_dir), name))
+    return out
+
+
+def test_odd_rows_pass_all_stages(spark, sf_dir, odd_documents):
+    out = through(spark, odd_documents, sf_dir)
+    for df in out[1:-1]:
+        assert df.dtypes == odd_documents.dtypes
+    rows = {(r.doc_id, r.text) for r in out[2].collect()}
+    # one of the repeated and of the near copies, all texts without words, both texts of one id
+    assert {(1, "a short text"), (1, "another text under the same id"), (2, ""), (3, None), (None, None)} <= rows
+    assert sum(d in (9, 10) for d, _ in rows) == 1 == sum(d in (5, 6) for d, _ in rows)
+    assert len(rows) == out[2].count() == odd_documents.distinct().count() - 2 - 1
+    last = {(r.doc_id, r.text, r.n_chars) for r in out[4].collect()}
+    assert (3, None, None) in last and len(last) == len(rows)
+    assert any(d == 8 and "[EMAIL]" in t and "me@example" not in t and n == len(t) for d, t, n in last)
+    ids_of = [(r.doc_id, len(r.ids)) for r in out[5].collect()]
+    assert len(ids_of) == len(rows) and {(2, 0), (3, 0), (None, 0)} <= set(ids_of)
+    assert corpus_pipeline.without_personal_data(spark, out[3].drop("n_chars"), sf_dir).count() == len(rows)
+
+
+def test_an_empty_table_passes_all_stages(spark, sf_dir, no_documents):
+    out = through(spark, no_documents, sf_dir)
+    assert [df.count() for df in out] == [0] * 6
+    assert all(df.dtypes == no_documents.dtypes for df in out[1:-1])
