@@ -8,8 +8,13 @@ e + 2 d > H, the H differences can't spoil all: the pair agrees in one of them.
 when they share its signature (the hash of their shingles there); up to one shingle when they share one of
 its one-deletion signatures (the hash of all, and of all but one).
 
+Empty segments agree in all sets and say nothing. A set whose segments of some content still outweigh the
+differences it can have (e + 2 d of these alone > H, with H for its own size) leaves the signatures of empty
+segments out: any linked set agrees with it in a segment of content, whose signatures all sets give out. Some
+more segments than H asks for, and nearly every set can do so.
+
 How many segments are of which kind is chosen for each band by cost: signatures written for each set, plus
-unrelated sets that meet by chance in (nearly) empty segments, which grow with the number of sets in the band.
+unrelated sets that meet by chance in empty segments, which grow with the number of sets in the band.
 
 Equal sets are one class before anything is compared. The least class of those that share a signature is
 their hub. Each class is compared with its nearest hub first, which is linear, and components are formed of the
@@ -86,20 +91,38 @@ def bands_of(size: int, edges: list[int], percent: int) -> list[int]:
     return [own, own + 1] if reaches else [own]
 
 
+def differences(size: int, band: Band, percent: int) -> int:
+    """Shingles in which a set of this size and one linked with it can differ in a band."""
+    other = min(band.high - 1, 100 * size // percent)
+    return (size + other) * (100 - percent) // (100 + percent)
+
+
+def _at_least(mean: np.ndarray, k: int) -> np.ndarray:
+    """A bound for the chance that a Poisson number with this mean is k or more."""
+    if k <= 0:
+        return np.ones_like(mean)
+    return np.where(mean < k, np.exp(k * (1 + np.log(np.maximum(mean, 1e-300) / k)) - mean), 1.0)
+
+
 def allocate(low: int, high: int, percent: int, sets: int) -> Band:
     """The cheapest numbers of one-deletion and whole segments for a band with so many sets."""
     needed = most_different(high - 1, percent) + 1
     size = (low + high) / 2
     best: tuple[float, Band] | None = None
-    for single in range(needed // 2 + 1):
-        whole = needed - 2 * single
+    for spare in sorted({*range(min(24, needed) + 1), *range(24, needed // 8, 8)}):
+        single = np.arange((needed + spare) // 2 + 1)
+        whole = needed + spare - 2 * single
         each = size / (single + whole)
-        signatures = whole + single * (1 + each)
-        empty = math.exp(-each)
-        by_chance = whole * empty**2 + single * (empty * (1 + each)) ** 2
-        cost = signatures + CHANCE_COST * sets * by_chance
-        if best is None or cost < best[0]:
-            best = cost, Band(low, high, single, whole)
+        empty = np.exp(-each)
+        # the largest sets have least to spare: how many segments their empty ones cost
+        each_top = (high - 1) / (single + whole)
+        lost = np.exp(-each_top) * (whole + 2 * single * (1 + each_top))
+        met = whole * (empty * _at_least(lost, spare)) ** 2
+        met += single * (empty * (1 + each) * _at_least(lost, spare - 1)) ** 2
+        cost = whole + single * (1 + each) + CHANCE_COST * sets * met
+        at = int(np.argmin(cost))
+        if best is None or cost[at] < best[0]:
+            best = float(cost[at]), Band(low, high, int(single[at]), int(whole[at]))
     return best[1]
 
 
@@ -122,8 +145,8 @@ def _names(number: int, segments: int) -> tuple[np.uint64, np.ndarray]:
     return salt, mixed(np.arange(segments, dtype=np.uint64) * np.uint64(2) + (salt << np.uint64(1)))
 
 
-def signatures(shingles: np.ndarray, number: int, band: Band) -> np.ndarray:
-    """The signatures of a set in one band."""
+def signatures(shingles: np.ndarray, number: int, band: Band, percent: int | None = None) -> np.ndarray:
+    """The signatures of a set in one band; given the percentage, without those of empty segments if others do."""
     m = band.segments
     salt, names = _names(number, m)
     segment = mixed(shingles ^ salt) % np.uint64(m)
@@ -135,9 +158,18 @@ def signatures(shingles: np.ndarray, number: int, band: Band) -> np.ndarray:
     if len(values):
         starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
         sums[segment[starts]] = np.add.reduceat(values, starts)
+    held = np.bincount(segment, minlength=m)
+    content = False
+    if percent is not None:
+        telling = 2 * np.count_nonzero(held[: band.single] > 1) + np.count_nonzero(held[band.single :])
+        content = telling > differences(len(shingles), band, percent)
     out = mixed(sums + names)
+    if content:
+        out = out[held > 0]
     if band.single:
         near = segment < band.single
+        if content:
+            near &= held[segment] > 1
         less = mixed(sums[segment[near]] - values[near] + names[segment[near]])
         out = np.concatenate([out, less])
     return out
@@ -177,7 +209,7 @@ def _signature_rows(
                 continue
             mine_id = class_id(shingles)
             for b in bands_of(len(shingles), edges, percent):
-                mine = signatures(shingles, b, bands[b])
+                mine = signatures(shingles, b, bands[b], percent)
                 if shared is not None:
                     mine = mine[in_bloom(mine, shared.value)]
                 if len(mine):

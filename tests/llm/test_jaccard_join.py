@@ -57,13 +57,48 @@ def test_linked_sets_share_a_signature(percent, size, sets, data):
     if not jj.linked(a, b, percent):
         return
     edges = jj.band_edges(max(len(a), len(b)), percent)
-    seen = []
-    for s in (a, b):
-        seen.append(set())
-        for band in jj.bands_of(len(s), edges, percent):
-            shape = jj.allocate(edges[band], edges[band + 1], percent, sets)
-            seen[-1] |= {(band, x) for x in jj.signatures(s, band, shape).tolist()}
-    assert seen[0] & seen[1]
+    for without_empty in (None, percent):
+        seen = []
+        for s in (a, b):
+            seen.append(set())
+            for band in jj.bands_of(len(s), edges, percent):
+                shape = jj.allocate(edges[band], edges[band + 1], percent, sets)
+                seen[-1] |= {(band, x) for x in jj.signatures(s, band, shape, without_empty).tolist()}
+        assert seen[0] & seen[1]
+
+
+@pytest.mark.parametrize("shape", [(40, 0, 60), (40, 20, 30), (40, 36, 0), (400, 30, 60), (4000, 0, 950)])
+def test_sets_without_empty_segments_still_meet(shape):
+    """Also where many segments are empty, of both kinds, with as many differences as a link allows."""
+    high, single, whole = shape
+    r = np.random.default_rng(high + single)
+    band = jj.Band(high // 2, high, single, whole)
+    cut = 0
+    for _ in range(300):
+        size = int(r.integers(high // 2, high))
+        a = np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64))
+        most = jj.most_different(size, 80)
+        gone = int(r.integers(0, most + 1))
+        new = r.integers(0, 1 << 63, int(r.integers(0, most - gone + 1)), dtype=np.uint64)
+        b = np.unique(np.concatenate([a[r.permutation(len(a))[gone:]], new]))
+        if len(b) >= high or not jj.linked(a, b, 80):
+            continue
+        mine, other = jj.signatures(a, 3, band, 80), jj.signatures(b, 3, band, 80)
+        assert len(np.intersect1d(mine, other))
+        cut += len(mine) < len(jj.signatures(a, 3, band))
+    assert cut
+
+
+def test_unrelated_sets_seldom_meet_by_chance():
+    r = np.random.default_rng(5)
+    band = jj.allocate(243, 475, 80, 10**6)
+    sets = [np.unique(r.integers(0, 1 << 63, int(n), dtype=np.uint64)) for n in r.integers(243, 475, 400)]
+
+    def met(percent):
+        found = np.concatenate([np.unique(jj.signatures(s, 4, band, percent)) for s in sets])
+        return int((np.unique(found, return_counts=True)[1] - 1).sum())
+
+    assert met(80) * 10 < met(None)
 
 
 def test_allocation_follows_cost():
