@@ -14,6 +14,7 @@ Samples may carry weights (see ``renewal.importance_weights``); ranks are then s
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,45 +40,89 @@ def _with_cells(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
         counts.groupBy(*keys)
         .agg(F.count("*").alias("_values"), F.percentile_approx("value", shares, 16 * CELLS).alias("_edges"))
         .where(F.col("_values") > CELL_VALUES)
-        .select(*keys, F.array_distinct("_edges").alias("_edges"))
+        .select(*keys, F.sort_array(F.array_distinct("_edges")).alias("_edges"))
     )
-    below = F.size(F.filter("_edges", lambda edge: edge < F.col("value")))
-    cell = F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(below)
-    return counts.join(edges, list(keys), "left").withColumn("_cell", cell).drop("_edges")
+    # a row of some 2 KB for each large group
+    found = counts.join(F.broadcast(edges), list(keys), "left").withColumn("_cell", F.lit(0))
+    # the number of edges below the value, by halving steps: past the end, and without edges, ``get`` is null
+    for step in (1 << i for i in reversed(range(CELLS.bit_length()))):
+        lower = F.get("_edges", F.col("_cell") + (step - 1)) < F.col("value")
+        found = found.withColumn("_cell", F.col("_cell") + F.when(lower, step).otherwise(0))
+    return found.drop("_edges")
 
 
 def value_ranks(
-    samples: DataFrame, value: str, keys: Sequence[str] = REGION_DATE, weight: str | None = None
+    samples: DataFrame,
+    value: str,
+    keys: Sequence[str] = REGION_DATE,
+    weight: str | None = None,
+    quantiles: Sequence[float] | None = None,
 ) -> DataFrame:
     """Every distinct value of a group with its 0-based rank range [start, end), group size n and number of values.
 
     With ``weight`` they are sums of weights. Equal values are merged before the shuffle. Ranks inside a
     cell come from a window over (keys, cell); the offset of a cell comes from the sizes of the cells below it.
+    With ``quantiles`` samples are counted per cell, and only the values of cells that hold one of them are merged
+    and ranked; other cells are left out.
     """
-    size = F.count("*") if weight is None else F.sum(F.col(weight).cast("double"))
-    counts = (
-        samples.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("value"))
-        .agg(size.alias("_n"))
+    rows = samples.where(F.col(value).isNotNull()).select(
+        *keys,
+        F.col(value).cast("double").alias("value"),
+        (F.lit(1) if weight is None else F.col(weight).cast("double")).alias("_n"),
     )
-    celled = _with_cells(counts, keys)
-    inside = Window.partitionBy(*keys, "_cell").orderBy("value")
-    # not the running sum less the own weight: a small start would drown in a large weight
-    earlier = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = celled.withColumn("_earlier", earlier)
+    if quantiles is None:
+        rows = rows.groupBy(*keys, "value").agg(F.sum("_n").alias("_n"))
+    celled = _with_cells(rows, keys)
     sizes = celled.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_cell_n"), F.count("*").alias("_values"))
     cells = Window.partitionBy(*keys).orderBy("_cell")
     below = F.coalesce(F.sum("_cell_n").over(cells.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     whole = Window.partitionBy(*keys)
     offsets = sizes.select(
-        *keys, "_cell", below.alias("_below"), F.sum("_cell_n").over(whole).alias("n"), F.sum("_values").over(whole).alias("n_values")
-    )
+        *keys, "_cell", "_cell_n", below.alias("_below"),
+        F.sum("_cell_n").over(whole).alias("n"), F.sum("_values").over(whole).alias("n_values"),
+        F.max("_cell").over(whole).alias("_last_cell"),
+    )
+    if quantiles is not None:
+        offsets = _cells_of(offsets, quantiles, keys, weight is not None)
+        wanted = offsets.where("_last_cell > 0").groupBy(*keys).agg(F.collect_set("_cell").alias("_cells"))
+        # only groups of several cells have a row here; those of one are kept whole
+        celled = (
+            celled.join(F.broadcast(wanted), list(keys), "left")
+            .where(F.coalesce(F.array_contains("_cells", F.col("_cell")), F.lit(True)))
+            .groupBy(*keys, "_cell", "value")
+            .agg(F.sum("_n").alias("_n"))
+        )
+    inside = Window.partitionBy(*keys, "_cell").orderBy("value")
+    # not the running sum less the own weight: a small start would drown in a large weight
+    earlier = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = celled.withColumn("_earlier", earlier).join(offsets, [*keys, "_cell"])
     start = F.col("_below") + F.col("_earlier")
-    return ranked.join(offsets, [*keys, "_cell"]).select(
+    return ranked.select(
         *keys, "value", start.alias("start"), (start + F.col("_n")).alias("end"), "n", "n_values"
     )
 
 
+def _cells_of(offsets: DataFrame, quantiles: Sequence[float], keys: Sequence[str], weighted: bool) -> DataFrame:
+    """The cells that hold a quantile; of weighted ones also those that end or start there but for rounding."""
+    upto = F.col("_below") + F.col("_cell_n")
+    if weighted:
+        slack = F.col("n") * (NO_WEIGHT / 1000)
+        whole = Window.partitionBy(*keys)
+        wanted, firsts = [], {}
+        for i, q in enumerate(quantiles):
+            bound = F.col("n") * (q - NO_WEIGHT)
+            firsts[f"_first{i}"] = F.min(F.when(upto > bound + slack, F.col("_cell"))).over(whole)
+            wanted.append((upto >= bound - slack) & (F.col("_cell") <= F.col(f"_first{i}")))
+        offsets = offsets.withColumns(firsts)
+    else:
+        positions = [(F.col("n") - 1) * F.lit(float(q)) for q in quantiles]
+        ranks = [rank for p in positions for rank in (F.floor(p), F.ceil(p))]
+        wanted = [(F.col("_below") <= rank) & (rank < upto) for rank in ranks]
+    # a group without a weight keeps its cells, as its quantiles are null
+    any_of = reduce(lambda a, b: a | b, wanted, F.lit(False))
+    return offsets.where(F.coalesce(any_of, F.lit(True)))
+
+
 def _at_rank(rank: Column) -> Column:
     """Aggregate: the value whose rank range contains ``rank``."""
     inside = (F.col("start") <= rank) & (rank < F.col("end"))
@@ -313,13 +358,13 @@ def quantile_bands(
 ) -> DataFrame:
     """Quantiles of every group in long form: (keys, q, value)."""
     if weight is not None:
-        grouped = weighted_quantiles(value_ranks(samples, value, keys, weight), quantiles, keys)
+        grouped = weighted_quantiles(value_ranks(samples, value, keys, weight, quantiles), quantiles, keys)
     elif per_group is not None:
         grouped = _sorted_groups(samples, value, keys, per_group).select(
             *keys, F.array(*[_array_quantile(q) for q in quantiles]).alias("quantiles")
         )
     else:
-        grouped = ranked_quantiles(value_ranks(samples, value, keys), quantiles, keys)
+        grouped = ranked_quantiles(value_ranks(samples, value, keys, quantiles=quantiles), quantiles, keys)
     levels = F.array(*[F.lit(float(q)) for q in quantiles])
     return grouped.select(
         *keys, F.explode(F.arrays_zip(levels.alias("q"), F.col("quantiles").alias("value"))).alias("z")

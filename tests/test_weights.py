@@ -188,3 +188,27 @@ def test_values_close_together_are_split_evenly(spark, monkeypatch):
     v = 1000 + np.arange(40_000) * 1e-7
     assert got.m == pytest.approx(np.median(v), abs=1e-12)
     assert got.m_upper - got.m_lower == pytest.approx(v[20_000] - v[0], abs=1e-12)
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_bands_of_large_groups_rank_only_the_cells_of_the_quantiles(spark, monkeypatch, weight):
+    monkeypatch.setattr(summary, "CELL_VALUES", 500)
+    r = np.random.default_rng(8)
+    groups = {"even": r.normal(size=20_000), "ties": r.integers(0, 7, 3000) * 1.5, "small": r.normal(size=40)}
+    rows = [(k, float(x), float(w)) for k, v in groups.items() for x, w in zip(v, r.choice([0.0, 1.0, 90.0], len(v)))]
+    rows += [("no weight", float(x), 0.0) for x in range(900)] + [("null weight", float(x), None) for x in range(900)]
+    samples = spark.createDataFrame(rows, "k string, v double, w double")
+    qs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    bands = {(b.k, b.q): b.value for b in summary.quantile_bands(samples, "v", qs, keys=["k"], weight=weight).collect()}
+    assert len(bands) == 5 * len(qs)
+    for k, v in groups.items():
+        order = np.argsort(v)
+        upto = np.array([w for g, _, w in rows if g == k])[order].cumsum()
+        expected = np.quantile(v, qs)
+        if weight:
+            expected = [v[order][np.flatnonzero(upto > upto[-1] * (q - 1e-9))[0]] for q in qs]
+        np.testing.assert_allclose([bands[k, q] for q in qs], expected)
+    if weight:
+        assert all(bands[k, q] is None for k in ("no weight", "null weight") for q in qs)
+    ranked = summary.value_ranks(samples.where("k = 'even'"), "v", ["k"], weight, qs)
+    assert ranked.count() < 2 * 2 * len(qs) * 20_000 / summary.CELLS
