@@ -27,18 +27,28 @@ space, A-Z in lower case. Repeated rows are scored each. An empty table gives th
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsepanel.llm.common import arrow_map, written
-from pulsepanel.llm.words import MEMO_ENTRIES, spaced_words
+from pulsepanel.llm.common import arrow_map, sliced, written
+
+
+#: Bytes of texts whose tokens are looked up at once.
+ENCODED_BYTES = 1 << 23
+#: Words cut at once.
+CUT_WORDS = 1 << 13
+#: Tokens scored at once.
+SCORED = 4096
+#: Uses of a token on one side within a batch from which on they are summed by themselves.
+OFTEN = 16
+#: Scores within this bound need no shift before their exponentials are summed in 32 bits.
+EXP_SAFE = 80
 
 
 @dataclass(frozen=True)
@@ -73,43 +83,122 @@ class Model:
     def class_size(self) -> int:
         return -(-self.options.tokens // self.options.classes)
 
-    def pieces(self, word: bytes) -> tuple[int, ...]:
-        """The tokens of a word: its own, or those of its runs of bytes."""
-        known = self.index.get(word)
-        if known is not None:
-            return (known,)
-        return _cut(b" " + word, self.runs, self.options)
-
-
-def _cut(word: bytes, runs: dict[bytes, int], options: Options) -> tuple[int, ...]:
-    """Longest runs first from the left, single bytes where none fits."""
-    out, at, bytes_from = [], 0, 1 + options.words + options.rare
-    while at < len(word):
-        for size in range(min(options.piece, len(word) - at), 1, -1):
-            token = runs.get(word[at : at + size])
-            if token is not None:
-                break
-        else:
-            size, token = 1, bytes_from + word[at]
-        out.append(token)
-        at += size
-    return tuple(out)
 
-
-class Tokens(dict):
-    """word -> its tokens, a bounded memo."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after another, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words = lists.flatten().view(pa.binary())
+    counts = pc.list_value_length(lists).fill_null(0).to_numpy().astype(np.int64)
+    # white space at an end of a text gives an empty word
+    sizes = pc.binary_length(words).to_numpy()
+    if not sizes.all():
+        counts -= np.bincount(np.repeat(np.arange(len(counts)), counts)[sizes == 0], minlength=len(counts))
+        words = words.filter(pa.array(sizes > 0))
+    return words, counts
+
+
+def _spaced(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words with a space before each, and where each begins; the end is the last."""
+    joined = pc.binary_join_element_wise(pa.scalar(b" "), words, pa.scalar(b""))
+    _, offsets, data = joined.buffers()
+    ends = np.frombuffer(offsets, np.int32)[joined.offset : joined.offset + len(joined) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.empty(0, np.uint8)
+    return held, ends - ends[0]
+
+
+class Pieces:
+    """Cuts words: longest runs first from the left, single bytes where none fits.
+
+    The runs are a trie, one row of followers for each prefix. It is walked from all bytes of all words at
+    once; then all words jump from piece to piece together.
+    """
+
+    def __init__(self, runs: dict[bytes, int], options: Options) -> None:
+        self.options = options
+        nodes: dict[bytes, int] = {b"": 0}
+        for run in runs:
+            for size in range(1, len(run) + 1):
+                nodes.setdefault(run[:size], len(nodes) + 1)  # 1 is the node of no run
+        # bytes of runs are numbered, so that the table is small; the others, and those of no run, are 0
+        used = sorted(set(b"".join(runs)))
+        self.number = np.zeros(256, np.uint8 if len(used) < 256 else np.uint16)
+        self.number[used] = np.arange(1, len(used) + 1)
+        self.width = len(used) + 1
+        self.next = np.ones((len(nodes) + 1, self.width), np.min_scalar_type(len(nodes)))
+        self.token = np.full(len(nodes) + 1, -1, np.int32)
+        for prefix, node in nodes.items():
+            if prefix:
+                self.next[nodes[prefix[:-1]], self.number[prefix[-1]]] = node
+            self.token[node] = runs.get(prefix, -1)
+        self.next = self.next.ravel()
+
+    def cut(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words, one word after another, and how many each has."""
+        parts = [self._cut(words.slice(at, CUT_WORDS)) for at in range(0, max(1, len(words)), CUT_WORDS)]
+        return np.concatenate([t for t, _ in parts]), np.concatenate([n for _, n in parts])
+
+    def _cut(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        o = self.options
+        held, ends = _spaced(words)
+        # a space begins the next word and no run has one within, so that no run goes beyond its word
+        numbers = self.number[np.concatenate([held, np.full(o.piece, 0x20, np.uint8)])]
+        token = held.astype(np.int32) + (1 + o.words + o.rare)
+        size = np.ones(len(held), np.int32)
+        at = np.arange(len(held))
+        node = self.next.take(numbers[: len(held)])
+        for k in range(1, o.piece):
+            alive = np.flatnonzero(node != 1)
+            at = at.take(alive)
+            node = self.next.take(node.take(alive).astype(np.intp) * self.width + numbers.take(at + k))
+            found = self.token.take(node)
+            hit = np.flatnonzero(found >= 0)
+            where = at.take(hit)
+            token[where], size[where] = found.take(hit), k + 1
+        first = np.zeros(len(held), bool)
+        at, end = ends[:-1], ends[1:]
+        while len(at):
+            first[at] = True
+            at = at + size[at]
+            left = at < end
+            at, end = at[left], end[left]
+        return token[first], np.diff(np.concatenate([[0], np.cumsum(first)])[ends])
+
+
+class Tokens:
+    """The tokens of words and texts: a word's own, or those of its pieces."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__()
         self.model = model
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        value = self.model.pieces(word)
-        if len(word) <= 64:
-            if len(self) >= MEMO_ENTRIES // 2:
-                self.clear()
-            self[word] = value
-        return value
+        self.pieces = Pieces(model.runs, model.options)
+        self.words = pa.array(list(model.index), pa.binary())
+        self.own = np.array(list(model.index.values()), np.int32)
+
+    def __getitem__(self, word: bytes) -> tuple[int, ...]:
+        return tuple(self.of_words(pa.array([word], pa.binary()))[0].tolist())
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words, one word after another, and how many each has."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        known = at >= 0
+        cut, sizes = self.pieces.cut(words.filter(pa.array(~known)))
+        counts = np.ones(len(words), np.int64)
+        counts[~known] = sizes
+        whole = np.repeat(known, counts)
+        tokens = np.empty(len(whole), np.int32)
+        tokens[whole], tokens[~whole] = self.own[at[known]], cut
+        return tokens, counts
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tokens of all texts, one text after another, and how many tokens and words each has."""
+        words, n_words = words_of(texts)
+        coded = words.dictionary_encode()
+        tokens, counts = self.of_words(coded.dictionary)
+        which = coded.indices.to_numpy()
+        mine = counts[which]
+        ends = np.concatenate([[0], np.cumsum(mine)])
+        begins = (np.cumsum(counts) - counts)[which] - ends[:-1]
+        out = tokens[np.repeat(begins, mine) + np.arange(ends[-1])]
+        return out, np.diff(ends[np.concatenate([[0], np.cumsum(n_words)])]), n_words
 
 
 def start(model: Model) -> dict[str, np.ndarray]:
@@ -124,78 +213,180 @@ def start(model: Model) -> dict[str, np.ndarray]:
     }
 
 
+class Row:
+    """Texts in a row with the mask between them."""
+
+    def __init__(self, texts: list[np.ndarray], window: int) -> None:
+        gap = np.zeros(window, np.int32)
+        self.padded = np.concatenate([part for t in texts for part in (gap, t)] + [gap])
+        lengths = np.array([len(t) for t in texts])
+        self.at = np.arange(lengths.sum()) + np.repeat(window * np.arange(1, len(texts) + 1), lengths)
+        self.sides = np.array([k for k in range(-window, window + 1) if k])
+
+    def taken(self, which: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens, and those around each, left to right without it; the mask beyond the ends of its text."""
+        at = self.at[which]
+        return self.padded.take(at), self.padded.take(at[:, None] + self.sides)
+
+
 def contexts(texts: list[np.ndarray], window: int) -> np.ndarray:
-    """The tokens around each word of each text, left to right without it; the mask beyond the ends."""
-    gap = np.zeros(window, np.int32)
-    padded = np.concatenate([part for t in texts for part in (gap, t)] + [gap])
-    lengths = np.array([len(t) for t in texts])
-    at = np.arange(lengths.sum()) + np.repeat(window * np.arange(1, len(texts) + 1), lengths)
-    sides = [k for k in range(-window, window + 1) if k]
-    return np.stack([padded[at + k] for k in sides], axis=1)
-
-
-def _hidden(weights: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
-    total = weights["place"][0][around[:, 0]]
-    for k in range(1, around.shape[1]):
-        total = total + weights["place"][k][around[:, k]]
-    return np.tanh(total)
-
-
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=-1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=-1, keepdims=True))
-
-
-def _within_scores(model: Model, weights: dict, hidden: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Scores of the tokens of each row's class; rows are dealt by class, one product for each class."""
-    o, size = model.options, model.class_size
-    shares = model.log_share.reshape(size, o.classes).T  # class x place in class
-    out = np.empty((len(which), size), np.float32)
-    order = np.argsort(which, kind="stable")
-    ends = np.searchsorted(which[order], np.arange(o.classes + 1))
-    for c in range(o.classes):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
-            out[rows] = hidden[rows] @ weights["within"][c] + shares[c]
-    return out
+    """The tokens around each word of each text."""
+    return Row(texts, window).taken(slice(None))[1]
+
+
+def _exponentials(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row: the sum of exp(scores - shift), which replace the scores, and the logarithm of the sum of exp(scores)."""
+    shift = 0
+    if not -EXP_SAFE < scores.min() <= scores.max() < EXP_SAFE:
+        shift = scores.max(axis=1)
+        scores -= shift[:, None]
+    np.exp(scores, out=scores)
+    total = scores @ np.ones(scores.shape[1], scores.dtype)
+    return total, np.log(total) + shift
+
+
+class Network:
+    """The weights laid out for batches of rows in the order of their classes.
+
+    The hidden layer has a last value of 1, whose weights are the bias of a class and the share of a token, so
+    each class is one product of its rows.
+    ``place`` is trained where the weights hold it. Large arrays of a batch are kept for the next one.
+    """
+
+    def __init__(self, model: Model, weights: dict[str, np.ndarray]) -> None:
+        o = self.options = model.options
+        kind = weights["place"].dtype
+        self.place = weights["place"].reshape(-1, o.hidden)
+        self.out = np.vstack([weights["out"], weights["bias"]]).astype(kind)
+        shares = model.log_share.reshape(model.class_size, o.classes).T  # class x place in class
+        self.within = np.concatenate([weights["within"], shares[:, None]], axis=1).astype(kind)
+        self.sides = np.arange(2 * o.window)[:, None] * o.tokens
+        self.room: dict[str, np.ndarray] = {}
+
+    def _array(self, name: str, rows: int, columns: int) -> np.ndarray:
+        """Room for an array, with any values."""
+        if name not in self.room or self.room[name].size < rows * columns:
+            self.room[name] = np.empty(rows * columns, self.place.dtype)
+        return self.room[name][: rows * columns].reshape(rows, columns)
+
+    def weights(self) -> dict[str, np.ndarray]:
+        o = self.options
+        return {
+            "place": self.place.reshape(-1, o.tokens, o.hidden),
+            "out": self.out[:-1],
+            "bias": self.out[-1],
+            "within": self.within[:, :-1],
+        }
+
+    def _dealt(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """The rows by class, their classes, and the (class, begin, end) of those that have rows."""
+        o = self.options
+        which = (tokens % o.classes).astype(np.min_scalar_type(o.classes))
+        order = np.argsort(which, kind="stable")
+        ends = np.cumsum(np.bincount(which, minlength=o.classes)).tolist()
+        return order, which[order], [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+    def _hidden(self, seen: np.ndarray) -> np.ndarray:
+        n, size = seen.shape[1], self.options.hidden
+        total, more = self._array("total", n, size), self._array("more", n, size)
+        # every token is within the table: ``clip`` only spares a copy
+        self.place.take(seen[0], axis=0, out=total, mode="clip")
+        for side in seen[1:]:
+            total += self.place.take(side, axis=0, out=more, mode="clip")
+        hidden = self._array("hidden", n, size + 1)
+        np.tanh(total, out=hidden[:, :-1])
+        hidden[:, -1] = 1
+        return hidden
+
+    def _scores(self, hidden: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row's classes, and of the tokens of its class."""
+        by_class = self._array("by_class", len(hidden), self.out.shape[1])
+        by_token = self._array("by_token", len(hidden), self.within.shape[2])
+        np.dot(hidden, self.out, out=by_class)
+        for c, a, b in parts:
+            np.dot(hidden[a:b], self.within[c], out=by_token[a:b])
+        return by_class, by_token
+
+    def _seen(self, around: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """The rows of ``place`` that each row adds up, a line for each side."""
+        return around.take(order, axis=0).T + self.sides
+
+    def log_likelihood(self, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
+        """log p(token | context) of each token."""
+        order, which, parts = self._dealt(tokens)
+        rows, place = np.arange(len(tokens)), tokens[order] // self.options.classes
+        by_class, by_token = self._scores(self._hidden(self._seen(around, order)), parts)
+        own = by_class[rows, which] + by_token[rows, place]
+        out = np.empty(len(tokens), own.dtype)
+        out[order] = own - _exponentials(by_class)[1] - _exponentials(by_token)[1]
+        return out
+
+    def step(self, tokens: np.ndarray, around: np.ndarray, rate: float) -> None:
+        """One gradient step up the mean log-likelihood of a batch."""
+        n = len(tokens)
+        order, which, parts = self._dealt(tokens)
+        rows, place = np.arange(n), tokens[order] // self.options.classes
+        seen = self._seen(around, order)
+        hidden = self._hidden(seen)
+        d_class, d_token = self._scores(hidden, parts)
+        for scores, own in ((d_class, which), (d_token, place)):
+            total, _ = _exponentials(scores)
+            scores *= (-1 / total)[:, None]
+            scores[rows, own] += 1
+        d_hidden, through = self._array("total", n, hidden.shape[1] - 1), self._array("more", n, hidden.shape[1] - 1)
+        np.dot(d_class, self.out[:-1].T, out=d_hidden)
+        d_within = self._array("d_within", len(self.within), self.within[0, :-1].size)
+        d_within[:] = 0
+        d_within = d_within.reshape(self.within[:, :-1].shape)
+        rated = rate * 4 / n * hidden[:, :-1]
+        for c, a, b in parts:
+            np.dot(d_token[a:b], self.within[c, :-1].T, out=through[a:b])
+            np.dot(rated[a:b].T, d_token[a:b], out=d_within[c])
+        d_hidden += through
+        self.within[:, :-1] += d_within
+        self.out += rate / n * (hidden.T @ d_class)
+        np.multiply(hidden[:, :-1], hidden[:, :-1], out=through)
+        through -= 1
+        through *= -rate * 8 / n
+        d_hidden *= through
+        self._add(seen, d_hidden)
+
+    def _add(self, seen: np.ndarray, d_hidden: np.ndarray) -> None:
+        """Adds each row of ``d_hidden`` to those of ``place`` that it was summed from."""
+        keys = seen.ravel().astype(np.min_scalar_type(len(self.place)))
+        order = np.argsort(keys, kind="stable")  # one sort of all sides
+        keys, rows = keys[order], order % len(d_hidden)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        uses = np.diff(np.concatenate([first, [len(keys)]]))
+        few = np.minimum(uses, OFTEN + 1)
+        most = np.argsort((OFTEN + 1 - few).astype(np.uint8), kind="stable")
+        which = keys[first].astype(np.intp)[most]
+        moved = self.place.take(which, axis=0)
+        # ends[k]: so many have more than k uses
+        ends = (len(few) - np.cumsum(np.bincount(few, minlength=OFTEN + 2))).tolist()
+        often = ends[OFTEN]
+        # of most rows a few uses each: the first use of all, the second of those that have one, and so on
+        at = first[most[often:]]
+        for k in range(OFTEN):
+            mine = ends[k] - often
+            moved[often : ends[k]] += d_hidden.take(rows[at[:mine] + k], axis=0)
+        if often:
+            spans = [rows[a : a + n] for a, n in zip(first[most[:often]].tolist(), uses[most[:often]].tolist())]
+            begins = np.cumsum([0, *(len(x) for x in spans[:-1])])
+            moved[:often] += np.add.reduceat(d_hidden.take(np.concatenate(spans), axis=0), begins, axis=0)
+        self.place[which] = moved
 
 
 def log_likelihood(model: Model, weights: dict, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
     """log p(token | context) of each token."""
-    o = model.options
-    hidden = _hidden(weights, around)
-    which, place = tokens % o.classes, tokens // o.classes
-    rows = np.arange(len(tokens))
-    by_class = _log_softmax(hidden @ weights["out"] + weights["bias"])[rows, which]
-    return by_class + _log_softmax(_within_scores(model, weights, hidden, which))[rows, place]
+    return Network(model, weights).log_likelihood(tokens, around)
 
 
 def step(model: Model, weights: dict, tokens: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One gradient step up the mean log-likelihood of a batch, in place."""
-    o, n = model.options, len(tokens)
-    hidden = _hidden(weights, around)
-    which, place = tokens % o.classes, tokens // o.classes
-    rows = np.arange(n)
-    d_class = -np.exp(_log_softmax(hidden @ weights["out"] + weights["bias"]))
-    d_class[rows, which] += 1
-    d_within = -np.exp(_log_softmax(_within_scores(model, weights, hidden, which)))
-    d_within[rows, place] += 1
-    d_hidden = d_class @ weights["out"].T
-    order = np.argsort(which, kind="stable")
-    ends = np.searchsorted(which[order], np.arange(o.classes + 1))
-    for c in range(o.classes):
-        mine = order[ends[c] : ends[c + 1]]
-        if len(mine):
-            d_hidden[mine] += d_within[mine] @ weights["within"][c].T
-            weights["within"][c] += rate * 4 / n * hidden[mine].T @ d_within[mine]
-    weights["out"] += rate / n * hidden.T @ d_class
-    weights["bias"] += rate / n * d_class.sum(axis=0)
-    d_sum = (rate * 8 / n * d_hidden * (1 - hidden**2)).astype(np.float32)
-    for k in range(around.shape[1]):
-        order = np.argsort(around[:, k], kind="stable")
-        seen = around[order, k]
-        first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
-        weights["place"][k][seen[first]] += np.add.reduceat(d_sum[order], first)
+    network = Network(model, weights)
+    network.step(tokens, around, rate)
+    weights.update(network.weights())
 
 
 # --- counting and training over the corpus ----------------------------------------------------
@@ -205,14 +396,42 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     """word, uses over all documents; summed in each batch first."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        counts: Counter = Counter()
-        for blob in batch.column(0).to_pylist():
-            counts.update(spaced_words(blob or b""))
-        return {"word": list(counts.keys()), "n": list(counts.values())}
+        words, n = words_of(batch.column(0))[0].value_counts().flatten()
+        return {"word": words, "n": n}
 
     return arrow_map(rows, run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _run_counts(words: pa.Array, uses: np.ndarray, longest: int) -> dict:
+    """run, n: uses of the runs of 2 to so many bytes of words with a space before each."""
+    held, ends = _spaced(words)
+    padded = np.concatenate([held, np.zeros(8 + longest, np.uint8)])
+    # places in the order of the bytes that follow: the same runs of any size stand together
+    keys = []
+    for begin in range(0, longest, 8):
+        keys.append(np.zeros(len(held), np.uint64))
+        for k in range(min(8, longest - begin)):
+            keys[-1] |= padded[begin + k : begin + k + len(held)].astype(np.uint64) << np.uint64(56 - 8 * k)
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+    left = (np.repeat(ends[1:], np.diff(ends)) - np.arange(len(held)))[order]  # bytes of the word from there on
+    weight = np.repeat(uses, np.diff(ends))[order]
+    runs, counts = [pa.array([], pa.binary())], [np.empty(0, np.int64)]
+    new = np.arange(len(held)) == 0
+    for size in range(1, longest + 1) if len(held) else ():
+        last = padded[order + (size - 1)]
+        new[1:] |= last[1:] != last[:-1]
+        if size > 1:
+            first = np.flatnonzero(new)
+            # the bytes reach into the next word, but places with fewer bytes left in theirs count nothing
+            n = np.add.reduceat(np.where(left >= size, weight, 0), first)
+            used = np.flatnonzero(n)
+            found = padded[order[first[used]][:, None] + np.arange(size)]
+            offsets = pa.py_buffer(np.arange(len(used) + 1, dtype=np.int32) * np.int32(size))
+            runs.append(pa.Array.from_buffers(pa.binary(), len(used), [None, offsets, pa.py_buffer(found.tobytes())]))
+            counts.append(n[used])
+    return {"run": pa.concat_arrays(runs), "n": np.concatenate(counts)}
+
+
 def _vocabulary(rows: DataFrame, options: Options) -> Model:
     counts = written(_word_counts(rows), "word_counts")
     # options.words rows at most
@@ -221,17 +440,15 @@ def _vocabulary(rows: DataFrame, options: Options) -> Model:
     n = np.zeros(options.tokens, float)
     n[1 : 1 + len(top)] = [r.n for r in top]
     context = rows.sparkSession.sparkContext
-    shared = context.broadcast(frozenset(index))
+    shared = context.broadcast(list(index))
+
+    def rare(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known = pc.is_in(batch.column(0), value_set=pa.array(shared.value, pa.binary()))
+        return batch.filter(pc.invert(known))
 
     def substrings(batch: pa.RecordBatch) -> dict:
-        found: Counter = Counter()
-        for word, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if word not in shared.value:
-                spaced = b" " + word
-                for size in range(2, options.piece + 1):
-                    for at in range(len(spaced) - size + 1):
-                        found[spaced[at : at + size]] += k
-        return {"run": list(found.keys()), "n": list(found.values())}
+        batch = rare(batch)
+        return _run_counts(batch.column(0), batch.column(1).to_numpy(), options.piece)
 
     # options.rare rows at most: those that save most tokens
     best = (
@@ -244,15 +461,18 @@ def _vocabulary(rows: DataFrame, options: Options) -> Model:
     )
     first = 1 + options.words
     runs = {bytes(r.run): first + i for i, r in enumerate(best)}
-    known = context.broadcast((frozenset(index), runs))
+    known = context.broadcast(runs)
 
     def uses(batch: pa.RecordBatch) -> dict:
         mine, bytes_used = np.zeros(options.rare + 256, np.int64), np.zeros(257, np.int64)
-        for word, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if word not in known.value[0]:
-                np.add.at(mine, np.array(_cut(b" " + word, known.value[1], options)) - first, k)
-                bytes_used[:256] += k * np.bincount(np.frombuffer(word, np.uint8), minlength=256)
-                bytes_used[256] += k
+        batch = rare(batch)
+        k = batch.column(1).to_numpy()
+        tokens, sizes = Pieces(known.value, options).cut(batch.column(0))
+        np.add.at(mine, tokens - first, np.repeat(k, sizes))
+        held, ends = _spaced(batch.column(0))
+        np.add.at(bytes_used, held, np.repeat(k, np.diff(ends)))
+        bytes_used[0x20] = 0  # no word has one within
+        bytes_used[256] = k.sum()
         n_uses = np.concatenate([mine, bytes_used])
         return {"what": np.arange(len(n_uses)), "n": n_uses}
 
@@ -294,26 +514,25 @@ def _round(rows: DataFrame, model: Model, number: int, chunk: int = 64) -> np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         o = m.options
-        weights = {k: v.copy() for k, v in m.weights.items()}
+        network = Network(m, {k: v.copy() for k, v in m.weights.items()})
         memo, trained = _memo(m), 0
 
         def learn(texts: list[np.ndarray]) -> int:
             # another offset in each round, all of them in ``stride`` rounds; every document has words in each
             taken = [np.arange(len(t)) % o.stride == number % min(o.stride, len(t)) for t in texts]
             mine = np.flatnonzero(np.concatenate(taken))
-            tokens = np.concatenate(texts)[mine].astype(np.int64)
-            around = contexts(texts, o.window)[mine]
-            mix = np.random.default_rng(len(mine)).permutation(len(mine))
+            row = Row(texts, o.window)
+            mix = mine[np.random.default_rng(len(mine)).permutation(len(mine))]
             for at in range(0, len(mix), o.batch):
                 some = mix[at : at + o.batch]
-                step(m, weights, tokens[some], around[some], o.rate * len(some) / 16)
+                network.step(*row.taken(some), o.rate * len(some) / 16)
             return len(mine)
 
         for batch in batches:
-            for texts in _in_lots(batch.column(0).to_pylist(), memo, 1 << 17):
+            for texts in _in_lots(batch.column(0), memo, 1 << 17):
                 trained += learn(held) if (held := [t for t, _ in texts if len(t)]) else 0
         if trained:
-            flat = _packed(weights).astype(np.float64) * trained
+            flat = _packed(network.weights()).astype(np.float64) * trained
             pad = -len(flat) % chunk
             parts = np.concatenate([flat, np.zeros(pad)]).reshape(-1, chunk)
             yield pa.RecordBatch.from_arrays(
@@ -347,34 +566,34 @@ def fit(docs: DataFrame, options: Options = Options(), text_col: str = "text") -
     return model
 
 
-def _in_lots(texts: list[bytes | None], memo: Tokens, words: int) -> Iterator[list[tuple]]:
+def _in_lots(texts: pa.Array, memo: Tokens, words: int) -> Iterator[list[tuple]]:
     """(tokens, words) of texts, in lists of at least so many tokens."""
     lot, size = [], 0
-    for blob in texts:
-        held = spaced_words(blob or b"")
-        tokens = np.fromiter(chain.from_iterable(map(memo.__getitem__, held)), np.int32)
-        lot.append((tokens, len(held)))
-        size += len(tokens)
-        if size >= words:
-            yield lot
-            lot, size = [], 0
+    for part in sliced(pa.RecordBatch.from_arrays([texts], names=["text"]), ENCODED_BYTES):
+        tokens, n_tokens, n_words = memo.of_texts(part.column(0))
+        for mine, n in zip(np.split(tokens, np.cumsum(n_tokens)[:-1]), n_words.tolist()):
+            lot.append((mine, n))
+            size += len(mine)
+            if size >= words:
+                yield lot
+                lot, size = [], 0
     if lot:
         yield lot
 
 
-def text_scores(model: Model, texts: list[bytes | None], memo: Tokens) -> tuple[list[int], list[float]]:
+def text_scores(model: Model, texts: list[bytes | None] | pa.Array, memo: Tokens) -> tuple[list[int], list[float]]:
     """Words and summed conditional log-probabilities of each text."""
     counts: list[int] = []
     scores: list[float] = []
-    for lot in _in_lots(texts, memo, 1 << 13):
+    network = Network(model, model.weights)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+    for lot in _in_lots(texts, memo, 1 << 16):
         held = [t for t, _ in lot if len(t)]
         values = np.empty(0)
         if held:
-            tokens = np.concatenate(held).astype(np.int64)
-            around = contexts(held, model.options.window)
+            row = Row(held, model.options.window)
             pieces = [
-                log_likelihood(model, model.weights, tokens[at : at + 16384], around[at : at + 16384])
-                for at in range(0, len(tokens), 16384)
+                network.log_likelihood(*row.taken(slice(at, at + SCORED))) for at in range(0, len(row.at), SCORED)
             ]
             values = np.concatenate(pieces).astype(float)
         ends = np.cumsum([0, *(len(t) for t, _ in lot)])
@@ -389,7 +608,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> dict:
-        counts, scores = text_scores(shared.value, batch.column(1).to_pylist(), _memo(shared.value))
+        counts, scores = text_scores(shared.value, batch.column(1), _memo(shared.value))
         means = [s / n if n else None for s, n in zip(scores, counts)]
         return {
             "doc_id": batch.column(0), "n_words": counts,

@@ -1,8 +1,11 @@
 """The network is a distribution, its steps follow the gradient, and order matters to its scores."""
 
 import random
+import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsepanel.llm import masked_lm as lm
@@ -101,3 +104,106 @@ def test_odd_rows_and_query(spark, sf_dir, odd_documents, no_documents):
     assert lm.score(no_documents, lm.fit(no_documents, SMALL)).count() == 0
     scored = registry.QUERIES["op2_masked_scores"](spark, sf_dir).collect()
     assert all(r.log_likelihood < 0 for r in scored if r.n_words)
+
+
+def plain_step(model, weights, tokens, around, rate):
+    """The step as it is written down, without a thought of its cost."""
+    o, n, rows = model.options, len(tokens), np.arange(len(tokens))
+    which, place = tokens % o.classes, tokens // o.classes
+    hidden = np.tanh(sum(weights["place"][k][around[:, k]] for k in range(around.shape[1])))
+
+    def missed(scores, own):
+        p = np.exp(scores - scores.max(axis=1, keepdims=True))
+        p /= -p.sum(axis=1, keepdims=True)
+        p[rows, own] += 1
+        return p
+
+    d_class = missed(hidden @ weights["out"] + weights["bias"], which)
+    shares = model.log_share.reshape(-1, o.classes).T[which]
+    d_token = missed(np.einsum("nh,nhs->ns", hidden, weights["within"][which]) + shares, place)
+    d_hidden = d_class @ weights["out"].T + np.einsum("ns,nhs->nh", d_token, weights["within"][which])
+    out = {k: v.copy() for k, v in weights.items()}
+    np.add.at(out["within"], which, 4 * rate / n * hidden[:, :, None] * d_token[:, None, :])
+    out["out"] += rate / n * hidden.T @ d_class
+    out["bias"] += rate / n * d_class.sum(axis=0)
+    for k in range(around.shape[1]):
+        np.add.at(out["place"][k], around[:, k], 8 * rate / n * d_hidden * (1 - hidden**2))
+    return out
+
+
+@pytest.mark.parametrize("scale", [1, 300])
+def test_a_step_is_the_plain_one(scale):
+    # with 300 the scores are beyond what exp takes
+    model = small_model()
+    model.weights["out"] *= scale
+    r = np.random.default_rng(3)
+    tokens = r.integers(0, SMALL.tokens, 500)
+    around = np.minimum(r.geometric(0.03, (500, 4)), SMALL.tokens - 1).astype(np.int32)
+    around[:400, 1] //= 4
+    uses = np.bincount(around[:, 1])
+    assert uses.max() > lm.OFTEN and np.count_nonzero(uses == 1) > 5
+    want = plain_step(model, model.weights, tokens, around, 0.5)
+    got = {k: v.copy() for k, v in model.weights.items()}
+    assert scale == 1 or abs(got["out"]).sum(axis=0).max() > 2 * lm.EXP_SAFE
+    lm.step(model, got, tokens, around, 0.5)
+    for k, v in want.items():
+        np.testing.assert_allclose(got[k], v, rtol=1e-9, atol=1e-9, err_msg=k)
+
+
+def test_a_step_costs_little_more_than_its_products():
+    # the step before took 31 times as long as one product with its exponentials
+    model = lm.Model(lm.Options(), {}, np.zeros(4096, np.float32), np.zeros(257))
+    model.weights = lm.start(model)
+    r = np.random.default_rng(5)
+    tokens = np.minimum(r.zipf(1.3, 2048), 4095)
+    around = np.minimum(r.zipf(1.3, (2048, 6)), 4095).astype(np.int32)
+    a, b = (r.normal(size=s).astype(np.float32) for s in ((2048, 24), (24, 64)))
+
+    def least(function, times):
+        found = []
+        for _ in range(times):
+            begun = time.perf_counter()
+            function()
+            found.append(time.perf_counter() - begun)
+        return min(found)
+
+    network = lm.Network(model, model.weights)
+    mine = least(lambda: network.step(tokens, around, 0.1), 30)
+    products = least(lambda: np.exp(np.exp(a @ b) * 0), 60)
+    assert mine < 20 * products
+
+
+def plain_cut(word, runs):
+    out = []
+    while word:
+        size = next((k for k in range(min(6, len(word)), 1, -1) if word[:k] in runs), 1)
+        out.append(runs.get(word[:size], 1 + 1920 + 1919 + word[0]))
+        word = word[size:]
+    return out
+
+
+def test_words_pieces_and_runs_as_by_hand():
+    r = random.Random(6)
+    words = sorted({bytes(r.choices(b"ab\x00\xc3c", k=r.randint(1, 12))) for _ in range(3000)})
+    assert len(words) > lm.Options().piece
+    uses = np.array([r.randint(1, 9) for _ in words])
+    for piece in (6, 11):
+        want = Counter()
+        for word, n in zip(words, uses.tolist()):
+            spaced = b" " + word
+            for size in range(2, piece + 1):
+                for at in range(len(spaced) - size + 1):
+                    want[spaced[at : at + size]] += n
+        got = lm._run_counts(pa.array(words, pa.binary()), uses, piece)
+        assert dict(zip(got["run"].to_pylist(), got["n"].tolist())) == want
+        assert len(got["run"]) == len(want)
+    runs = {run: 1921 + i for i, run in enumerate(r.sample(sorted(k for k in want if len(k) <= 6), 400))}
+    index = {word: i + 1 for i, word in enumerate(words[::7])}
+    model = lm.Model(lm.Options(), index, np.zeros(4096), np.zeros(257), {}, runs)
+    texts = [b"", None, b" \x0b", b"A\x1cb\tC\n", "\u00c9 \u2003x\u00a0y".encode(), b"\xff AB "]
+    texts += [b" ".join(r.choices(words, k=r.randint(1, 400))) for _ in range(60)]
+    tokens, n_tokens, n_words = lm.Tokens(model).of_texts(pa.array(texts, pa.binary()))
+    held = [(t or b"").lower().split() for t in texts]
+    cut = [[x for w in ws for x in ([index[w]] if w in index else plain_cut(b" " + w, runs))] for ws in held]
+    assert n_words.tolist() == [len(ws) for ws in held] and n_tokens.tolist() == [len(c) for c in cut]
+    assert tokens.tolist() == [x for c in cut for x in c]
