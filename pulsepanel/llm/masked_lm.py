@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from pulsepanel.llm.common import arrow_map, sliced, written
 
-
 #: Bytes of texts whose tokens are looked up at once.
 ENCODED_BYTES = 1 << 23
 #: Words cut at once.
@@ -234,15 +233,33 @@ def contexts(texts: list[np.ndarray], window: int) -> np.ndarray:
     return Row(texts, window).taken(slice(None))[1]
 
 
-def _exponentials(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each row: the sum of exp(scores - shift), which replace the scores, and the logarithm of the sum of exp(scores)."""
+def _exponentials(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray | int]:
+    """Of each row: the sum of exp(scores - shift), which replace the scores, and the shift."""
     shift = 0
     if not -EXP_SAFE < scores.min() <= scores.max() < EXP_SAFE:
         shift = scores.max(axis=1)
         scores -= shift[:, None]
     np.exp(scores, out=scores)
-    total = scores @ np.ones(scores.shape[1], scores.dtype)
-    return total, np.log(total) + shift
+    return scores @ np.ones(scores.shape[1], scores.dtype), shift
+
+
+def _places(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return np.arange(0, scores.size, scores.shape[1]) + own
+
+
+def _own_logs(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Of each row: the log-softmax at its own column. The scores are used up."""
+    mine = scores.ravel().take(_places(scores, own))
+    total, shift = _exponentials(scores)
+    return mine - np.log(total) - shift
+
+
+def _own_gains(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The gradient of each row's log-softmax at its own column, in place of the scores."""
+    total, _ = _exponentials(scores)
+    scores *= (-1 / total)[:, None]
+    scores.ravel()[_places(scores, own)] += 1
+    return scores
 
 
 class Network:
@@ -261,6 +278,8 @@ class Network:
         shares = model.log_share.reshape(model.class_size, o.classes).T  # class x place in class
         self.within = np.concatenate([weights["within"], shares[:, None]], axis=1).astype(kind)
         self.sides = np.arange(2 * o.window)[:, None] * o.tokens
+        # of each class: its weights, those without the shares, and these turned
+        self.by_class = [(w, w[:-1], w[:-1].T) for w in self.within]
         self.room: dict[str, np.ndarray] = {}
 
     def _array(self, name: str, rows: int, columns: int) -> np.ndarray:
@@ -298,14 +317,16 @@ class Network:
         hidden[:, -1] = 1
         return hidden
 
-    def _scores(self, hidden: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Of each row's classes, and of the tokens of its class."""
-        by_class = self._array("by_class", len(hidden), self.out.shape[1])
-        by_token = self._array("by_token", len(hidden), self.within.shape[2])
-        np.dot(hidden, self.out, out=by_class)
+    def _class_scores(self, hidden: np.ndarray) -> np.ndarray:
+        """The scores of the classes for each row."""
+        return np.dot(hidden, self.out, out=self._array("scores", len(hidden), self.out.shape[1]))
+
+    def _token_scores(self, hidden: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+        """The scores of the tokens of its class for each row, where those of the classes were."""
+        scores = self._array("scores", len(hidden), self.within.shape[2])
         for c, a, b in parts:
-            np.dot(hidden[a:b], self.within[c], out=by_token[a:b])
-        return by_class, by_token
+            np.dot(hidden[a:b], self.by_class[c][0], out=scores[a:b])
+        return scores
 
     def _seen(self, around: np.ndarray, order: np.ndarray) -> np.ndarray:
         """The rows of ``place`` that each row adds up, a line for each side."""
@@ -314,37 +335,32 @@ class Network:
     def log_likelihood(self, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
         """log p(token | context) of each token."""
         order, which, parts = self._dealt(tokens)
-        rows, place = np.arange(len(tokens)), tokens[order] // self.options.classes
-        by_class, by_token = self._scores(self._hidden(self._seen(around, order)), parts)
-        own = by_class[rows, which] + by_token[rows, place]
-        out = np.empty(len(tokens), own.dtype)
-        out[order] = own - _exponentials(by_class)[1] - _exponentials(by_token)[1]
+        hidden = self._hidden(self._seen(around, order))
+        own = tokens[order] // self.options.classes
+        out = np.empty(len(tokens), hidden.dtype)
+        out[order] = _own_logs(self._class_scores(hidden), which) + _own_logs(self._token_scores(hidden, parts), own)
         return out
 
     def step(self, tokens: np.ndarray, around: np.ndarray, rate: float) -> None:
         """One gradient step up the mean log-likelihood of a batch."""
         n = len(tokens)
         order, which, parts = self._dealt(tokens)
-        rows, place = np.arange(n), tokens[order] // self.options.classes
         seen = self._seen(around, order)
         hidden = self._hidden(seen)
-        d_class, d_token = self._scores(hidden, parts)
-        for scores, own in ((d_class, which), (d_token, place)):
-            total, _ = _exponentials(scores)
-            scores *= (-1 / total)[:, None]
-            scores[rows, own] += 1
         d_hidden, through = self._array("total", n, hidden.shape[1] - 1), self._array("more", n, hidden.shape[1] - 1)
+        d_class = _own_gains(self._class_scores(hidden), which)
         np.dot(d_class, self.out[:-1].T, out=d_hidden)
-        d_within = self._array("d_within", len(self.within), self.within[0, :-1].size)
-        d_within[:] = 0
-        d_within = d_within.reshape(self.within[:, :-1].shape)
+        self.out += rate / n * (hidden.T @ d_class)
+        d_token = _own_gains(self._token_scores(hidden, parts), tokens[order] // self.options.classes)
         rated = rate * 4 / n * hidden[:, :-1]
+        change = np.empty_like(self.within[0, :-1])
         for c, a, b in parts:
-            np.dot(d_token[a:b], self.within[c, :-1].T, out=through[a:b])
-            np.dot(rated[a:b].T, d_token[a:b], out=d_within[c])
+            _, weights, turned = self.by_class[c]
+            mine = d_token[a:b]
+            np.dot(mine, turned, out=through[a:b])
+            np.dot(rated[a:b].T, mine, out=change)
+            weights += change
         d_hidden += through
-        self.within[:, :-1] += d_within
-        self.out += rate / n * (hidden.T @ d_class)
         np.multiply(hidden[:, :-1], hidden[:, :-1], out=through)
         through -= 1
         through *= -rate * 8 / n
@@ -355,7 +371,7 @@ class Network:
         """Adds each row of ``d_hidden`` to those of ``place`` that it was summed from."""
         keys = seen.ravel().astype(np.min_scalar_type(len(self.place)))
         order = np.argsort(keys, kind="stable")  # one sort of all sides
-        keys, rows = keys[order], order % len(d_hidden)
+        keys, rows = keys.take(order), np.tile(np.arange(len(d_hidden)), len(seen)).take(order)
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         uses = np.diff(np.concatenate([first, [len(keys)]]))
         few = np.minimum(uses, OFTEN + 1)
@@ -374,7 +390,9 @@ class Network:
             spans = [rows[a : a + n] for a, n in zip(first[most[:often]].tolist(), uses[most[:often]].tolist())]
             begins = np.cumsum([0, *(len(x) for x in spans[:-1])])
             moved[:often] += np.add.reduceat(d_hidden.take(np.concatenate(spans), axis=0), begins, axis=0)
-        self.place[which] = moved
+        # a row as one value, which is copied faster
+        row = np.dtype((np.void, moved.strides[0]))
+        self.place.view(row).ravel()[which] = moved.view(row).ravel()
 
 
 def log_likelihood(model: Model, weights: dict, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
@@ -443,8 +461,9 @@ def _vocabulary(rows: DataFrame, options: Options) -> Model:
     shared = context.broadcast(list(index))
 
     def rare(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known = pc.is_in(batch.column(0), value_set=pa.array(shared.value, pa.binary()))
-        return batch.filter(pc.invert(known))
+        words = batch.column(0).cast(pa.binary())
+        known = pc.is_in(words, value_set=pa.array(shared.value, pa.binary()))
+        return pa.RecordBatch.from_arrays([words, batch.column(1)], names=["word", "n"]).filter(pc.invert(known))
 
     def substrings(batch: pa.RecordBatch) -> dict:
         batch = rare(batch)
