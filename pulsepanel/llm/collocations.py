@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from pulsepanel.llm.common import written
+from pulsepanel.llm.common import small_or_shuffled, written
 from pulsepanel.llm.words import mixed, word_hashes
 
 #: Words of a shard; a piece (text between punctuation) is never cut.
@@ -484,6 +484,11 @@ def count_phrases(
 # --- scores --------------------------------------------------------------------------------
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Never a broadcast side: Catalyst sizes counts by their files, where a row takes a tenth of its memory or less."""
+    return df.hint("merge")
+
+
 def _part(begin: Column | int, length: Column) -> list[Column]:
     """Ids of ``length`` words from place ``begin`` (from 1) on, 0 beyond."""
     ids = F.slice(F.col("ids"), begin, length)
@@ -515,7 +520,7 @@ def collocations(
         .groupBy(*[F.col(f"s.{c}").alias(c) for c in _IDS])
         .agg(F.max("uses").alias("longer"))
     )
-    kept = sized.join(contained, _IDS, "left").where("longer is null or longer < uses")
+    kept = sized.join(_shuffled(contained), _IDS, "left").where("longer is null or longer < uses")
     # every cut: its two parts looked up by one join
     none = [F.lit(0).cast("bigint").alias(c) for c in _IDS[1:]]
     known = phrases.unionByName(words.select(F.col("word_id").alias("w1"), *none, "uses"))
@@ -525,12 +530,12 @@ def collocations(
         F.struct(F.lit(False).alias("is_left"), *_part(F.col("k") + 1, F.col("size") - F.col("k"))),
     )
     parts = cuts.select("ids", "size", F.col("uses").alias("a"), "k", F.explode(sides).alias("s"))
-    parts = parts.select("ids", "size", "a", "k", "s.*").join(known, _IDS)
+    parts = parts.select("ids", "size", "a", "k", "s.*").join(_shuffled(known), _IDS)
     found = parts.groupBy("ids", "size", "a", "k").agg(
         F.max(F.when(F.col("is_left"), F.col("uses"))).alias("l"),
         F.max(F.when(~F.col("is_left"), F.col("uses"))).alias("r"),
     )
-    lang_of = words.select(F.col("word_id").alias("w1"), "lang").join(totals, "lang")
+    lang_of = words.select(F.col("word_id").alias("w1"), "lang").join(small_or_shuffled(totals), "lang")
     scored = found.withColumn("w1", F.col("ids")[0]).join(lang_of, "w1")
     exact = F.expr(
         "(cast(1000 as decimal(4,0)) * cast(a as decimal(15,0)) * cast(n as decimal(17,0)))"
@@ -550,7 +555,7 @@ def _top(best: DataFrame, words: DataFrame, top: int) -> DataFrame:
     first = first.where(F.col("_r") <= top).drop("_r", "_deal")
     each = first.select(F.col("ids"), F.posexplode(F.slice("ids", F.lit(1), F.col("size"))).alias("at", "word_id"))
     spelled = (
-        each.join(words.select("word_id", F.col("word").cast("string").alias("word")), "word_id")
+        each.join(_shuffled(words.select("word_id", F.col("word").cast("string").alias("word"))), "word_id")
         .groupBy("ids")
         .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_w"))
         .select("ids", F.array_join("_w.word", " ").alias("phrase"))

@@ -117,6 +117,16 @@ def test_nothing_to_find(spark, no_documents, odd_documents):
     assert rows_of(collocations.collocations(odd_documents)) == want
 
 
+def test_counts_are_not_broadcast_by_the_size_of_their_files(spark, corpus):
+    # the files are far below the threshold: only the totals, one row for each language, may go to the driver
+    docs = spark.createDataFrame(corpus, "lang string, text string")
+    plan = collocations.collocations(docs, least=1)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"(\w+Join) \[(w1#\d+L, w2#|word_id#|lang#)\S*.*?(Build\w+|$)", plan, re.M)
+    assert {(join, key.partition("#")[0], side) for join, key, side in keys} == {
+        ("SortMergeJoin", "w1", ""), ("SortMergeJoin", "word_id", ""), ("BroadcastHashJoin", "lang", "BuildRight")
+    }
+
+
 def test_query_equals_sql(spark, sf_dir):
     name = "op13_phrase_index"
     for sf in (sf_dir, "/root/testdata/sf0.01"):
